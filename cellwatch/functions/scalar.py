@@ -63,8 +63,8 @@ def firmware_class(version) -> Column:
 
 
 def clean_serial(serial) -> Column:
-    """trimmed serial; '', 'N/A', 'nan', 'None' -> null."""
-    t = F.trim(col(serial).cast("string"))
+    """serial stripped of surrounding whitespace; '', 'N/A', 'nan', 'None' -> null."""
+    t = F.regexp_replace(col(serial).cast("string"), r"(?U)^\s+|\s+$", "")
     return F.when(~t.isin(*C.INVALID_SERIALS), t)
 
 

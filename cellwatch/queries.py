@@ -8,10 +8,15 @@ TIMESTAMP_NTZ, so the DuckDB oracle can compare exact value hashes.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as TY
 
 from . import config as C
+from .operators import clean as CL
 from .operators import extract as X
-from .plans import fleet
+from .operators import labels as LB
+from .operators import sessions as SE
+from .plans import chain, fleet
 from .sources import tables as T
 
 REGISTRY: dict = {}
@@ -57,5 +62,112 @@ def silent_batteries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def F_bigint(name: str):
-    from pyspark.sql import functions as F
     return F.col(name).cast("bigint").alias(name)
+
+
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Round every double column (the oracle does the same) for exact value hashes."""
+    return df.select(*[
+        F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, TY.DoubleType)
+        else F.col(f.name) for f in df.schema.fields])
+
+
+def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 hourly readings: the fleet extract over the whole derived tables."""
+    return fleet.fleet_extract(T.snapshots(spark, sf_dir), T.raw_events(spark, sf_dir), C.FLEET_AS_OF)
+
+
+# --- C1 / C2 -----------------------------------------------------------------
+@register
+def clean_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1, F12-F14, X8, X9."""
+    return rounded(CL.clean(_hourly(spark, sf_dir)))
+
+
+@register
+def clean_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and distinct devices before/after cleaning."""
+    raw = _hourly(spark, sf_dir)
+    return CL.clean_summary(raw, CL.clean(raw)).select(
+        *[F_bigint(c) for c in ["rows_before", "bloqs_before", "rows_after", "bloqs_after"]])
+
+
+@register
+def serial_ffill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filled serial and running session id per battery row."""
+    s = SE.assign_sessions(CL.clean(_hourly(spark, sf_dir)))
+    return s.select("bloqs_id", "battery_name", "timestamp", "battery_serial_number", "session_id")
+
+
+@register
+def battery_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 (W3-W7, J4, F16, F17, P2, P3)."""
+    return rounded(chain.sessions(_hourly(spark, sf_dir)))
+
+
+@register
+def session_censoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: sessions and censored sessions."""
+    return SE.censored_sessions(chain.sessions(_hourly(spark, sf_dir)))
+
+
+@register
+def days_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days left per reading of finished sessions."""
+    s = chain.sessions(_hourly(spark, sf_dir))
+    return s.filter("is_censored = 0").select(
+        "bloqs_id", "battery_name", "session_id", "timestamp", "battery_end_time", "days_left")
+
+
+# --- C3 / C4 / C5 ------------------------------------------------------------
+_ROLL = ["volt_slope_3d", "volt_slope_7d", "volt_vol_7d", "soc_slope_3d", "soc_slope_7d", "soc_vol_7d"]
+_DAILY = C.DAILY_KEYS + ["country", "address", "point_code", "fw_version_type",
+                         "soc_mean", "soc_min", "volt_mean", "temp_mean", "rents_sum"]
+
+
+@register
+def daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per battery session day."""
+    from .operators import features as FE
+    return rounded(FE.daily_rollup(chain.sessions(_hourly(spark, sf_dir))))
+
+
+@register
+def rolling_slopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """3- and 7-row OLS slopes."""
+    d = chain.daily_features(_hourly(spark, sf_dir))
+    return rounded(d.select(*C.DAILY_KEYS, "volt_slope_3d", "volt_slope_7d", "soc_slope_3d", "soc_slope_7d"))
+
+
+@register
+def rolling_volatility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """7-row sample std, 0 under three rows."""
+    d = chain.daily_features(_hourly(spark, sf_dir))
+    return rounded(d.select(*C.DAILY_KEYS, "volt_vol_7d", "soc_vol_7d"))
+
+
+@register
+def daily_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T6."""
+    return rounded(chain.daily_features(_hourly(spark, sf_dir)).select(*_DAILY, *_ROLL))
+
+
+@register
+def risk_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4 (K1 parity frame): future_min_soc, y_risk."""
+    d = chain.labelled(_hourly(spark, sf_dir))
+    return rounded(d.select(*C.DAILY_KEYS, "soc_min", "future_min_soc", "y_risk"))
+
+
+@register
+def risk_label_lookahead(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4 option: true look-ahead over the next 7 rows."""
+    d = chain.labelled(_hourly(spark, sf_dir), lookahead=True)
+    return rounded(d.select(*C.DAILY_KEYS, "soc_min", "future_min_soc", "y_risk"))
+
+
+@register
+def session_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8, O5 (seeded md5 order, bucketed global rank), J3 flag."""
+    rows = LB.model_rows(chain.labelled(_hourly(spark, sf_dir)))
+    return LB.split_sessions(rows)

@@ -171,3 +171,164 @@ def session_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A8, O5 (seeded md5 order, bucketed global rank), J3 flag."""
     rows = LB.model_rows(chain.labelled(_hourly(spark, sf_dir)))
     return LB.split_sessions(rows)
+
+
+# --- ML statistics, report and metrics ----------------------------------------
+def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complete labelled rows with their session split flag."""
+    return LB.mark_split(LB.model_rows(chain.labelled(_hourly(spark, sf_dir))))
+
+
+@register
+def impute_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1-M3 on the training split: median, mean, population std (scale), mode."""
+    from .operators.model import stats_frame
+    from .operators.preprocess import ImputeScale
+    train = _marked(spark, sf_dir).filter("is_train = 1")
+    prep = ImputeScale(numericCols=C.NUM_FEATURES, categoricalCols=C.CAT_FEATURES).fit(train)
+    return rounded(stats_frame(prep, spark))
+
+
+@register
+def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6 balanced class weights on the training split."""
+    from .operators.model import class_weights as cw
+    return rounded(cw(_marked(spark, sf_dir).filter("is_train = 1")))
+
+
+def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .plans.risk import latest_per_battery
+    return latest_per_battery(chain.daily_features(_hourly(spark, sf_dir)))
+
+
+@register
+def latest_per_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest day per battery (later session on a shared day)."""
+    return rounded(_latest(spark, sf_dir).select(*C.DAILY_KEYS, "soc_min", "volt_mean"))
+
+
+@register
+def voltage_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F18 over every battery day."""
+    from .functions.scalar import voltage_band as vb
+    d = chain.daily_features(_hourly(spark, sf_dir))
+    return rounded(d.select(*C.DAILY_KEYS, "volt_mean", vb("volt_mean").alias("risk_score_voltage")))
+
+
+def fixed_report_score(df: DataFrame) -> DataFrame:
+    """A fixed arithmetic score in [0, 1) (exact in IEEE arithmetic, with ties) standing
+    in for a model's probability, so report ordering can be checked by SQL."""
+    return df.withColumn("risk_prob", (F.col("soc_min") * 7 % 100) / 100)
+
+
+@register
+def risk_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T8 report on a fixed score: F18, F19, P3, O3."""
+    from .plans.risk import report
+    return rounded(report(fixed_report_score(_latest(spark, sf_dir))))
+
+
+@register
+def risk_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 10 of the ordered report (a top-k report: the limit is the feature)."""
+    from .plans.risk import report, top_risks
+    return rounded(top_risks(report(fixed_report_score(_latest(spark, sf_dir)))))
+
+
+def event_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixed scores with ties and a correlated 0/1 label, one per event."""
+    ev = T.read_table(spark, sf_dir, "events")
+    base = F.col("event_id") * 37 % 1000
+    return ev.select(
+        "event_id",
+        (base / 1000.0).alias("risk_prob"),
+        F.when(base + F.col("user_id") * 53 % 400 >= 700, 1).otherwise(0).alias("y_risk"))
+
+
+@register
+def alert_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """alert when the probability is at least 0.8."""
+    from .functions.scalar import flag_at_least
+    s = event_scores(spark, sf_dir)
+    return s.select("event_id", "risk_prob", flag_at_least("risk_prob", C.ALERT_THRESHOLD).alias("model_alert"))
+
+
+@register
+def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8 on fixed scores (ties count one half)."""
+    from .operators.metrics import ranking_metrics
+    return rounded(ranking_metrics(event_scores(spark, sf_dir)).select("roc_auc"))
+
+
+@register
+def average_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9 on fixed scores (step-wise over distinct scores)."""
+    from .operators.metrics import ranking_metrics
+    return rounded(ranking_metrics(event_scores(spark, sf_dir)).select("average_precision"))
+
+
+@register
+def threshold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M10/A11 at the alert threshold on fixed scores."""
+    from .operators.metrics import threshold_metrics as tm
+    return rounded(tm(event_scores(spark, sf_dir)))
+
+
+@register
+def score_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact p01, p05, p50, p95, p99 of fixed scores."""
+    from .operators.metrics import score_quantiles as sq
+    return rounded(sq(event_scores(spark, sf_dir)))
+
+
+# --- end-to-end model pipelines and sources (no SQL form) ----------------------
+@register
+def train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train on the extract, held-out metrics (one row)."""
+    from .plans.risk import train
+    res = train(_hourly(spark, sf_dir))
+    return res.metrics
+
+
+@register
+def coef_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Named coefficients by absolute value (top 30)."""
+    from .operators.model import coefficients
+    from .plans.risk import train
+    return coefficients(train(_hourly(spark, sf_dir)).model, spark)
+
+
+@register
+def score_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train, save and reload the model (S9), score the newest day per battery."""
+    from .config import scratch_path
+    from .plans.risk import score, train
+    from .sources.models import load_model, save_model
+    hourly = _hourly(spark, sf_dir)
+    path = save_model(train(hourly).model, scratch_path(spark, "model"))
+    return score(hourly, load_model(path))
+
+
+@register
+def csv_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 + S8: the extract written as CSV to the shared folder and read back tolerantly."""
+    from .config import scratch_path
+    from .sources.csv import read_csv_tolerant, to_iso_text, write_csv
+    path = write_csv(to_iso_text(_hourly(spark, sf_dir)), scratch_path(spark, "extract.csv"),
+                     single_file=False)
+    return read_csv_tolerant(spark, path)
+
+
+@register
+def newest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dated extracts (one per data day) in a folder, newest non-training first."""
+    from .config import scratch_path
+    from .sources.csv import to_iso_text
+    from .sources.files import newest_input
+    folder = scratch_path(spark, "input")
+    hourly = to_iso_text(_hourly(spark, sf_dir)).withColumn(
+        "_file", F.concat(F.date_format(F.col("hour_bucket").cast("timestamp"), "yyyyMMdd"),
+                          F.lit("0600_battery_deploy.csv")))
+    (hourly.repartition("_file").write.mode("overwrite").option("header", True)
+           .partitionBy("_file").csv(folder))
+    return newest_input(spark, folder)

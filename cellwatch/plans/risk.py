@@ -27,7 +27,7 @@ from . import chain
 @dataclass
 class TrainResult:
     model: PipelineModel
-    metrics: DataFrame | None      # one row; None when the test split has one class (M11)
+    metrics: DataFrame             # one row; ranking metrics null when the test split has one class (M11)
     train_rows: int
     test_rows: int
     positive_rate: float
@@ -48,10 +48,9 @@ def train(hourly: DataFrame, notebook: bool = False, **fit_kw) -> TrainResult:
     train_df = marked.filter("is_train = 1").drop("is_train")
     test_df = marked.filter("is_train = 0").drop("is_train")
     model = MD.fit_risk_model(train_df, **fit_kw)
-    metrics = None
-    if ME.evaluable(test_df):
-        scored = MD.predict(model, test_df)
-        metrics = ME.ranking_metrics(scored).crossJoin(ME.threshold_metrics(scored))
+    scored = MD.predict(model, test_df)
+    metrics = (ME.ranking_metrics(scored).crossJoin(ME.threshold_metrics(scored))
+                 .withColumn("evaluable", F.lit(ME.evaluable(test_df))))
     return TrainResult(model, metrics, int(stats["tr"] or 0), int(stats["te"] or 0),
                        float(stats["pr"] or 0.0))
 

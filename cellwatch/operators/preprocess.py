@@ -1,13 +1,15 @@
 """M1-M3: median imputation + standardisation of numerics, most-frequent category.
 
 A small Spark ML ``Estimator``/``Model`` pair, persistable inside a
-``PipelineModel``. Fitting runs a few distributed aggregations (exact medians
-by selection, mean and population std, a grouped count for the mode);
+``PipelineModel``. Fitting runs two distributed aggregations (moments, counts
+and modes in one, plus the exact median by selection);
 transforming is plain column expressions, so it stays in whole-stage codegen.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -15,7 +17,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .quantiles import exact_median
+from .quantiles import exact_quantiles
 
 SCALED_SUFFIX = "__scaled"
 IMPUTED_SUFFIX = "__imputed"
@@ -47,32 +49,41 @@ class ImputeScale(Estimator, _ImputeScaleParams, DefaultParamsReadable, DefaultP
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "ImputeScaleModel":
+        """One pass for counts, moments and modes (riding along the quantile pass), one
+        to collect the median bands. Mean and std are those of the median-imputed
+        column, combined from the observed values' moments and the imputed count."""
         num = self.getOrDefault(self.numericCols)
         cat = self.getOrDefault(self.categoricalCols)
-        medians = exact_median(df, num) if num else {}
-        filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in num
-                  if medians[c] is not None}
-        means, stds = [], []
-        if num:
-            row = df.agg(*[F.avg(filled.get(c, F.col(c))).alias(f"m{i}") for i, c in enumerate(num)],
-                         *[F.stddev_pop(filled.get(c, F.col(c))).alias(f"s{i}") for i, c in enumerate(num)]
-                         ).first()
-            means = [row[f"m{i}"] for i in range(len(num))]
-            stds = [row[f"s{i}"] for i in range(len(num))]
-        modes = [most_frequent(df, c) for c in cat]
+        extra = [F.count(F.lit(1)).alias("__rows")]
+        for i, c in enumerate(num):
+            x = F.col(c).cast("double")
+            x = F.when(~F.isnan(x), x)
+            extra += [F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
+        # Category modes: a one-hot input has few levels (its width is the model's), so the
+        # per-level counts of ``mode`` stay small; ties go to the smallest value.
+        extra += [F.mode(F.col(c), True).alias(f"mode{j}") for j, c in enumerate(cat)]
+        qs = exact_quantiles(df, num, [0.5], extra=extra) if num else {
+            "__extra__": df.agg(*extra).first()}
+        row = qs["__extra__"]
+        medians, means, scales = [], [], []
+        for i, c in enumerate(num):
+            med = qs[c][0]
+            n_obs, rows = row[f"n{i}"], row["__rows"]
+            mean, var = row[f"m{i}"], row[f"v{i}"]
+            k = rows - n_obs if med is not None else 0          # imputed rows
+            if n_obs and k:
+                tot = n_obs + k
+                delta = med - mean
+                mean_all = mean + delta * k / tot
+                var = (var * n_obs + delta * delta * n_obs * k / tot) / tot
+                mean = mean_all
+            medians.append(_num(med))
+            means.append(_num(mean))
+            scales.append(_scale(None if var is None else math.sqrt(max(var, 0.0))))
+        modes = [row[f"mode{j}"] for j in range(len(cat))]
         return ImputeScaleModel(
-            numericCols=num, categoricalCols=cat,
-            medians=[_num(medians.get(c)) for c in num],
-            means=[_num(m) for m in means],
-            scales=[_scale(s) for s in stds],
-            modes=[m if m is not None else "" for m in modes])
-
-
-def most_frequent(df: DataFrame, c: str):
-    """M3: most frequent non-null value, ties -> smallest (grouped count + top-1)."""
-    top = (df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-             .orderBy(F.col("_n").desc(), F.col(c).asc()).limit(1).collect())
-    return top[0][c] if top else None
+            numericCols=num, categoricalCols=cat, medians=medians, means=means, scales=scales,
+            modes=["" if m is None else str(m) for m in modes])
 
 
 def _num(v) -> float:

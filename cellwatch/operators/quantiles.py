@@ -29,15 +29,19 @@ def _interp(lo: float, hi: float, frac: float) -> float:
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    accuracy: int = 100_000, max_band: int = 200_000) -> dict[str, list]:
+                    accuracy: int = 100_000, max_band: int = 200_000,
+                    extra: list | None = None) -> dict[str, list]:
     """``{col: [q(p) for p in probs]}``; nulls (and NaN) ignored; None for an empty column.
 
     Same definition as numpy's default, Spark's ``percentile`` and DuckDB's
     ``quantile_cont``: position ``p*(n-1)``, linear between neighbours.
+    ``extra`` aggregate columns ride along the first pass; their row is
+    returned under the key ``"__extra__"``.
     """
     clean = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
     counts = df.agg(*[F.count(clean[c]).alias(f"n{i}") for i, c in enumerate(cols)],
-                    *[F.approx_count_distinct(clean[c]).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+                    *[F.approx_count_distinct(clean[c]).alias(f"d{i}") for i, c in enumerate(cols)],
+                    *(extra or [F.lit(None).alias("__none__")])).first()
     jobs = []   # one per (column, probability)
     for i, c in enumerate(cols):
         n = counts[f"n{i}"]
@@ -84,7 +88,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                 still.append(j)
         open_jobs = still
     if not jobs:
-        return {c: [None] * len(probs) for c in cols}
+        return {**{c: [None] * len(probs) for c in cols}, "__extra__": counts}
     # 3. collect (value, count) pairs inside every band
     parts = [F.when(_band(clean[j["c"]], j) & clean[j["c"]].isNotNull(),
                     F.struct(F.lit(k).alias("j"), clean[j["c"]].alias("v")))
@@ -103,6 +107,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     for i, c in enumerate(cols):
         if not counts[f"n{i}"]:
             out[c] = [None] * len(probs)
+    out["__extra__"] = counts
     return out
 
 
@@ -125,4 +130,4 @@ def _nth(pairs: list, rank: int) -> float:
 
 
 def exact_median(df: DataFrame, cols: list[str], **kw) -> dict[str, float | None]:
-    return {c: v[0] for c, v in exact_quantiles(df, cols, [0.5], **kw).items()}
+    return {c: v[0] for c, v in exact_quantiles(df, cols, [0.5], **kw).items() if c != "__extra__"}

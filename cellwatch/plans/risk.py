@@ -1,7 +1,8 @@
 """M15 train and M14 score: the two user-facing model pipelines.
 
-Train: hourly -> labelled daily rows -> complete rows (X11) -> session split
-(C5) -> checkpoint (several passes follow: statistics, indexer, LR iterations,
+Train: hourly -> daily features, checkpointed (the one expensive part: extract,
+sessions, rollup) -> label -> complete rows (X11) -> session split (C5),
+persisted (several passes follow: statistics, indexer, LR iterations,
 metrics) -> fit -> held-out metrics.
 
 Score: hourly -> daily features -> newest day per battery (W12) -> probability
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,26 +35,38 @@ class TrainResult:
     positive_rate: float
 
 
-def training_frame(hourly: DataFrame, notebook: bool = False) -> DataFrame:
-    """Labelled complete rows with their split flag, checkpointed to the shared folder."""
+def materialized_daily(hourly: DataFrame) -> DataFrame:
+    """T6 daily features written to the shared checkpoint folder (reliable: survives
+    lost executors; cuts the lineage so later passes do not redo the extract)."""
+    return chain.daily_features(hourly).checkpoint(eager=True)
+
+
+def training_frame(daily: DataFrame, notebook: bool = False) -> DataFrame:
+    """Labelled complete rows with their split flag, persisted for the fit's passes
+    (recomputed from the checkpointed daily table if a block is lost)."""
     features = C.NUM_FEATURES if notebook else C.FEATURES_ALL          # D6
-    rows = LB.model_rows(chain.labelled(hourly), features)
-    return LB.mark_split(rows).checkpoint(eager=True)
+    rows = LB.model_rows(LB.add_label(daily), features)
+    return LB.mark_split(rows).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def train(hourly: DataFrame, notebook: bool = False, **fit_kw) -> TrainResult:
-    marked = training_frame(hourly, notebook)
-    stats = marked.agg(F.sum(F.col("is_train")).alias("tr"),
-                       F.sum(1 - F.col("is_train")).alias("te"),
+def train_from_daily(daily: DataFrame, notebook: bool = False, **fit_kw) -> TrainResult:
+    marked = training_frame(daily, notebook)
+    stats = marked.agg(F.coalesce(F.sum("is_train"), F.lit(0)).alias("tr"),
+                       F.coalesce(F.sum(1 - F.col("is_train")), F.lit(0)).alias("te"),
                        F.avg(F.col("y_risk").cast("double")).alias("pr")).first()
     train_df = marked.filter("is_train = 1").drop("is_train")
     test_df = marked.filter("is_train = 0").drop("is_train")
     model = MD.fit_risk_model(train_df, **fit_kw)
     scored = MD.predict(model, test_df)
-    metrics = (ME.ranking_metrics(scored).crossJoin(ME.threshold_metrics(scored))
-                 .withColumn("evaluable", F.lit(ME.evaluable(test_df))))
-    return TrainResult(model, metrics, int(stats["tr"] or 0), int(stats["te"] or 0),
-                       float(stats["pr"] or 0.0))
+    thr = ME.threshold_metrics(scored)
+    metrics = (ME.ranking_metrics(scored).crossJoin(thr)
+                 .withColumn("evaluable", ((F.col("tp") + F.col("fn")) > 0) & ((F.col("tn") + F.col("fp")) > 0)))
+    return TrainResult(model, metrics, int(stats["tr"]), int(stats["te"]), float(stats["pr"] or 0.0))
+
+
+def train(hourly: DataFrame, notebook: bool = False, **fit_kw) -> TrainResult:
+    """M15 from hourly readings."""
+    return train_from_daily(materialized_daily(hourly), notebook, **fit_kw)
 
 
 def latest_per_battery(daily: DataFrame) -> DataFrame:
@@ -79,7 +93,11 @@ def score(hourly: DataFrame, model: PipelineModel, notebook: bool = False) -> Da
     Canonical: rows with a missing feature are not scored (``risk_prob`` null,
     alert 0). ``notebook=True`` scores them through the fitted imputers (D7).
     """
-    latest = latest_per_battery(chain.daily_features(hourly))
+    return score_from_daily(chain.daily_features(hourly), model, notebook)
+
+
+def score_from_daily(daily: DataFrame, model: PipelineModel, notebook: bool = False) -> DataFrame:
+    latest = latest_per_battery(daily)
     scored = MD.predict(model, latest)
     if not notebook:
         complete = F.lit(True)

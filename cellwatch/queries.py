@@ -302,11 +302,11 @@ def coef_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train, save and reload the model (S9), score the newest day per battery."""
     from .config import scratch_path
-    from .plans.risk import score, train
     from .sources.models import load_model, save_model
-    hourly = _hourly(spark, sf_dir)
-    path = save_model(train(hourly).model, scratch_path(spark, "model"))
-    return score(hourly, load_model(path))
+    from .plans.risk import materialized_daily, score_from_daily, train_from_daily
+    daily = materialized_daily(_hourly(spark, sf_dir))      # one extract for both
+    path = save_model(train_from_daily(daily).model, scratch_path(spark, "model"))
+    return score_from_daily(daily, load_model(path))
 
 
 @register

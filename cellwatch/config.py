@@ -106,6 +106,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def materialize(df, name: str):
+    """Write ``df`` as a parquet table under the shared checkpoint folder and read it back.
+
+    Cuts the lineage like a reliable checkpoint (survives lost executors), in one
+    job, and later passes read it columnar with pruning and filter pushdown.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
     import uuid

@@ -36,9 +36,9 @@ class TrainResult:
 
 
 def materialized_daily(hourly: DataFrame) -> DataFrame:
-    """T6 daily features written to the shared checkpoint folder (reliable: survives
-    lost executors; cuts the lineage so later passes do not redo the extract)."""
-    return chain.daily_features(hourly).checkpoint(eager=True)
+    """T6 daily features written to the shared checkpoint folder (survives lost
+    executors; cuts the lineage so later passes do not redo the extract)."""
+    return C.materialize(chain.daily_features(hourly), "daily_features")
 
 
 def training_frame(daily: DataFrame, notebook: bool = False) -> DataFrame:

@@ -18,11 +18,11 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
              "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
              "n/a", "nan", "null"]
 
-CORRUPT = "_corrupt_record"
+EXTRA = "__cellwatch_extra_field__"   # one column past the header: set only by too-long rows
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the header line (reads one line, no schema inference)."""
+    """Column names from the header line (no schema inference)."""
     try:
         return spark.read.option("header", True).option("multiLine", True).csv(path).columns
     except Exception as ex:  # missing path -> clear error
@@ -31,20 +31,11 @@ def _header(spark: SparkSession, path: str) -> list[str]:
         raise
 
 
-def _reader(spark: SparkSession, cols: list[str], mode: str):
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in cols]
-                          + ([T.StructField(CORRUPT, T.StringType())] if mode == "PERMISSIVE" else []))
-    r = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-         .option("escape", '"').option("mode", mode))
-    if mode == "PERMISSIVE":
-        r = r.option("columnNameOfCorruptRecord", CORRUPT)
-    return r
-
-
-def _field_count(line) -> F.Column:
-    """Fields in a raw CSV record: commas outside quoted sections, plus one."""
-    unquoted = F.regexp_replace(line, r'"[^"]*"', "")
-    return F.length(unquoted) - F.length(F.regexp_replace(unquoted, ",", "")) + 1
+def _reader(spark: SparkSession, cols: list[str], mode: str, extra: bool):
+    names = cols + ([EXTRA] if extra else [])
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    return (spark.read.schema(schema).option("header", True).option("multiLine", True)
+            .option("escape", '"').option("mode", mode))
 
 
 def na_to_null(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -54,18 +45,19 @@ def na_to_null(df: DataFrame, cols: list[str]) -> DataFrame:
 def read_csv_tolerant(spark: SparkSession, path: str) -> DataFrame:
     """S3: rows with too many fields are skipped; short rows are kept, padded with nulls.
 
+    The schema has one column more than the header: only a too-long row fills
+    it (a row whose one extra field is empty reads as null there and is kept).
     Default missing-value tokens become null. All columns are strings.
     """
     cols = _header(spark, path)
-    raw = _reader(spark, cols, "PERMISSIVE").csv(path)
-    ok = F.col(CORRUPT).isNull() | (_field_count(F.col(CORRUPT)) <= len(cols))
-    return na_to_null(raw.filter(ok).drop(CORRUPT), cols)
+    raw = _reader(spark, cols, "PERMISSIVE", extra=True).csv(path)
+    return na_to_null(raw.filter(F.col(EXTRA).isNull()).drop(EXTRA), cols)
 
 
 def read_csv_strict(spark: SparkSession, path: str) -> DataFrame:
     """Any malformed row fails the read; a missing file raises FileNotFoundError."""
     cols = _header(spark, path)
-    return na_to_null(_reader(spark, cols, "FAILFAST").csv(path), cols)
+    return na_to_null(_reader(spark, cols, "FAILFAST", extra=False).csv(path), cols)
 
 
 def require_columns(df: DataFrame, required=tuple(C.REQUIRED_HOURLY), what: str = "dataset") -> DataFrame:

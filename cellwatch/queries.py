@@ -332,3 +332,10 @@ def newest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     (hourly.repartition("_file").write.mode("overwrite").option("header", True)
            .partitionBy("_file").csv(folder))
     return newest_input(spark, folder)
+
+
+@register
+def score_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows scored, share at or above the alert threshold, exact percentiles."""
+    from .operators.metrics import score_summary as ss
+    return rounded(ss(event_scores(spark, sf_dir)))

@@ -50,29 +50,56 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
+def load(spark: SparkSession, source) -> DataFrame:
+    """S1/S2 in production: a DataFrame as is, a catalog table name (``db.table``,
+    e.g. an Iceberg table when the catalog has it) or a parquet path."""
+    if isinstance(source, DataFrame):
+        return source
+    if "/" in source or source.endswith(".parquet"):
+        return spark.read.parquet(source)
+    return spark.table(source)
+
+
 def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+def _json_object(pairs, escaped: bool = False) -> Column:
+    """JSON object text by concatenation (stays in generated code, unlike ``to_json`` of a
+    struct). Values are string columns without quotes or backslashes, or already-built
+    object text given as ``("raw", column)``. ``escaped`` writes the quotes as \\" for
+    an object embedded in a JSON string."""
+    q = '\\"' if escaped else '"'
+    parts = [F.lit("{")]
+    for i, (key, value) in enumerate(pairs):
+        parts.append(F.lit(("," if i else "") + f"{q}{key}{q}:"))
+        if isinstance(value, tuple) and value[0] == "raw":
+            parts.append(value[1])
+        else:
+            parts += [F.lit(q), value, F.lit(q)]
+    parts.append(F.lit("}"))
+    return F.concat(*parts)
+
+
 def snapshots_from_events(events: DataFrame) -> DataFrame:
     """T1 raw device snapshots derived from ``events`` (one snapshot per event)."""
     e, u, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
-    k = F.get_json_object("props", "$.k").try_cast("int")
+    k = F.from_json("props", "k INT").getField("k")
     bloq = F.concat(F.lit("bloq-"), F.lpad(_s(u), 6, "0"))
 
     metadata = (
-        F.when(u % 3 == 0, F.to_json(F.struct(
-            F.concat(F.lit("Partner"), _s(u % 7), F.lit(" 0001")).alias("bloqitName"),
-            F.concat(F.lit("APM-"), _s(u)).alias("apm_name"))))
-        .when(u % 3 == 1, F.to_json(F.struct(
-            F.concat(F.lit("LK"), _s(u % 7)).alias("bloqitName"),
-            F.concat(F.lit("V-"), _s(u)).alias("vintedCode"))))
+        F.when(u % 3 == 0, _json_object([
+            ("bloqitName", F.concat(F.lit("Partner"), _s(u % 7), F.lit(" 0001"))),
+            ("apm_name", F.concat(F.lit("APM-"), _s(u)))]))
+        .when(u % 3 == 1, _json_object([
+            ("bloqitName", F.concat(F.lit("LK"), _s(u % 7))),
+            ("vintedCode", F.concat(F.lit("V-"), _s(u)))]))
         .otherwise(F.lit("{}")))
 
-    details = F.to_json(F.struct(
-        F.when(u % 2 == 0, "PT").otherwise("ES").alias("country"),
-        F.concat(F.lit("Street "), _s(u)).alias("address"),
-        F.concat(F.lit("City "), _s(u % 5)).alias("city")))
+    details = _json_object([
+        ("country", F.when(u % 2 == 0, "PT").otherwise("ES")),
+        ("address", F.concat(F.lit("Street "), _s(u))),
+        ("city", F.concat(F.lit("City "), _s(u % 5)))])
 
     fw = (F.when(u % 4 == 0, "7.1.1").when(u % 4 == 1, "7.1.5")
           .when(u % 4 == 2, "7.2.0").otherwise("7.1.10"))
@@ -81,20 +108,25 @@ def snapshots_from_events(events: DataFrame) -> DataFrame:
                .when(ts < F.lit("2024-01-16").cast("timestamp_ntz"),
                      F.concat(F.lit("SN-"), _s(u), F.lit("-a")))
                .otherwise(F.concat(F.lit("SN-"), _s(u), F.lit("-b"))))
-    bat1 = F.struct(
-        F.lit("BAT1").alias("batteryName"),
-        F.concat(_s(F.floor(k / 3) + 58), F.lit("."), _s(k % 10)).alias("capacityStateOffCharge"),
-        F.concat(F.lit("12."), _s(e % 60 + 40)).alias("voltage"),
-        _s(e % 35).alias("temperature"),
-        F.struct(serial1.alias("battery_serial_number")).alias("extraInfo"))
-    bat2 = F.when(u % 17 != 16, F.struct(
-        F.lit("BAT2").alias("batteryName"),
-        F.when(k % 25 == 0, "").otherwise(_s(k % 40 + 60)).alias("capacityStateOffCharge"),
-        F.concat(F.lit("13."), _s(e % 60 + 10)).alias("voltage"),
-        _s(e % 30).alias("temperature"),
-        F.struct(F.concat(F.lit("SX-"), _s(u)).alias("battery_serial_number")).alias("extraInfo")))
-    battery_text = F.to_json(F.array_compact(F.array(bat1, bat2)))
-    firmware = F.to_json(F.struct(fw.alias("firmwareVersion"), battery_text.alias("battery")))
+    bat1 = _json_object([
+        ("batteryName", F.lit("BAT1")),
+        ("capacityStateOffCharge", F.concat(_s(F.floor(k / 3) + 58), F.lit("."), _s(k % 10))),
+        ("voltage", F.concat(F.lit("12."), _s(e % 60 + 40))),
+        ("temperature", _s(e % 35)),
+        ("extraInfo", ("raw", _json_object([("battery_serial_number", serial1)], escaped=True)))],
+        escaped=True)
+    bat2 = _json_object([
+        ("batteryName", F.lit("BAT2")),
+        ("capacityStateOffCharge", F.when(k % 25 == 0, "").otherwise(_s(k % 40 + 60))),
+        ("voltage", F.concat(F.lit("13."), _s(e % 60 + 10))),
+        ("temperature", _s(e % 30)),
+        ("extraInfo", ("raw", _json_object(
+            [("battery_serial_number", F.concat(F.lit("SX-"), _s(u)))], escaped=True)))],
+        escaped=True)
+    battery_text = F.concat(F.lit("["), bat1,
+                            F.when(u % 17 != 16, F.concat(F.lit(","), bat2)).otherwise(F.lit("")),
+                            F.lit("]"))
+    firmware = _json_object([("firmwareVersion", fw), ("battery", battery_text)])
 
     return events.select(
         e.alias("snapshot_id"),

@@ -1 +1,9 @@
-"""cellwatch package."""
+"""Streaming: intentionally empty.
+
+The original pipeline has no streaming part -- no watermarks, event-time
+windows, state or late-data handling. Late corrections arrive as new row
+versions and are resolved in batch by the newest-version rankings (W1, W2 in
+``operators.extract``). Nothing here is added beyond what the original does;
+a periodic batch run of ``plans.fleet.fleet_extract`` over the newest span is
+the way to keep the hourly readings current.
+"""

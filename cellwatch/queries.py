@@ -73,8 +73,14 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T3 hourly readings: the fleet extract over the whole derived tables."""
-    return fleet.fleet_extract(T.snapshots(spark, sf_dir), T.raw_events(spark, sf_dir), C.FLEET_AS_OF)
+    """T3 hourly readings: the fleet extract over the whole derived tables, written once
+    as a parquet table in the shared checkpoint folder (as the extract hands over to
+    the model steps). The session bounds and the split read their input in two
+    branches; from the written table each branch is a cheap columnar scan instead
+    of a second run of the extract."""
+    return C.materialize(
+        fleet.fleet_extract(T.snapshots(spark, sf_dir), T.raw_events(spark, sf_dir), C.FLEET_AS_OF),
+        "hourly")
 
 
 # --- C1 / C2 -----------------------------------------------------------------

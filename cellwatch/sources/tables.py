@@ -17,8 +17,7 @@ text for the oracle queries.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -60,101 +59,92 @@ def load(spark: SparkSession, source) -> DataFrame:
     return spark.table(source)
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
-
-
-def _json_object(pairs, escaped: bool = False) -> Column:
-    """JSON object text by concatenation (stays in generated code, unlike ``to_json`` of a
-    struct). Values are string columns without quotes or backslashes, or already-built
-    object text given as ``("raw", column)``. ``escaped`` writes the quotes as \\" for
-    an object embedded in a JSON string."""
-    q = '\\"' if escaped else '"'
-    parts = [F.lit("{")]
+def _obj(pairs, escaped: bool = False) -> str:
+    """SQL text building a JSON object by concatenation (stays in generated code, unlike
+    ``to_json`` of a struct). Values are SQL string expressions whose results hold no
+    quotes or backslashes, or ``("raw", expr)`` for already-built object text.
+    ``escaped`` writes each quote as a backslash-quote pair, for an object embedded in a
+    JSON string (the SQL literal doubles the backslash)."""
+    q = '\\\\"' if escaped else '"'
+    parts = ["'{'"]
     for i, (key, value) in enumerate(pairs):
-        parts.append(F.lit(("," if i else "") + f"{q}{key}{q}:"))
-        if isinstance(value, tuple) and value[0] == "raw":
+        parts.append("'" + ("," if i else "") + f"{q}{key}{q}:'")
+        if isinstance(value, tuple):
             parts.append(value[1])
         else:
-            parts += [F.lit(q), value, F.lit(q)]
-    parts.append(F.lit("}"))
-    return F.concat(*parts)
+            parts += [f"'{q}'", value, f"'{q}'"]
+    parts.append("'}'")
+    return "concat(" + ", ".join(parts) + ")"
+
+
+def _str(expr: str) -> str:
+    return f"CAST({expr} AS STRING)"
+
+
+# The derivation rule of FIXTURES.md §2, as SQL expressions over `events`
+# (one projection call instead of hundreds of column-building calls).
+_U, _E = "user_id", "event_id"
+_K = "from_json(props, 'k INT').k"
+_BLOQ = f"concat('bloq-', lpad({_str(_U)}, 6, '0'))"
+_SERIAL1 = (f"CASE WHEN {_E} % 5 = 0 THEN 'N/A' "
+            f"WHEN ts < TIMESTAMP_NTZ '2024-01-16 00:00:00' THEN concat('SN-', {_str(_U)}, '-a') "
+            f"ELSE concat('SN-', {_str(_U)}, '-b') END")
+_BAT1 = _obj([
+    ("batteryName", "'BAT1'"),
+    ("capacityStateOffCharge", f"concat({_str(f'floor({_K} / 3) + 58')}, '.', {_str(f'{_K} % 10')})"),
+    ("voltage", f"concat('12.', {_str(f'{_E} % 60 + 40')})"),
+    ("temperature", _str(f"{_E} % 35")),
+    ("extraInfo", ("raw", _obj([("battery_serial_number", _SERIAL1)], escaped=True)))], escaped=True)
+_BAT2 = _obj([
+    ("batteryName", "'BAT2'"),
+    ("capacityStateOffCharge", f"CASE WHEN {_K} % 25 = 0 THEN '' ELSE {_str(f'{_K} % 40 + 60')} END"),
+    ("voltage", f"concat('13.', {_str(f'{_E} % 60 + 10')})"),
+    ("temperature", _str(f"{_E} % 30")),
+    ("extraInfo", ("raw", _obj([("battery_serial_number", f"concat('SX-', {_str(_U)})")],
+                               escaped=True)))], escaped=True)
+_BATTERIES = f"concat('[', {_BAT1}, CASE WHEN {_U} % 17 <> 16 THEN concat(',', {_BAT2}) ELSE '' END, ']')"
+_FW = (f"CASE {_U} % 4 WHEN 0 THEN '7.1.1' WHEN 1 THEN '7.1.5' WHEN 2 THEN '7.2.0' "
+       f"ELSE '7.1.10' END")
+
+SNAPSHOT_EXPRS = [
+    f"{_E} AS snapshot_id",
+    f"{_BLOQ} AS bloqs_id",
+    f"concat('P', {_str(f'{_U} % 7')}) AS partner",
+    f"CASE WHEN {_E} % 41 = 0 THEN 'false' ELSE 'true' END AS active",
+    f"concat('LOC-', {_str(f'{_U} % 5')}) AS location",
+    f"CASE WHEN {_U} % 13 = 12 THEN 'MAINS' ELSE 'BATTERY' END AS powersource",
+    f"CASE WHEN event_type <> 'signup' THEN 'live' WHEN {_E} % 2 = 1 THEN 'terminated' END AS lifecyclestatus",
+    "CASE {u} % 3 WHEN 0 THEN {a} WHEN 1 THEN {b} ELSE '{{}}' END AS metadata".format(
+        u=_U,
+        a=_obj([("bloqitName", f"concat('Partner', {_str(f'{_U} % 7')}, ' 0001')"),
+                ("apm_name", f"concat('APM-', {_str(_U)})")]),
+        b=_obj([("bloqitName", f"concat('LK', {_str(f'{_U} % 7')})"),
+                ("vintedCode", f"concat('V-', {_str(_U)})")])),
+    _obj([("country", f"CASE WHEN {_U} % 2 = 0 THEN 'PT' ELSE 'ES' END"),
+          ("address", f"concat('Street ', {_str(_U)})"),
+          ("city", f"concat('City ', {_str(f'{_U} % 5')})")]) + " AS details",
+    _obj([("firmwareVersion", _FW), ("battery", _BATTERIES)]) + " AS firmwaredetails",
+    "ts AS system_updated_at",
+]
+
+RAW_EVENT_EXPRS = [
+    f"concat('ev-', {_str(f'floor({_E} / 2)')}) AS events_id",
+    f"CASE WHEN {_E} % 9 <> 0 THEN concat('rent-', {_str(f'{_E} % 50')}) END AS rent",
+    f"CASE WHEN {_E} % 11 <> 0 THEN {_BLOQ} END AS bloq",
+    "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS timestamp",
+    "ts AS pipeline_ingested_at",
+    f"{_E} AS ingest_seq",
+]
 
 
 def snapshots_from_events(events: DataFrame) -> DataFrame:
     """T1 raw device snapshots derived from ``events`` (one snapshot per event)."""
-    e, u, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
-    k = F.from_json("props", "k INT").getField("k")
-    bloq = F.concat(F.lit("bloq-"), F.lpad(_s(u), 6, "0"))
-
-    metadata = (
-        F.when(u % 3 == 0, _json_object([
-            ("bloqitName", F.concat(F.lit("Partner"), _s(u % 7), F.lit(" 0001"))),
-            ("apm_name", F.concat(F.lit("APM-"), _s(u)))]))
-        .when(u % 3 == 1, _json_object([
-            ("bloqitName", F.concat(F.lit("LK"), _s(u % 7))),
-            ("vintedCode", F.concat(F.lit("V-"), _s(u)))]))
-        .otherwise(F.lit("{}")))
-
-    details = _json_object([
-        ("country", F.when(u % 2 == 0, "PT").otherwise("ES")),
-        ("address", F.concat(F.lit("Street "), _s(u))),
-        ("city", F.concat(F.lit("City "), _s(u % 5)))])
-
-    fw = (F.when(u % 4 == 0, "7.1.1").when(u % 4 == 1, "7.1.5")
-          .when(u % 4 == 2, "7.2.0").otherwise("7.1.10"))
-
-    serial1 = (F.when(e % 5 == 0, "N/A")
-               .when(ts < F.lit("2024-01-16").cast("timestamp_ntz"),
-                     F.concat(F.lit("SN-"), _s(u), F.lit("-a")))
-               .otherwise(F.concat(F.lit("SN-"), _s(u), F.lit("-b"))))
-    bat1 = _json_object([
-        ("batteryName", F.lit("BAT1")),
-        ("capacityStateOffCharge", F.concat(_s(F.floor(k / 3) + 58), F.lit("."), _s(k % 10))),
-        ("voltage", F.concat(F.lit("12."), _s(e % 60 + 40))),
-        ("temperature", _s(e % 35)),
-        ("extraInfo", ("raw", _json_object([("battery_serial_number", serial1)], escaped=True)))],
-        escaped=True)
-    bat2 = _json_object([
-        ("batteryName", F.lit("BAT2")),
-        ("capacityStateOffCharge", F.when(k % 25 == 0, "").otherwise(_s(k % 40 + 60))),
-        ("voltage", F.concat(F.lit("13."), _s(e % 60 + 10))),
-        ("temperature", _s(e % 30)),
-        ("extraInfo", ("raw", _json_object(
-            [("battery_serial_number", F.concat(F.lit("SX-"), _s(u)))], escaped=True)))],
-        escaped=True)
-    battery_text = F.concat(F.lit("["), bat1,
-                            F.when(u % 17 != 16, F.concat(F.lit(","), bat2)).otherwise(F.lit("")),
-                            F.lit("]"))
-    firmware = _json_object([("firmwareVersion", fw), ("battery", battery_text)])
-
-    return events.select(
-        e.alias("snapshot_id"),
-        bloq.alias("bloqs_id"),
-        F.concat(F.lit("P"), _s(u % 7)).alias("partner"),
-        F.when(e % 41 == 0, "false").otherwise("true").alias("active"),
-        F.concat(F.lit("LOC-"), _s(u % 5)).alias("location"),
-        F.when(u % 13 == 12, "MAINS").otherwise("BATTERY").alias("powersource"),
-        F.when(F.col("event_type") != "signup", "live")
-         .when(e % 2 == 1, "terminated").alias("lifecyclestatus"),
-        metadata.alias("metadata"),
-        details.alias("details"),
-        firmware.alias("firmwaredetails"),
-        ts.alias("system_updated_at"),
-    )
+    return events.selectExpr(*SNAPSHOT_EXPRS)
 
 
 def raw_events_from_events(events: DataFrame) -> DataFrame:
     """T2 raw rent events derived from ``events``; pairs of rows share an ``events_id``."""
-    e, u = F.col("event_id"), F.col("user_id")
-    return events.select(
-        F.concat(F.lit("ev-"), _s(F.floor(e / 2))).alias("events_id"),
-        F.when(e % 9 != 0, F.concat(F.lit("rent-"), _s(e % 50))).alias("rent"),
-        F.when(e % 11 != 0, F.concat(F.lit("bloq-"), F.lpad(_s(u), 6, "0"))).alias("bloq"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
-        F.col("ts").alias("pipeline_ingested_at"),
-        e.alias("ingest_seq"),
-    )
+    return events.selectExpr(*RAW_EVENT_EXPRS)
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,6 +99,39 @@ def threshold_metrics(df: DataFrame, score: str = "risk_prob", label: str = "y_r
         F.when(F.col("rows") > 0, (F.col("tp") + F.col("tn")) / F.col("rows")).otherwise(0.0).alias("accuracy"))
 
 
+def evaluate(df: DataFrame, score: str = "risk_prob", label: str = "y_risk",
+             threshold: float = C.ALERT_THRESHOLD) -> DataFrame:
+    """M8-M11 in one row from one per-score table: ranking metrics, confusion counts at
+    the threshold, the derived rates and whether both classes are present."""
+    t = score_table(df, score, label)
+    above = F.col("score") >= threshold
+    a = t.agg(
+        F.sum(F.col("pos") * (2 * F.col("neg_lt") + F.col("neg"))).alias("_auc2"),
+        F.sum(F.col("pos") * F.col("pos_ge") / (F.col("pos_ge") + F.col("neg_ge"))).alias("_ap"),
+        F.coalesce(F.max("P"), F.lit(0)).alias("P"), F.coalesce(F.max("N"), F.lit(0)).alias("N"),
+        F.coalesce(F.sum(F.when(above, F.col("pos"))), F.lit(0)).alias("tp"),
+        F.coalesce(F.sum(F.when(above, F.col("neg"))), F.lit(0)).alias("fp"))
+    ok = (F.col("P") > 0) & (F.col("N") > 0)
+    rows = F.col("P") + F.col("N")
+
+    def ratio(x, y):
+        return F.when(y > 0, x / y).otherwise(F.lit(0.0))
+    tp, fp = F.col("tp"), F.col("fp")
+    fn, tn = F.col("P") - tp, F.col("N") - fp
+    return a.select(
+        F.when(ok, F.col("_auc2") / (2.0 * F.col("P") * F.col("N"))).alias("roc_auc"),
+        F.when(ok, F.col("_ap") / F.col("P")).alias("average_precision"),
+        rows.cast("bigint").alias("rows"), tp.cast("bigint").alias("tp"), fp.cast("bigint").alias("fp"),
+        tn.cast("bigint").alias("tn"), fn.cast("bigint").alias("fn"),
+        ratio(F.col("P"), rows).alias("positive_rate"),
+        ratio(tp + fp, rows).alias("alert_rate"),
+        ratio(tp, F.col("P")).alias("recall"),
+        ratio(tp, tp + fp).alias("precision"),
+        F.when(ok, (tp / F.col("P") + tn / F.col("N")) / 2).alias("balanced_accuracy"),
+        ratio(tp + tn, rows).alias("accuracy"),
+        ok.alias("evaluable"))
+
+
 def evaluable(df: DataFrame, label: str = "y_risk") -> bool:
     """At least one row of each class."""
     row = df.agg(F.count(F.when(F.col(label) == 1, 1)).alias("p"),

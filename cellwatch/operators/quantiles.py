@@ -29,7 +29,7 @@ def _interp(lo: float, hi: float, frac: float) -> float:
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    accuracy: int = 100_000, max_band: int = 200_000,
+                    accuracy: int = 100_000, max_band: int = 50_000,
                     extra: list | None = None) -> dict[str, list]:
     """``{col: [q(p) for p in probs]}``; nulls (and NaN) ignored; None for an empty column.
 

@@ -57,10 +57,7 @@ def train_from_daily(daily: DataFrame, notebook: bool = False, **fit_kw) -> Trai
     train_df = marked.filter("is_train = 1").drop("is_train")
     test_df = marked.filter("is_train = 0").drop("is_train")
     model = MD.fit_risk_model(train_df, **fit_kw)
-    scored = MD.predict(model, test_df)
-    thr = ME.threshold_metrics(scored)
-    metrics = (ME.ranking_metrics(scored).crossJoin(thr)
-                 .withColumn("evaluable", ((F.col("tp") + F.col("fn")) > 0) & ((F.col("tn") + F.col("fp")) > 0)))
+    metrics = ME.evaluate(MD.predict(model, test_df))
     return TrainResult(model, metrics, int(stats["tr"]), int(stats["te"]), float(stats["pr"] or 0.0))
 
 

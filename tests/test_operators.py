@@ -296,3 +296,42 @@ def test_latest_snapshot_tie_break(spark):
                 lifecyclestatus="live", active="true") for i, m in [(1, 5), (2, 30), (3, 30), (4, 61)]]
     out = X.hourly_latest(spark.createDataFrame(rows), "2024-01-20").collect()
     assert sorted(r.snapshot_id for r in out) == [3, 4]
+
+
+def test_evaluate_matches_separate_metrics(spark):
+    rng = np.random.default_rng(11)
+    scores = (rng.integers(0, 50, 800) / 50).tolist()
+    labels = [int(rng.random() < s) for s in scores]
+    df = spark.createDataFrame(list(zip(scores, labels)), "risk_prob double, y_risk int")
+    one = ME.evaluate(df).first().asDict()
+    two = {**ME.ranking_metrics(df).first().asDict(), **ME.threshold_metrics(df).first().asDict()}
+    for k, v in two.items():
+        assert one[k] == pytest.approx(v, abs=1e-12), k
+    assert one["evaluable"] is True
+
+
+def test_strict_sessions_and_notebook_scoring(spark):
+    rows = [("b", "BAT1", 0, "a", 50.0, 12.5, 1)]
+    df = CL.clean(hourly_rows(spark, rows)).drop("country")
+    out = SE.add_sessions(df)                                   # tolerant: adds missing optional
+    assert "country" in out.columns
+    with pytest.raises(KeyError):
+        SE.add_sessions(df.drop("partner"), strict=True)
+
+
+def test_score_leaves_incomplete_rows_unscored(spark):
+    from cellwatch import queries as Q
+    res = risk.train(Q._hourly(spark, "/root/testdata/sf0.01"))
+    daily = risk.materialized_daily(Q._hourly(spark, "/root/testdata/sf0.001"))
+    one = daily.select("bloqs_id", "battery_name").orderBy("bloqs_id", "battery_name").first()
+    hit = (F.col("bloqs_id") == one.bloqs_id) & (F.col("battery_name") == one.battery_name)
+    daily = daily.withColumn("volt_slope_7d", F.when(hit, None).otherwise(F.col("volt_slope_7d")))
+    canon = {(r.bloqs_id, r.battery_name): r for r in risk.score_from_daily(daily, res.model).collect()}
+    nb = {(r.bloqs_id, r.battery_name): r for r in
+          risk.score_from_daily(daily, res.model, notebook=True).collect()}
+    key = (one.bloqs_id, one.battery_name)
+    assert canon[key].risk_prob is None and canon[key].model_alert == 0        # D7 canonical
+    assert nb[key].risk_prob is not None                                        # imputed
+    assert set(canon) == set(nb) and len(canon) == daily.select("bloqs_id", "battery_name").distinct().count()
+    others = [k for k in canon if k != key]
+    assert all(canon[k].risk_prob == pytest.approx(nb[k].risk_prob) for k in others)

@@ -44,6 +44,7 @@ def clean_summary(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
     """Rows and distinct devices before and after cleaning (one row)."""
     before = raw.agg(F.count(F.lit(1)).alias("rows_before"),
                      F.count_distinct("bloqs_id").alias("bloqs_before"))
-    after = cleaned.agg(F.count(F.lit(1)).alias("rows_after"),
-                        F.count_distinct("bloqs_id").alias("bloqs_after"))
-    return before.crossJoin(after)   # one row x one row
+    return before.withColumns({
+        "rows_after": cleaned.agg(F.count(F.lit(1))).scalar(),
+        "bloqs_after": cleaned.agg(F.count_distinct("bloqs_id")).scalar(),
+    })

@@ -12,7 +12,7 @@ inside each bucket.
 from __future__ import annotations
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -139,19 +139,21 @@ def evaluable(df: DataFrame, label: str = "y_risk") -> bool:
     return bool(row["p"]) and bool(row["n"])
 
 
+def _quantile_columns(df: DataFrame, score: str, probs) -> list:
+    qs = exact_quantiles(df, [score], list(probs))[score]
+    return [F.lit(q).cast("double").alias(f"p{int(round(p * 100)):02d}") for p, q in zip(probs, qs)]
+
+
 def score_quantiles(df: DataFrame, score: str = "risk_prob",
                     probs=tuple(C.SCORE_QUANTILES)) -> DataFrame:
-    """Exact linear quantiles of the scores (p01, p05, p50, p95, p99)."""
-    spark = SparkSession.getActiveSession() or df.sparkSession
-    qs = exact_quantiles(df, [score], list(probs))[score]
-    names = [f"p{int(round(p * 100)):02d}" for p in probs]
-    return spark.createDataFrame([tuple(qs)], ", ".join(f"{n} double" for n in names))
+    """Exact linear quantiles of the scores (p01, p05, p50, p95, p99), one row."""
+    return df.agg(F.count(F.lit(1)).alias("_n")).select(*_quantile_columns(df, score, probs))
 
 
 def score_summary(df: DataFrame, score: str = "risk_prob",
                   threshold: float = C.ALERT_THRESHOLD) -> DataFrame:
     """Rows scored, score percentiles and the share at or above the alert threshold."""
     s = df.select(S.nan_to_null(F.col(score).cast("double")).alias("s")).filter("s IS NOT NULL")
-    head = s.agg(F.count(F.lit(1)).cast("bigint").alias("rows_scored"),
-                 F.avg((F.col("s") >= threshold).cast("double")).alias("share_flagged"))
-    return head.crossJoin(score_quantiles(s, "s"))
+    return s.agg(F.count(F.lit(1)).cast("bigint").alias("rows_scored"),
+                 F.avg((F.col("s") >= threshold).cast("double")).alias("share_flagged"),
+                 *_quantile_columns(s, "s", C.SCORE_QUANTILES))

@@ -30,10 +30,11 @@ WEIGHT = "_class_weight"
 def class_weights(df: DataFrame, label: str = "y_risk") -> DataFrame:
     """M6 weights per class: ``n / (n_classes * n_class)`` (lazy, one row per class)."""
     per = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
-    tot = per.agg(F.sum("n_class").alias("n"), F.count(F.lit(1)).alias("k"))
-    return (per.crossJoin(tot)                      # classes x 1 row
-               .select(F.col(label).cast("int").alias(label), F.col("n_class").cast("bigint").alias("n_class"),
-                       (F.col("n") / (F.col("k") * F.col("n_class"))).alias("weight")))
+    n = per.agg(F.sum("n_class")).scalar()              # rows
+    k = per.agg(F.count(F.lit(1))).scalar()             # classes present
+    return per.select(F.col(label).cast("int").alias(label),
+                      F.col("n_class").cast("bigint").alias("n_class"),
+                      (n / (k * F.col("n_class"))).alias("weight"))
 
 
 def build_pipeline(n_train: int, max_iter: int = 2000, tol: float = 1e-10,

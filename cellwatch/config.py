@@ -94,16 +94,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is used as is. Only when it is unset (local runs and tests) a fresh local
     folder is created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:          # a Spark Connect session has no SparkContext
+        sc = None
+    current = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if not sc.getCheckpointDir():
+        if sc and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current.rstrip("/")
     path = tempfile.mkdtemp(prefix="cellwatch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
-    return sc.getCheckpointDir().rstrip("/")
+    if sc:
+        sc.setCheckpointDir(path)
+        return sc.getCheckpointDir().rstrip("/")
+    return path
 
 
 def materialize(df, name: str):

@@ -10,10 +10,13 @@ from ..functions import scalar as S
 NUMERIC = ["soc", "voltage", "temperature", "rents"]
 
 
-def to_timestamp_column(df: DataFrame) -> DataFrame:
-    """``hour_bucket`` becomes ``timestamp`` (an existing ``timestamp`` is dropped)."""
+def to_timestamp_column(df: DataFrame, drop_existing: bool = True) -> DataFrame:
+    """``hour_bucket`` becomes ``timestamp``. By default an existing ``timestamp`` is
+    dropped first; ``drop_existing=False`` only renames (the notebook variant, D3)."""
     if "hour_bucket" in df.columns:
-        df = df.drop("timestamp").withColumnRenamed("hour_bucket", "timestamp")
+        if drop_existing:
+            df = df.drop("timestamp")
+        df = df.withColumnRenamed("hour_bucket", "timestamp")
     return df
 
 
@@ -26,12 +29,12 @@ def typed(df: DataFrame) -> DataFrame:
     return df.withColumns(cols)
 
 
-def clean(df: DataFrame) -> DataFrame:
+def clean(df: DataFrame, drop_existing_timestamp: bool = True) -> DataFrame:
     """Rename, type, normalise serials, keep rows with time, SoC >= 0 and voltage > 0.
 
     Row order is not kept (the later windows order by time themselves).
     """
-    df = typed(to_timestamp_column(df))
+    df = typed(to_timestamp_column(df, drop_existing_timestamp))
     if "battery_serial_number" in df.columns:
         df = df.withColumn("battery_serial_number", S.clean_serial("battery_serial_number"))
     return df.filter(

@@ -43,9 +43,12 @@ def spread(df: DataFrame) -> DataFrame:
     """Fixture adapter only: a one-split input (one small file, one row group) is
     spread round-robin over the cores so the per-row JSON work runs in parallel.
     Warehouse tables arrive in many splits and are read as they are."""
-    sc = df.sparkSession.sparkContext
-    if df.rdd.getNumPartitions() < sc.defaultParallelism:
-        return df.repartition(sc.defaultParallelism)
+    try:
+        sc = df.sparkSession.sparkContext
+        if df.rdd.getNumPartitions() < sc.defaultParallelism:
+            return df.repartition(sc.defaultParallelism)
+    except Exception:          # no SparkContext (Spark Connect): read as is
+        pass
     return df
 
 

@@ -174,8 +174,12 @@ def risk_label_lookahead(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def session_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A8, O5 (seeded md5 order, bucketed global rank), J3 flag."""
-    rows = LB.model_rows(chain.labelled(_hourly(spark, sf_dir)))
+    """A8, O5 (seeded md5 order, bucketed global rank), J3 flag.
+
+    As in training, the split runs on the written daily table: its bucket-size
+    branch and its ranking branch then re-read that table, not the windows."""
+    from .plans.risk import materialized_daily
+    rows = LB.model_rows(LB.add_label(materialized_daily(_hourly(spark, sf_dir))))
     return LB.split_sessions(rows)
 
 

@@ -50,6 +50,8 @@ def train_job(spark: SparkSession, source: str, model_path: str,
     MS.save_model(result.model, model_path)
     if publish_folder:
         MS.publish_model(result.model, publish_folder)
+    result.metrics = spark.createDataFrame([result.metrics.first()], result.metrics.schema)  # one row
+    result.release()
     return result
 
 

@@ -33,6 +33,13 @@ class TrainResult:
     train_rows: int
     test_rows: int
     positive_rate: float
+    frame: DataFrame | None = None   # the persisted training frame (lazy ``metrics`` read it)
+
+    def release(self) -> None:
+        """Drop the persisted training frame once ``metrics`` has been read."""
+        if self.frame is not None:
+            self.frame.unpersist()
+            self.frame = None
 
 
 def materialized_daily(hourly: DataFrame) -> DataFrame:
@@ -58,7 +65,8 @@ def train_from_daily(daily: DataFrame, notebook: bool = False, **fit_kw) -> Trai
     test_df = marked.filter("is_train = 0").drop("is_train")
     model = MD.fit_risk_model(train_df, **fit_kw)
     metrics = ME.evaluate(MD.predict(model, test_df))
-    return TrainResult(model, metrics, int(stats["tr"]), int(stats["te"]), float(stats["pr"] or 0.0))
+    return TrainResult(model, metrics, int(stats["tr"]), int(stats["te"]), float(stats["pr"] or 0.0),
+                       frame=marked)
 
 
 def train(hourly: DataFrame, notebook: bool = False, **fit_kw) -> TrainResult:

@@ -335,3 +335,19 @@ def test_score_leaves_incomplete_rows_unscored(spark):
     assert set(canon) == set(nb) and len(canon) == daily.select("bloqs_id", "battery_name").distinct().count()
     others = [k for k in canon if k != key]
     assert all(canon[k].risk_prob == pytest.approx(nb[k].risk_prob) for k in others)
+
+
+def test_hot_device_hour_keeps_exactly_the_newest(spark):
+    """A third of all rows on one device-hour: the map-side top-1 still yields one row."""
+    fw = '{"battery":"[{\\"batteryName\\":\\"BAT1\\",\\"capacityStateOffCharge\\":\\"1\\"}]","n":"bat2"}'
+    base = spark.range(0, 9000).selectExpr(
+        "id AS snapshot_id",
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('b', CAST(id AS STRING)) END AS bloqs_id",
+        "'{}' AS metadata", "'{}' AS details", f"'{fw}' AS firmwaredetails",
+        "TIMESTAMP_NTZ '2024-01-10 05:00:00' + make_dt_interval(0, 0, 0, id % 3600) AS system_updated_at",
+        "'BATTERY' AS powersource", "'live' AS lifecyclestatus", "'true' AS active").repartition(8)
+    out = X.hourly_latest(base, "2024-01-20").filter("bloqs_id = 'hot'").collect()
+    hot_max = base.filter("bloqs_id = 'hot'").selectExpr("max(system_updated_at) AS m").first().m
+    newest = base.filter(F.col("bloqs_id") == "hot").filter(F.col("system_updated_at") == hot_max) \
+                 .agg(F.max("snapshot_id")).first()[0]
+    assert len(out) == 1 and out[0].snapshot_id == newest

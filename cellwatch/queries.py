@@ -45,7 +45,7 @@ def hourly_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rents_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W2, X7, F2, A1 over the whole event table."""
     return X.rents_per_hour(T.raw_events(spark, sf_dir)).select(
-        "bloq", "timestp", F_bigint("rents"))
+        "bloq", "timestp", as_bigint("rents"))
 
 
 @register
@@ -61,7 +61,7 @@ def silent_batteries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fleet.silent_batteries(T.snapshots(spark, sf_dir), C.SILENT_AS_OF)
 
 
-def F_bigint(name: str):
+def as_bigint(name: str):
     return F.col(name).cast("bigint").alias(name)
 
 
@@ -95,7 +95,7 @@ def clean_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and distinct devices before/after cleaning."""
     raw = _hourly(spark, sf_dir)
     return CL.clean_summary(raw, CL.clean(raw)).select(
-        *[F_bigint(c) for c in ["rows_before", "bloqs_before", "rows_after", "bloqs_after"]])
+        *[as_bigint(c) for c in ["rows_before", "bloqs_before", "rows_after", "bloqs_after"]])
 
 
 @register

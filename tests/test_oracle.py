@@ -26,3 +26,15 @@ def test_entry_runs(spark):
 
 def test_every_sql_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+@pytest.mark.parametrize("name", ["fleet_extract", "battery_sessions", "days_left"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    """Hour buckets, day boundaries and day counts are wall-clock (TIMESTAMP_NTZ) based."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        ok, msg = compare(spark, SF, name, con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert ok, msg

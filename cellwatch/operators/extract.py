@@ -147,9 +147,21 @@ def hourly_readings(snaps: DataFrame, as_of=None) -> DataFrame:
     return battery_readings(hourly_latest(snaps, as_of))
 
 
-def latest_event_versions(events: DataFrame, tie_breakers=("ingest_seq",)) -> DataFrame:
-    """W2 + X7: events with a device, newest ingested version per ``events_id``."""
+def latest_event_versions(events: DataFrame, tie_breakers=("ingest_seq",),
+                          since: Column | None = None) -> DataFrame:
+    """W2 + X7: events with a device, newest ingested version per ``events_id``.
+
+    With ``since``, only events having at least one version at or after it are
+    ranked (all their versions are kept, so the newest is still found). An
+    event whose versions all lie before ``since`` cannot yield a row at or after
+    it, so this is exact. When the recent ids are few, AQE broadcasts them and
+    old history is dropped before the ranking shuffle; otherwise the semi-join's
+    ``events_id`` partitioning is reused by the ranking window.
+    """
     ev = events.filter(F.col("bloq").isNotNull())
+    if since is not None:
+        recent = ev.filter(S.iso_hour("timestamp") >= since).select("events_id").distinct()
+        ev = ev.join(recent, "events_id", "left_semi")
     order = [F.col("pipeline_ingested_at").desc()] + [
         F.col(c).desc() for c in tie_breakers if c in ev.columns]
     w = Window.partitionBy("events_id").orderBy(*order)
@@ -165,7 +177,7 @@ def rents_per_hour(events: DataFrame, since: Column | None = None) -> DataFrame:
     ``since`` may drop hours no reading can match; it is applied after the
     version ranking, never before (versions of one event may move in time).
     """
-    ev = latest_event_versions(events)
+    ev = latest_event_versions(events, since=since)
     if since is not None:
         ev = ev.filter(F.col("timestp") >= since)
     return (ev.groupBy("bloq", "timestp")

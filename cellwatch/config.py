@@ -21,6 +21,12 @@ VOLTAGE_EARLY_WARNING = 12.9  # [12.7, 12.9] -> "Early Warning", else "OK"
 INVALID_SERIALS = ["", "N/A", "nan", "None"]
 RECENT_FIRMWARE_PREFIX = "7.1."
 OLD_FIRMWARE_EXCLUDED = ["7.1.1", "7.1.2"]
+FIRMWARE_CLASSES = ("recent", "old")
+VOLTAGE_BANDS = ("Warning", "Early Warning", "OK")
+FLEET_POWER_SOURCE = "BATTERY"       # devices kept by the fleet filter
+EXCLUDED_LIFECYCLE = "terminated"
+ACTIVE_FLAG = "true"                 # text, not boolean
+BATTERY_TAGS = ["bat1", "bat2"]      # both must occur in the lower-cased firmware text
 PARTNER_SUFFIX_LEN = 5      # partner = device name without its last 5 chars
 FLEET_LOOKBACK_MONTHS = 1   # fleet extract span
 SILENT_LOOKBACK_DAYS = 30   # silent report span

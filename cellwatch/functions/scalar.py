@@ -59,7 +59,8 @@ def firmware_class(version) -> Column:
     """'recent' for 7.1.x except 7.1.1 and 7.1.2; everything else 'old'."""
     v = col(version)
     recent = v.startswith(C.RECENT_FIRMWARE_PREFIX) & ~v.isin(*C.OLD_FIRMWARE_EXCLUDED)
-    return F.when(F.coalesce(recent, F.lit(False)), "recent").otherwise("old")
+    new, old = C.FIRMWARE_CLASSES
+    return F.when(F.coalesce(recent, F.lit(False)), new).otherwise(old)
 
 
 def clean_serial(serial) -> Column:
@@ -82,9 +83,10 @@ def days_between(end, start) -> Column:
 def voltage_band(volt) -> Column:
     """<12.7 Warning; 12.7..12.9 (both ends) Early Warning; else (and null) OK."""
     v = col(volt)
-    return (F.when(v < C.VOLTAGE_WARNING, "Warning")
-            .when(v.between(C.VOLTAGE_WARNING, C.VOLTAGE_EARLY_WARNING), "Early Warning")
-            .otherwise("OK"))
+    warning, early, ok = C.VOLTAGE_BANDS
+    return (F.when(v < C.VOLTAGE_WARNING, warning)
+            .when(v.between(C.VOLTAGE_WARNING, C.VOLTAGE_EARLY_WARNING), early)
+            .otherwise(ok))
 
 
 def flag_at_least(x, threshold: float) -> Column:

@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 from .. import config as C
 from ..functions import scalar as S
 
-# JSON documents embedded in the snapshot text columns.
+# Field names of the JSON documents embedded in the snapshot text
+# columns (they must equal the source system's).
 METADATA_SCHEMA = T.StructType([
     T.StructField("bloqitName", T.StringType()),
     T.StructField("apm_name", T.StringType()),
@@ -61,10 +62,10 @@ def as_of_ts(as_of) -> Column:
 def fleet_filter(df: DataFrame) -> DataFrame:
     """Battery-powered, live (status known and not terminated), active devices."""
     return df.filter(
-        (F.col("powersource") == "BATTERY")
+        (F.col("powersource") == C.FLEET_POWER_SOURCE)
         & F.col("lifecyclestatus").isNotNull()
-        & (F.col("lifecyclestatus") != "terminated")
-        & (F.col("active") == "true"))
+        & (F.col("lifecyclestatus") != C.EXCLUDED_LIFECYCLE)
+        & (F.col("active") == C.ACTIVE_FLAG))
 
 
 def since_months(df: DataFrame, as_of=None, months: int = C.FLEET_LOOKBACK_MONTHS) -> DataFrame:
@@ -95,7 +96,10 @@ def latest_per_hour(df: DataFrame, tie_breakers=("snapshot_id",)) -> DataFrame:
 def both_batteries(df: DataFrame) -> DataFrame:
     """The firmware document mentions BAT1 and BAT2 (text test, after ranking)."""
     fw = F.lower(F.col("firmwaredetails"))
-    return df.filter(fw.contains("bat1") & fw.contains("bat2"))
+    cond = F.lit(True)
+    for tag in C.BATTERY_TAGS:
+        cond = cond & fw.contains(tag)
+    return df.filter(cond)
 
 
 def parse_documents(df: DataFrame) -> DataFrame:

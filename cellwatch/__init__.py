@@ -1 +1 @@
-"""cellwatch package."""
+"""cellwatch: battery-fleet analytics as Spark DataFrame / SQL / ML plans."""

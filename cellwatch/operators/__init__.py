@@ -1 +1 @@
-"""cellwatch package."""
+"""Operators: DataFrame -> DataFrame steps (extract, clean, sessions, features, labels, ML, metrics)."""

@@ -43,13 +43,6 @@ BATTERY_SCHEMA = T.ArrayType(T.StructType([
     ])),
 ]))
 
-HOURLY_COLUMNS = [
-    "hour_bucket", "bloqs_id", "partner", "bloq_name", "fw_version", "fw_version_type",
-    "battery_name", "soc", "voltage", "temperature", "battery_serial_number",
-    "country", "address", "point_code",
-]
-
-
 def as_of_ts(as_of) -> Column:
     """The reference time (``current_timestamp`` by default) as TIMESTAMP_NTZ."""
     if as_of is None:

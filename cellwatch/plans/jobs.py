@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from .. import config as C
 from ..sources import csv as CSV
 from ..sources import files as FS
 from ..sources import models as MS
@@ -64,4 +63,4 @@ def run(spark: SparkSession, mode: str, **kw):
     raise ValueError("MODE must be 'train' or 'score'")
 
 
-__all__ = ["score_job", "train_job", "run", "C"]
+__all__ = ["score_job", "train_job", "run"]

@@ -1 +1 @@
-"""cellwatch package."""
+"""Sources and sinks: driver tables, raw device tables, CSV, file choice, models."""

@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from cellwatch import config as C
 from cellwatch.functions import scalar as S
 from cellwatch.operators import clean as CL
 from cellwatch.operators import extract as X

@@ -26,15 +26,33 @@ def _labelled_scores(df: DataFrame, score: str, label: str) -> DataFrame:
               .filter(F.col("score").isNotNull() & F.col("label").isNotNull()))
 
 
+def _boundaries(per: DataFrame, buckets: int):
+    """Equi-depth score boundaries (one SQL expression, not one column per probability)
+    and an estimate of the number of distinct scores, in one pass."""
+    probs = ", ".join(repr(i / buckets) for i in range(1, buckets))
+    accuracy = max(10_000, 4 * buckets)
+    row = per.agg(F.expr(f"percentile_approx(score, array({probs}), {accuracy})").alias("q"),
+                  F.approx_count_distinct("score").alias("d")).first()
+    return row["q"] or [], row["d"] or 0
+
+
 def score_table(df: DataFrame, score: str = "risk_prob", label: str = "y_risk",
-                buckets: int = 1024) -> DataFrame:
+                buckets: int = 1024, max_bucket_rows: int = 1_000_000) -> DataFrame:
     """Per distinct score: pos, neg, and counts strictly below (pos_lt, neg_lt) and at or
-    above it (pos_ge, neg_ge), plus totals P and N on every row."""
+    above it (pos_ge, neg_ge), plus totals P and N on every row.
+
+    Buckets start at ``buckets``; when the distinct scores would put more than
+    ``max_bucket_rows`` in a bucket, the boundaries are re-sketched with more
+    buckets (up to 65,536), so each in-bucket window stays bounded.
+    """
     per = (_labelled_scores(df, score, label).groupBy("score")
            .agg(F.sum("label").cast("bigint").alias("pos"),
                 F.sum(1 - F.col("label")).cast("bigint").alias("neg")))
-    probs = [i / buckets for i in range(1, buckets)]
-    qs = per.agg(F.percentile_approx("score", probs, 10_000).alias("q")).first()["q"] or []
+    qs, distinct = _boundaries(per, buckets)
+    wanted = min(65_536, -(-distinct // max_bucket_rows))
+    if wanted > buckets:
+        buckets = wanted
+        qs, _ = _boundaries(per, buckets)
     splits = [float("-inf")] + sorted(set(float(q) for q in qs)) + [float("inf")]
     b = Bucketizer(splits=splits, inputCol="score", outputCol="_b").transform(per)
     totals = b.groupBy("_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))

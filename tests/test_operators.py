@@ -350,3 +350,15 @@ def test_hot_device_hour_keeps_exactly_the_newest(spark):
     newest = base.filter(F.col("bloqs_id") == "hot").filter(F.col("system_updated_at") == hot_max) \
                  .agg(F.max("snapshot_id")).first()[0]
     assert len(out) == 1 and out[0].snapshot_id == newest
+
+
+def test_ranking_metrics_with_many_buckets(spark):
+    """Forcing more buckets than the default (tiny per-bucket cap) keeps the exact result."""
+    rng = np.random.default_rng(5)
+    scores = (rng.integers(0, 300, 900) / 300).tolist()
+    labels = [int(rng.random() < s) for s in scores]
+    df = spark.createDataFrame(list(zip(scores, labels)), "risk_prob double, y_risk int")
+    t = ME.score_table(df, buckets=4, max_bucket_rows=10)
+    got = t.agg(F.sum(F.col("pos") * (2 * F.col("neg_lt") + F.col("neg"))).alias("a"),
+                F.max("P").alias("P"), F.max("N").alias("N")).first()
+    assert math.isclose(got.a / (2.0 * got.P * got.N), _brute_auc(scores, labels), abs_tol=1e-12)

@@ -57,7 +57,8 @@ def build_pipeline(n_train: int, max_iter: int = 2000, tol: float = 1e-10,
 
 def fit_risk_model(train: DataFrame, label: str = "y_risk", **kw) -> PipelineModel:
     """Fit on ``train`` (expected persisted or checkpointed: several passes read it)."""
-    counts = {r[label]: r["n_class"] for r in class_weights(train, label).collect()}  # <= 2 rows
+    counts = {r[label]: r["n"] for r in                                  # <= 2 rows
+              train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
         raise ValueError(f"training data needs both classes, got {sorted(counts)}")
     n = sum(counts.values())

@@ -112,3 +112,32 @@ def test_extract_plan_prunes_and_limits(spark):
     assert "WindowGroupLimit" in plan                  # map-side top-1 before the ranking shuffle
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan
     assert "value" not in plan.split("ReadSchema:")[1].split("\n")[0]   # unused column pruned
+
+
+def test_logistic_regression_matches_newton_solve(spark, hourly):
+    """M6: Spark's weighted L2 fit equals a Newton solve of 0.5*|b|^2 + sum w_i logloss_i."""
+    import numpy as np
+    from cellwatch.operators.preprocess import SCALED_SUFFIX
+    res = risk.train(hourly)
+    marked = res.frame
+    tr = marked.filter("is_train = 1")
+    prep = res.model.stages[0]
+    levels = res.model.stages[1].labels
+    cols = [c + SCALED_SUFFIX for c in C.NUM_FEATURES]
+    pdf = prep.transform(tr).select(*cols, "fw_version_type__imputed", "y_risk").toPandas()
+    X = np.column_stack([pdf[cols].to_numpy()] +
+                        [(pdf["fw_version_type__imputed"] == lv).astype(float).to_numpy() for lv in levels])
+    y = pdf["y_risk"].to_numpy().astype(float)
+    n, npos = len(y), y.sum()
+    w = np.where(y == 1, n / (2 * npos), n / (2 * (n - npos)))
+    Xa = np.column_stack([X, np.ones(n)])
+    b = np.zeros(Xa.shape[1])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-Xa @ b))
+        g = Xa.T @ (w * (p - y)) + np.r_[b[:-1], 0.0]
+        H = Xa.T @ (Xa * (w * p * (1 - p))[:, None]) + np.diag(np.r_[np.ones(X.shape[1]), 0.0])
+        b -= np.linalg.solve(H, g)
+    lr = res.model.stages[-1]
+    got = np.r_[lr.coefficients.toArray(), lr.intercept]
+    assert np.max(np.abs(got - b)) < 1e-6
+    res.release()

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import quality_rules, token_counts
+from . import mixing, quality_rules, token_counts
 
 REGISTRY = {
+    "op1_mixing": mixing.op1_mixing,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_token_counts": token_counts.op10_token_counts,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_mixing": mixing.OP1_SQL,
+}

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from . import mixing, quality_rules, token_counts
+from . import chat_format, html_extract, mixing, quality_rules, secrets_crf, token_counts
 
 REGISTRY = {
     "op1_mixing": mixing.op1_mixing,
+    "op3_html_extract": html_extract.op3_html_extract,
+    "op6_secrets": secrets_crf.op6_secrets,
+    "op7_chat_format": chat_format.op7_chat_format,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_token_counts": token_counts.op10_token_counts,
 }

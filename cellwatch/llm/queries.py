@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat_format, html_extract, mixing, quality_rules, secrets_crf, token_counts
+from . import chat_format, html_extract, mixing, quality_rules, secrets_crf, token_counts, toxicity_cnn
 
 REGISTRY = {
     "op1_mixing": mixing.op1_mixing,
     "op3_html_extract": html_extract.op3_html_extract,
+    "op5_toxicity": toxicity_cnn.op5_toxicity,
     "op6_secrets": secrets_crf.op6_secrets,
     "op7_chat_format": chat_format.op7_chat_format,
     "op9_quality_rules": quality_rules.op9_quality_rules,

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import extended, map_arrow, table
-from .textvec import SPACED_CASED, Words, row_slices, column_bytes
+from .textvec import SPACED_CASED, Words, column_bytes, row_slices
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",

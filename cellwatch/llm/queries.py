@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, html_extract, mixing, quality_rules, secrets_crf, token_counts, toxicity_cnn
+from . import chat_format, decontaminate, html_extract, mixing, near_dups, quality_rules, secrets_crf, token_counts, toxicity_cnn
 
 REGISTRY = {
     "op1_mixing": mixing.op1_mixing,
@@ -11,6 +11,7 @@ REGISTRY = {
     "op5_toxicity": toxicity_cnn.op5_toxicity,
     "op6_secrets": secrets_crf.op6_secrets,
     "op7_chat_format": chat_format.op7_chat_format,
+    "op8_near_dups": near_dups.op8_near_dups,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_token_counts": token_counts.op10_token_counts,
 }

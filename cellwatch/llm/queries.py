@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, html_extract, mixing, near_dups, quality_rules, secrets_crf, token_counts, toxicity_cnn
+from . import chat_format, decontaminate, html_extract, lm_score, mixing, near_dups, quality_rules, secrets_crf, token_counts, toxicity_cnn
 
 REGISTRY = {
     "op1_mixing": mixing.op1_mixing,
     "op2_decontamination": decontaminate.op2_decontamination,
     "op3_html_extract": html_extract.op3_html_extract,
+    "op4_lm_score": lm_score.op4_lm_score,
     "op5_toxicity": toxicity_cnn.op5_toxicity,
     "op6_secrets": secrets_crf.op6_secrets,
     "op7_chat_format": chat_format.op7_chat_format,

@@ -9,10 +9,13 @@ sketch is its ``SKETCH`` smallest shingle hashes, or its whole set where that is
    sketches have make that a pigeonhole argument. The order comes from a fixed-size table of
    counts; any order gives the same result.) Values that very many documents share come last
    and are posted only by documents made of little else.
+   Lists of one member are dropped at once; sketches and full sets are kept on only for
+   documents in the lists that remain.
 3. Two rounds compare every member of a list with one member of it (the smallest id, then the
    smallest hash), which joins most groups without forming their pairs. What is left are
-   lists with members in several components: there, members outside the list's largest
-   component are compared with the others by products of membership matrices, in chunks.
+   lists with members in several components (of equal lists one): there, members outside the
+   list's largest component are compared with the others, by a self-join in lists of at most
+   ``FEW`` members and by products of membership matrices, in chunks, in longer ones.
 4. A pair passes if its union sketch estimates enough overlap: the shared values of both sketches
    reach ``LEAST`` (or, where both sketches are whole sets, the similarity itself). It is a link
    if the exact Jaccard similarity of the full sets is ``SIMILAR`` percent or more.
@@ -20,7 +23,7 @@ sketch is its ``SKETCH`` smallest shingle hashes, or its whole set where that is
 
 The least overlap of two incomplete sketches of linked sets is a bound in probability: at
 similarity 0.75 exactly, a pair's union sketch shares fewer than ``LEAST`` of ``SKETCH`` values
-with a probability under 1e-6 (4.8 standard deviations), less above it. Whole sets have
+with a probability under 1e-6 (4.9 standard deviations), less above it. Whole sets have
 no such error.
 
 Null text or no words: empty set, no links, component its own id. Rows with one id are one
@@ -41,10 +44,12 @@ from .textvec import SPACED, Words, column_bytes, grams, mix, row_slices
 
 SHINGLE = 5               # words
 SIMILAR = 75              # percent
-SKETCH = 192              # values of a sketch
-LEAST = 115               # values that sketches of linked documents share, at least
+SKETCH = 160              # values of a sketch
+LEAST = 93                # values that sketches of linked documents share, at least
 ORDER_BITS = 17           # of the table of counts that orders values
 CHUNK = 2048              # members of a list compared at a time
+FEW = 12                  # members of a list that is joined with itself
+SENT = 1_000_000          # ids sent to all executors at most (8 MB); more are joined by a shuffle
 
 
 def shingle_sets(col):
@@ -145,36 +150,45 @@ def similar_sizes(a, b):
     return (100 * F.least(a, b) >= SIMILAR * F.greatest(a, b))
 
 
-def links(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+def only(df: DataFrame, ids: DataFrame, on) -> DataFrame:
+    """Rows of ``df`` with a match in ``ids``: its size decides whether ``df`` has to be shuffled."""
+    return df.join(F.broadcast(ids) if ids.count() <= SENT else ids, on, "left_semi")
+
+
+def full_sets(docs: DataFrame, active: DataFrame) -> DataFrame:
+    """id, set of the active documents whose sketch is not the whole set."""
+    need = active.where(F.col("n") > SKETCH).select(F.col("id").alias("doc_id"))
+    texts = only(docs.where("doc_id IS NOT NULL").select("doc_id", "text"), need, "doc_id")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("set", LONGS)])
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(list(shingle_sets(batch.column(1))))],
+                                             ["id", "set"])
+
+    return written(map_arrow(texts, run, schema), "full-sets")
+
+
+def links(pairs: DataFrame, active: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar; written to the shared folder."""
-    left = classes.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    right = classes.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    left = active.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    right = active.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     p = pairs.select("a", "b").join(left, "a").join(right, "b")
     p = p.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).cast("long").alias("s"))
     whole = (F.col("na") <= SKETCH) & (F.col("nb") <= SKETCH)
     similar = 100 * F.col("s") >= SIMILAR * (F.col("na") + F.col("nb") - F.col("s"))
     p = written(p.where(F.when(whole, similar).otherwise(
         F.col("s") >= F.least(F.lit(LEAST), F.ceil(F.least("na", "nb") * F.lit(SIMILAR) / 100)))), "pairs")
-    known, rest = p.where(whole), p.where(~whole)
+    known, rest = p.where(whole).select("a", "b"), p.where(~whole).select("a", "b")
     if rest.isEmpty():
-        return known.select("a", "b")
-    need = rest.select(F.col("a").alias("doc_id")).union(rest.select("b")).distinct()
-    texts = docs.select("doc_id", "text").join(need, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("set", LONGS)])
-
-    def run(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(list(shingle_sets(batch.column(1))))],
-                                             ["id", "set"])
-
-    sets = written(map_arrow(texts, run, schema), "full-sets")
-    both = (rest.select("a", "b").join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a")
-            .join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b"))
+        return known
+    # A document with a whole sketch beside a longer one: its sketch is its full set.
+    every = sets.unionByName(active.where(F.col("n") <= SKETCH).select("id", F.col("sketch").alias("set")))
+    both = (rest.join(every.select(F.col("id").alias("a"), F.col("set").alias("x")), "a")
+            .join(every.select(F.col("id").alias("b"), F.col("set").alias("y")), "b"))
     both = both.select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("s"),
                        F.size("x").alias("na"), F.size("y").alias("nb"))
-    out = written(known.select("a", "b").union(both.where(similar).select("a", "b")), "links")
-    drop_written(sets)
-    return out
+    return written(known.union(both.where(similar).select("a", "b")), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -210,21 +224,30 @@ def star_pairs(lists: DataFrame, order) -> DataFrame:
     return pairs.select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")).distinct()
 
 
-def remaining_pairs(lists: DataFrame, classes: DataFrame) -> DataFrame:
+def remaining_pairs(lists: DataFrame, active: DataFrame) -> DataFrame:
     """a, b: pairs of a list's members in different components whose sketches overlap enough."""
-    by_label = lists.groupBy("value", "label").agg(F.count("*").alias("k"))
-    stats = by_label.groupBy("value").agg(F.count("*").alias("labels"), F.sum("k").alias("m"),
+    by_label = lists.groupBy("value", "label").agg(
+        F.count("*").alias("k"), F.sum(F.shiftright(F.xxhash64("id"), 20)).alias("sig"))
+    stats = by_label.groupBy("value").agg(F.count("*").alias("labels"), F.sum("k").alias("m"), F.sum("sig").alias("sig"),
                                           F.max(F.struct("k", "label")).alias("top"))
-    stats = stats.where("labels > 1").select("value", "m", F.col("top.label").alias("most"))
-    d = lists.join(stats, "value").withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("int"))
+    stats = written(stats.where("labels > 1").groupBy("m", "sig").agg(
+        F.min(F.struct("value", "top.label")).alias("v")).select(
+        F.col("v.value").alias("value"), "m", F.col("v.label").alias("most")), "open-lists")
+    d = lists.join(stats, "value")
+    few = d.where(F.col("m") <= FEW).select("value", "id", "n", "label")
+    other = few.select("value", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
+    pairs = few.join(other, "value").where((F.col("id") < F.col("id2")) & (F.col("label") != F.col("label2"))
+                                           & similar_sizes(F.col("n"), F.col("n2")))
+    pairs = pairs.select(F.col("id").alias("a"), F.col("id2").alias("b"))
+    d = d.where(F.col("m") > FEW).withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("int"))
     own = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
     loose = F.col("label") != F.col("most")
     # Members outside the largest component meet every chunk, the others only their own.
     d = d.select("value", "id", "n", "label", loose.alias("loose"),
                  F.explode(F.when(loose, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(own))).alias("chunk"))
-    d = d.join(classes.select("id", "sketch"), "id")
+    d = d.join(active.select("id", "sketch"), "id")
     ship(lists.sparkSession)
-    return d.groupBy("value", "chunk").applyInArrow(_compare, "a bigint, b bigint").distinct()
+    return pairs.union(d.groupBy("value", "chunk").applyInArrow(_compare, "a bigint, b bigint")).distinct()
 
 
 def _compare(group: pa.Table) -> pa.Table:
@@ -268,21 +291,30 @@ def _compare(group: pa.Table) -> pa.Table:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    own = written(sketches(docs), "sketches")
+    wide = written(sketches(docs), "sketches")
+    own = written(wide.drop("sketch"), "sets")
     classes = written(own.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("n_shingles", "c1", "c2").agg(
-        F.min("doc_id").alias("id"), F.first("sketch").alias("sketch")).withColumnRenamed("n_shingles", "n"), "classes")
-    lists = written(postings(classes), "lists")
-    edges = links(star_pairs(lists.withColumn("label", F.col("id")), F.col("id")), classes, docs)
+        F.min("doc_id").alias("id")), "classes")
+    same = ["doc_id", "n_shingles", "c1", "c2"]
+    first = only(wide, classes.withColumnRenamed("id", "doc_id"), same).select(
+        F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch")
+    posted_ = postings(first)
+    shared = posted_.groupBy("value").agg(F.count("*").alias("m")).where("m > 1").select("value")
+    lists = written(posted_.join(written(shared, "shared-values"), "value", "left_semi").distinct(), "lists")
+    active = written(only(first, lists.select("id").distinct(), "id").dropDuplicates(["id"]), "active")
+    drop_written(wide)
+    sets = full_sets(docs, active)
+    edges = links(star_pairs(lists.withColumn("label", F.col("id")), F.col("id")), active, sets)
     for round_ in ("hash", "rest"):
         labelled = written(_labelled(lists, edges), "labelled")
-        pairs = star_pairs(labelled, F.xxhash64("id")) if round_ == "hash" else remaining_pairs(labelled, classes)
-        edges = edges.union(links(pairs, classes, docs))
+        pairs = star_pairs(labelled, F.xxhash64("id")) if round_ == "hash" else remaining_pairs(labelled, active)
+        edges = edges.union(links(pairs, active, sets))
     component = components(edges)
-    member = classes.select("n", "c1", "c2", "id").join(component, "id", "left").select(
-        F.col("n").alias("_n"), F.col("c1").alias("_c1"), F.col("c2").alias("_c2"),
+    member = classes.join(component, "id", "left").select(
+        F.col("n_shingles").alias("_n"), F.col("c1").alias("_c1"), F.col("c2").alias("_c2"),
         F.coalesce("component", "id").alias("_component"))
-    out = own.drop("sketch").join(member, (F.col("n_shingles") == F.col("_n")) & (F.col("c1") == F.col("_c1"))
-                                  & (F.col("c2") == F.col("_c2")), "left")
+    out = own.join(member, (F.col("n_shingles") == F.col("_n")) & (F.col("c1") == F.col("_c1"))
+                   & (F.col("c2") == F.col("_c2")), "left")
     found = F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id"))
     return out.select("doc_id", "n_shingles", found.alias("component_id"),
                       F.coalesce(F.col("doc_id") == found, F.lit(True)).alias("kept"))

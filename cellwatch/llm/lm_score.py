@@ -171,7 +171,7 @@ def read_arrays(path: str) -> dict[str, np.ndarray]:
 
 def quantised(x: np.ndarray) -> np.ndarray:
     """Base-10 logarithms up to 0 in steps of UNIT, rounded down."""
-    return np.minimum(-np.floor(x / UNIT), 65535).astype(np.uint16)
+    return np.minimum(np.ceil(-x / UNIT), 65535).astype(np.uint16)
 
 
 def coded_counts(c: np.ndarray) -> np.ndarray:

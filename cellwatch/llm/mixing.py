@@ -264,7 +264,7 @@ s AS (
 f AS (
   SELECT *, 3.0 * source_size / weight AS fills FROM s),
 level AS (
-  SELECT min((total - filled) / open_weight) AS l FROM (
+  SELECT max((total - filled) / open_weight) AS l FROM (
     SELECT a.fills, (SELECT sum(source_size) FROM s) AS total,
            coalesce(sum(CASE WHEN b.fills <= a.fills THEN 3.0 * b.source_size END), 0) AS filled,
            sum(CASE WHEN b.fills > a.fills THEN b.weight END) AS open_weight

@@ -167,6 +167,8 @@ def learn_rules(stats: DataFrame, low: str = "_low", part: str = "_grow") -> lis
     edges = {s: e + [math.nextafter(e[-1], math.inf)] if e else [] for s, e in edges.items()}
     rules: list[list[Condition]] = []
     rest = stats
+    if not any(edges.values()):
+        return rules
     while len(rules) < MAX_RULES:
         grow, rule, covered = rest.where("_grow"), [], F.lit(True)
         while len(rule) < MAX_CONDITIONS:

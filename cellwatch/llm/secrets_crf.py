@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import extended, map_arrow, table
+from .common import extended, map_arrow, table, written
 from .textvec import SPACED_CASED, Words, column_bytes, row_slices
 
 KINDS = ("assign", "access", "hex")
@@ -251,14 +251,18 @@ def learn_field(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) ->
     """The field learnt from ``rows`` texts of at most SAMPLE_CHARS code points.
 
     Half of them hold a word that base patterns look for, where there are so many; each half
-    is the texts with the smallest hashes, so reruns agree.
+    is the distinct texts with the smallest hashes, so reruns agree.
     """
-    t = F.col(text)
-    d = docs.select(t.alias("t")).where(F.length(t).between(1, SAMPLE_CHARS))
+    d = docs.select(F.col(text).alias("t")).where(F.length(text).between(1, SAMPLE_CHARS))
     likely = F.col("t").rlike(r"(?i)password|passwd|secret|token|api_?key|AKIA|[0-9a-f]{24}")
     d = d.withColumn("k", likely).withColumn("h", F.xxhash64("t"))
-    sample = [r["t"] for kind in (True, False) for r in
-              d.where(F.col("k") == kind).orderBy("h").limit(rows // 2).select("t").collect()]
+    # Hashes first, so that no text is sorted; then the texts of those few.
+    hashes = written(d.select("k", "h").distinct(), "secret-sample")
+    chosen = [r["h"] for kind in (True, False)
+              for r in hashes.where(F.col("k") == kind).orderBy("h").limit(rows // 2).collect()]
+    few = docs.sparkSession.createDataFrame([(h,) for h in chosen], "h bigint")          # ``rows`` at most
+    found = d.join(F.broadcast(few), "h").groupBy("h").agg(F.min("t").alias("t")).collect()
+    sample = [r["t"] for r in sorted(found)]
     numbers, tags = training_windows(sample)
     return fit_field(numbers, tags) if (tags == B).any() else None
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -35,6 +36,7 @@ SCORE_QUANTILES = [0.01, 0.05, 0.50, 0.95, 0.99]
 TOP_RISKS = 10
 TOP_COEFFICIENTS = 30
 
+# Column names and their order, as the original's tables have them.
 NUM_FEATURES = [
     "volt_mean", "volt_slope_3d", "volt_slope_7d", "volt_vol_7d",
     "soc_slope_3d", "soc_slope_7d", "soc_vol_7d",
@@ -97,8 +99,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for cut lineage and written intermediates.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder and
-    is used as is. Only when it is unset (local runs and tests) a fresh local
-    folder is created and registered.
+    is used as is; where it is unset this raises. Only a local master, whose
+    executors are the driver's own threads, gets a fresh local folder.
     """
     try:
         sc = spark.sparkContext
@@ -109,6 +111,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current.rstrip("/")
+    master = sc.master if sc else "remote"
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir is not set: master {master} needs a folder all executors share")
     path = tempfile.mkdtemp(prefix="cellwatch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     if sc:
@@ -126,7 +131,22 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    _intermediates.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_intermediates: list[str] = []     # paths written by materialize() in this process
+
+
+def drop_intermediates(spark: SparkSession) -> int:
+    """Delete the tables written by :func:`materialize` so far; frames that read them are void.
+
+    For the end of a job. Returns the number of tables."""
+    n = len(_intermediates)
+    while _intermediates:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_intermediates.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -17,8 +17,11 @@ def col(c) -> Column:
 
 
 def hour_floor(ts) -> Column:
-    """``date_trunc('hour', ts)`` kept as TIMESTAMP_NTZ (wall clock)."""
-    return F.date_trunc("hour", col(ts)).cast("timestamp_ntz")
+    """the hour of a TIMESTAMP_NTZ, by subtracting what is past it: on the wall clock alone,
+    so no session zone (nor an hour that a zone skips) can move it."""
+    t = col(ts).cast("timestamp_ntz")
+    past = F.make_dt_interval(mins=F.minute(t), secs=F.date_part(F.lit("SECOND"), t))
+    return t - past
 
 
 def iso_hour(text) -> Column:
@@ -27,7 +30,7 @@ def iso_hour(text) -> Column:
     The zone suffix is dropped rather than applied, as the cast from a zoned
     timestamp to a plain one does. Unparsable text gives null.
     """
-    return F.date_trunc("hour", col(text).try_cast("timestamp_ntz")).cast("timestamp_ntz")
+    return hour_floor(col(text).try_cast("timestamp_ntz"))
 
 
 def nan_to_null(c) -> Column:

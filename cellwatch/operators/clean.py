@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
@@ -34,20 +34,26 @@ def clean(df: DataFrame, drop_existing_timestamp: bool = True) -> DataFrame:
 
     Row order is not kept (the later windows order by time themselves).
     """
+    return prepared(df, drop_existing_timestamp).filter(usable())
+
+
+def prepared(df: DataFrame, drop_existing_timestamp: bool = True) -> DataFrame:
+    """Renamed, typed and serial-normalised rows, before any is dropped."""
     df = typed(to_timestamp_column(df, drop_existing_timestamp))
     if "battery_serial_number" in df.columns:
         df = df.withColumn("battery_serial_number", S.clean_serial("battery_serial_number"))
-    return df.filter(
-        F.col("timestamp").isNotNull()
-        & F.col("soc").isNotNull() & (F.col("soc") >= 0)
-        & F.col("voltage").isNotNull() & (F.col("voltage") > 0))
-
-
-def clean_summary(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """Rows and distinct devices before and after cleaning (one row)."""
-    before = raw.agg(F.count(F.lit(1)).alias("rows_before"),
-                     F.count_distinct("bloqs_id").alias("bloqs_before"))
-    return before.withColumns({
-        "rows_after": cleaned.agg(F.count(F.lit(1))).scalar(),
-        "bloqs_after": cleaned.agg(F.count_distinct("bloqs_id")).scalar(),
-    })
+    return df
+
+
+def usable() -> Column:
+    """Time known, SoC known and not negative, voltage known and positive."""
+    return F.coalesce(F.col("timestamp").isNotNull() & (F.col("soc") >= 0) & (F.col("voltage") > 0), F.lit(False))
+
+
+def clean_summary(raw: DataFrame) -> DataFrame:
+    """Rows and distinct devices before and after cleaning (one row, one pass)."""
+    ok = usable()
+    return prepared(raw).agg(
+        F.count(F.lit(1)).alias("rows_before"), F.count_distinct("bloqs_id").alias("bloqs_before"),
+        F.count(F.when(ok, 1)).alias("rows_after"),
+        F.count_distinct(F.when(ok, F.col("bloqs_id"))).alias("bloqs_after"))

@@ -124,7 +124,7 @@ def battery_readings(pf: DataFrame) -> DataFrame:
         fw_version.alias("fw_version"),
         S.firmware_class(fw_version).alias("fw_version_type"),
         bat_name.alias("battery_name"),
-        soc_text.try_cast("double").alias("soc"),
+        S.to_double(soc_text).alias("soc"),
         F.col("_bat.voltage").alias("voltage"),
         F.col("_bat.temperature").alias("temperature"),
         F.col("_bat.extraInfo.battery_serial_number").alias("battery_serial_number"),

@@ -30,10 +30,11 @@ def add_label(daily: DataFrame, horizon: int = C.HORIZON, threshold: float = C.S
     return out.withColumn("y_risk", S.flag_below("future_min_soc", threshold))
 
 
-def model_rows(labelled: DataFrame, features=None) -> DataFrame:
-    """X11: rows with every feature and the label present (Spark's dropna also drops NaN)."""
-    features = features or C.FEATURES_ALL
-    return labelled.dropna(subset=list(features) + ["y_risk"])
+def model_rows(daily: DataFrame, features=None) -> DataFrame:
+    """X11: rows with every feature present (Spark's dropna also drops NaN).
+
+    The label, where there is one, is never null (F20), so the rows to split need no label."""
+    return daily.dropna(subset=list(features or C.FEATURES_ALL))
 
 
 def session_hash(seed: int = C.RANDOM_STATE):

@@ -1,23 +1,20 @@
 """Ranking and threshold metrics of scored rows, as distributed aggregations.
 
-ROC AUC and average precision need, for every distinct score, the counts of
-positives/negatives above and below it -- a prefix sum in score order. A global
-ordered window would run in one task, so the prefix sum is built in two levels:
-equi-depth score buckets (boundaries from a bounded sketch over the *distinct*
-scores, so a hot score is one row and cannot overload a bucket), per-bucket
-totals turned into offsets on that small table and broadcast, and running sums
-inside each bucket.
+ROC AUC and average precision need, for every distinct score, the counts of positives and
+negatives above and below it: running sums over the table of distinct scores
+(``ranking.running_sums``). That table is written once, so the scores are computed once; a hot
+score is one of its rows.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import scalar as S
 from .quantiles import exact_quantiles
+from .ranking import running_sums
 
 
 def _labelled_scores(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -26,66 +23,47 @@ def _labelled_scores(df: DataFrame, score: str, label: str) -> DataFrame:
               .filter(F.col("score").isNotNull() & F.col("label").isNotNull()))
 
 
-def _boundaries(per: DataFrame, buckets: int):
-    """Equi-depth score boundaries (one SQL expression, not one column per probability)
-    and an estimate of the number of distinct scores, in one pass."""
-    probs = ", ".join(repr(i / buckets) for i in range(1, buckets))
-    accuracy = max(10_000, 4 * buckets)
-    row = per.agg(F.expr(f"percentile_approx(score, array({probs}), {accuracy})").alias("q"),
-                  F.approx_count_distinct("score").alias("d")).first()
-    return row["q"] or [], row["d"] or 0
-
-
-def score_table(df: DataFrame, score: str = "risk_prob", label: str = "y_risk",
-                buckets: int = 1024, max_bucket_rows: int = 1_000_000) -> DataFrame:
+def score_table(df: DataFrame, score: str = "risk_prob", label: str = "y_risk") -> DataFrame:
     """Per distinct score: pos, neg, and counts strictly below (pos_lt, neg_lt) and at or
-    above it (pos_ge, neg_ge), plus totals P and N on every row.
-
-    Buckets start at ``buckets``; when the distinct scores would put more than
-    ``max_bucket_rows`` in a bucket, the boundaries are re-sketched with more
-    buckets (up to 65,536), so each in-bucket window stays bounded.
-    """
+    above it (pos_ge, neg_ge), plus totals P and N on every row."""
     per = (_labelled_scores(df, score, label).groupBy("score")
            .agg(F.sum("label").cast("bigint").alias("pos"),
                 F.sum(1 - F.col("label")).cast("bigint").alias("neg")))
-    qs, distinct = _boundaries(per, buckets)
-    wanted = min(65_536, -(-distinct // max_bucket_rows))
-    if wanted > buckets:
-        buckets = wanted
-        qs, _ = _boundaries(per, buckets)
-    splits = [float("-inf")] + sorted(set(float(q) for q in qs)) + [float("inf")]
-    b = Bucketizer(splits=splits, inputCol="score", outputCol="_b").transform(per)
-    totals = b.groupBy("_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
-    # <= `buckets` rows: the unpartitioned windows below are bounded by that.
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    offsets = totals.select(
-        "_b",
-        F.coalesce(F.sum("_bp").over(before), F.lit(0)).alias("_pb"),
-        F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_nb"),
-        F.sum("_bp").over(everything).alias("P"),
-        F.sum("_bn").over(everything).alias("N"))
-    w = Window.partitionBy("_b").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    t = (b.join(F.broadcast(offsets), "_b")
-          .withColumn("pos_lt", F.col("_pb") + F.coalesce(F.sum("pos").over(w), F.lit(0)))
-          .withColumn("neg_lt", F.col("_nb") + F.coalesce(F.sum("neg").over(w), F.lit(0))))
-    return t.select("score", "pos", "neg", "pos_lt", "neg_lt",
-                    (F.col("P") - F.col("pos_lt")).alias("pos_ge"),
-                    (F.col("N") - F.col("neg_lt")).alias("neg_ge"), "P", "N")
+    return ranked_scores(per)
+
+
+def ranked_scores(per: DataFrame) -> DataFrame:
+    """:func:`score_table` of a table of distinct scores (score, pos, neg)."""
+    t = running_sums(per, ["score"], ["pos", "neg"], "scores")
+    return t.select("score", "pos", "neg", F.col("pos_before").alias("pos_lt"), F.col("neg_before").alias("neg_lt"),
+                    (F.col("pos_total") - F.col("pos_before")).alias("pos_ge"),
+                    (F.col("neg_total") - F.col("neg_before")).alias("neg_ge"),
+                    F.col("pos_total").alias("P"), F.col("neg_total").alias("N"))
+
+
+def _rank_sums() -> list:
+    """Sums behind ROC AUC and average precision, in doubles: products of counts pass 2**63."""
+    pos = F.col("pos").cast("double")
+    return [F.sum(pos * (2 * F.col("neg_lt") + F.col("neg"))).alias("_auc2"),
+            F.sum(pos * F.col("pos_ge") / (F.col("pos_ge") + F.col("neg_ge"))).alias("_ap")]
+
+
+def _auc():
+    return F.col("_auc2") / (2.0 * F.col("P").cast("double") * F.col("N").cast("double"))
 
 
 def ranking_metrics(df: DataFrame, score: str = "risk_prob", label: str = "y_risk") -> DataFrame:
     """M8 ROC AUC (ties count one half) and M9 average precision (step-wise, over distinct
     scores in decreasing order); null when only one class is present."""
-    t = score_table(df, score, label)
-    agg = t.agg(
-        F.sum(F.col("pos") * (2 * F.col("neg_lt") + F.col("neg"))).alias("_auc2"),
-        F.sum(F.col("pos") * F.col("pos_ge") / (F.col("pos_ge") + F.col("neg_ge"))).alias("_ap"),
-        F.max("P").alias("P"), F.max("N").alias("N"))
+    return ranking_of(score_table(df, score, label))
+
+
+def ranking_of(t: DataFrame) -> DataFrame:
+    """M8 and M9 of a :func:`score_table`."""
+    agg = t.agg(*_rank_sums(), F.max("P").alias("P"), F.max("N").alias("N"))
     ok = (F.col("P") > 0) & (F.col("N") > 0)
-    return agg.select(
-        F.when(ok, F.col("_auc2") / (2.0 * F.col("P") * F.col("N"))).alias("roc_auc"),
-        F.when(ok, F.col("_ap") / F.col("P")).alias("average_precision"))
+    return agg.select(F.when(ok, _auc()).alias("roc_auc"),
+                      F.when(ok, F.col("_ap") / F.col("P")).alias("average_precision"))
 
 
 def threshold_metrics(df: DataFrame, score: str = "risk_prob", label: str = "y_risk",
@@ -124,8 +102,7 @@ def evaluate(df: DataFrame, score: str = "risk_prob", label: str = "y_risk",
     t = score_table(df, score, label)
     above = F.col("score") >= threshold
     a = t.agg(
-        F.sum(F.col("pos") * (2 * F.col("neg_lt") + F.col("neg"))).alias("_auc2"),
-        F.sum(F.col("pos") * F.col("pos_ge") / (F.col("pos_ge") + F.col("neg_ge"))).alias("_ap"),
+        *_rank_sums(),
         F.coalesce(F.max("P"), F.lit(0)).alias("P"), F.coalesce(F.max("N"), F.lit(0)).alias("N"),
         F.coalesce(F.sum(F.when(above, F.col("pos"))), F.lit(0)).alias("tp"),
         F.coalesce(F.sum(F.when(above, F.col("neg"))), F.lit(0)).alias("fp"))
@@ -137,7 +114,7 @@ def evaluate(df: DataFrame, score: str = "risk_prob", label: str = "y_risk",
     tp, fp = F.col("tp"), F.col("fp")
     fn, tn = F.col("P") - tp, F.col("N") - fp
     return a.select(
-        F.when(ok, F.col("_auc2") / (2.0 * F.col("P") * F.col("N"))).alias("roc_auc"),
+        F.when(ok, _auc()).alias("roc_auc"),
         F.when(ok, F.col("_ap") / F.col("P")).alias("average_precision"),
         rows.cast("bigint").alias("rows"), tp.cast("bigint").alias("tp"), fp.cast("bigint").alias("fp"),
         tn.cast("bigint").alias("tn"), fn.cast("bigint").alias("fn"),

@@ -95,6 +95,19 @@ def coefficients(model: PipelineModel, spark: SparkSession | None = None,
     return df.orderBy(F.col("abs_coefficient").desc(), F.col("feature")).limit(top)
 
 
+def gradient(model: PipelineModel, train: DataFrame, label: str = "y_risk") -> list[tuple]:
+    """(feature, derivative of the training objective) at the fitted coefficients: near 0."""
+    counts = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = sum(counts.values())
+    names, fitted = feature_names(model), model.stages[-1].coefficients.toArray().tolist()
+    weight = F.when(F.col(label) == 1, F.lit(n / (2 * counts[1]))).otherwise(F.lit(n / (2 * counts[0])))
+    scored = model.transform(train).select(
+        vector_to_array("features").alias("x"),
+        (weight * (vector_to_array("probability")[1] - F.col(label))).alias("r"))
+    sums = scored.agg(*[F.sum(F.col("r") * F.col("x")[i]).alias(f"g{i}") for i in range(len(names))]).first()
+    return [(name, float(sums[f"g{i}"] + fitted[i]) / n) for i, name in enumerate(names)]
+
+
 def preprocessing_stats(model: PipelineModel, spark: SparkSession | None = None) -> DataFrame:
     """M1-M3 fitted statistics of a fitted pipeline."""
     return stats_frame(next(s for s in model.stages if isinstance(s, ImputeScaleModel)), spark)

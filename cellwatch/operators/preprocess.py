@@ -49,8 +49,8 @@ class ImputeScale(Estimator, _ImputeScaleParams, DefaultParamsReadable, DefaultP
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "ImputeScaleModel":
-        """One pass for counts, moments and modes (riding along the quantile pass), one
-        to collect the median bands. Mean and std are those of the median-imputed
+        """One pass for counts and moments (beside the quantiles' counts), one for the
+        medians, one for each mode. Mean and std are those of the median-imputed
         column, combined from the observed values' moments and the imputed count."""
         num = self.getOrDefault(self.numericCols)
         cat = self.getOrDefault(self.categoricalCols)
@@ -59,9 +59,6 @@ class ImputeScale(Estimator, _ImputeScaleParams, DefaultParamsReadable, DefaultP
             x = F.col(c).cast("double")
             x = F.when(~F.isnan(x), x)
             extra += [F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
-        # Category modes: a one-hot input has few levels (its width is the model's), so the
-        # per-level counts of ``mode`` stay small; ties go to the smallest value.
-        extra += [F.mode(F.col(c), True).alias(f"mode{j}") for j, c in enumerate(cat)]
         qs = exact_quantiles(df, num, [0.5], extra=extra) if num else {
             "__extra__": df.agg(*extra).first()}
         row = qs["__extra__"]
@@ -80,7 +77,12 @@ class ImputeScale(Estimator, _ImputeScaleParams, DefaultParamsReadable, DefaultP
             medians.append(_num(med))
             means.append(_num(mean))
             scales.append(_scale(None if var is None else math.sqrt(max(var, 0.0))))
-        modes = [row[f"mode{j}"] for j in range(len(cat))]
+        # Modes: counts per level, then the largest (ties: the smallest level), a row each.
+        modes = []
+        for c in cat:
+            top = (df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("k"))
+                   .orderBy(F.desc("k"), c).limit(1).collect())
+            modes.append(top[0][c] if top else None)
         return ImputeScaleModel(
             numericCols=num, categoricalCols=cat, medians=medians, means=means, scales=scales,
             modes=["" if m is None else str(m) for m in modes])

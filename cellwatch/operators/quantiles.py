@@ -1,19 +1,9 @@
 """Exact, linearly interpolated quantiles without gathering a column in one task.
 
-Spark's exact ``percentile`` keeps every distinct value of a group in one
-buffer; for a global statistic that buffer lands in one task. Here each order
-statistic is found by selection instead:
-
-1. ``percentile_approx`` (bounded sketch, rank error <= n/accuracy) brackets
-   the wanted rank by two values ``a <= x_(r) <= x_(r+1) <= b``;
-2. one aggregation counts rows below ``a`` and inside ``[a, b]``;
-3. the distinct values inside the band, with their counts, are collected.
-   A band holds about ``4n/accuracy`` rows; while its (estimated) number of
-   distinct values exceeds ``max_band`` it is narrowed again with a sketch
-   restricted to it.
-
-Hot values collapse to one (value, count) pair, so skew cannot blow up a band.
-All statistics of all columns share the same three jobs per round.
+Spark's exact ``percentile`` keeps every distinct value of a group in one buffer; for a global
+statistic that buffer lands in one task. Here the values of all columns are counted, the counts
+are summed in value order (``ranking.running_sums``), and only the rows that hold a wanted rank
+come back: two for each column and probability. A hot value is one counted row.
 """
 
 from __future__ import annotations
@@ -23,111 +13,52 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _interp(lo: float, hi: float, frac: float) -> float:
-    return lo + (hi - lo) * frac if frac else lo
+from .ranking import running_sums
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    accuracy: int = 100_000, max_band: int = 50_000,
                     extra: list | None = None) -> dict[str, list]:
     """``{col: [q(p) for p in probs]}``; nulls (and NaN) ignored; None for an empty column.
 
     Same definition as numpy's default, Spark's ``percentile`` and DuckDB's
     ``quantile_cont``: position ``p*(n-1)``, linear between neighbours.
-    ``extra`` aggregate columns ride along the first pass; their row is
-    returned under the key ``"__extra__"``.
+    ``extra`` aggregate columns are computed beside the counts; their row is returned under
+    the key ``"__extra__"``.
     """
     clean = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
     counts = df.agg(*[F.count(clean[c]).alias(f"n{i}") for i, c in enumerate(cols)],
-                    *[F.approx_count_distinct(clean[c]).alias(f"d{i}") for i, c in enumerate(cols)],
                     *(extra or [F.lit(None).alias("__none__")])).first()
-    jobs = []   # one per (column, probability)
+    values = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), clean[c].alias("v"))
+                                           for i, c in enumerate(cols)])).alias("e")).select("e.c", "e.v")
+    counted = values.filter("v IS NOT NULL").groupBy("c", "v").agg(F.count(F.lit(1)).alias("k"))
+    ranked = running_sums(counted, ["c", "v"], ["k"], "quantiles")
+    first, wanted, start = [], [], 0              # first rank of each column, ranks asked for
     for i, c in enumerate(cols):
         n = counts[f"n{i}"]
-        for p in probs:
-            if n:
-                pos = p * (n - 1)
-                r = int(math.floor(pos))
-                jobs.append({"c": c, "n": n, "r": r, "r2": min(r + 1, n - 1), "frac": pos - r,
-                             "lo": None, "hi": None, "below": 0, "size": n,
-                             "distinct": counts[f"d{i}"]})
-    open_jobs = [j for j in jobs if j["distinct"] > max_band]
-    margin = 2.0
-    while open_jobs:
-        # 1. sketch brackets inside each job's current band
-        exprs = []
-        for k, j in enumerate(open_jobs):
-            x = clean[j["c"]]
-            band = _band(x, j)
-            rel = j["r"] - j["below"]
-            m = margin * j["size"] / accuracy + 1
-            qa = min(max((rel - m) / j["size"], 0.0), 1.0)
-            qb = min(max((j["r2"] - j["below"] + 1 + m) / j["size"], 0.0), 1.0)
-            exprs.append(F.percentile_approx(F.when(band, x), [qa, qb], accuracy).alias(f"q{k}"))
-        qrow = df.agg(*exprs).first()
-        # 2. exact counts for the proposed brackets
-        exprs = []
-        for k, j in enumerate(open_jobs):
-            a, b = qrow[f"q{k}"]
-            x = clean[j["c"]]
-            inside = (x >= a) & (x <= b)
-            exprs += [F.count(F.when(x < a, 1)).alias(f"b{k}"),
-                      F.count(F.when(inside, 1)).alias(f"s{k}"),
-                      F.approx_count_distinct(F.when(inside, x)).alias(f"d{k}")]
-        crow = df.agg(*exprs).first()
-        still = []
-        for k, j in enumerate(open_jobs):
-            a, b = qrow[f"q{k}"]
-            below, size = crow[f"b{k}"], crow[f"s{k}"]
-            if below <= j["r"] and below + size >= j["r2"] + 1:
-                j.update(lo=a, hi=b, below=below, size=size, distinct=crow[f"d{k}"])
-            else:                           # sketch missed: widen the margin next round
-                margin *= 4
-            if j["distinct"] > max_band and not (j["lo"] is not None and j["lo"] == j["hi"]):
-                still.append(j)
-        open_jobs = still
-    if not jobs:
-        return {**{c: [None] * len(probs) for c in cols}, "__extra__": counts}
-    # 3. collect (value, count) pairs inside every band
-    parts = [F.when(_band(clean[j["c"]], j) & clean[j["c"]].isNotNull(),
-                    F.struct(F.lit(k).alias("j"), clean[j["c"]].alias("v")))
-             for k, j in enumerate(jobs)]
-    vals = (df.select(F.explode(F.array_compact(F.array(*parts))).alias("e"))
-              .groupBy("e.j", "e.v").agg(F.count(F.lit(1)).alias("cnt"))
-              .collect())
-    by_job: dict[int, list] = {}
-    for row in vals:
-        by_job.setdefault(row["j"], []).append((row["v"], row["cnt"]))
-    out = {c: [] for c in cols}
-    for k, j in enumerate(jobs):
-        pairs = sorted(by_job.get(k, []))
-        out[j["c"]].append(_interp(_nth(pairs, j["r"] - j["below"]),
-                                   _nth(pairs, j["r2"] - j["below"]), j["frac"]))
+        first.append(start)
+        for p in probs if n else ():
+            r = math.floor(p * (n - 1))
+            wanted += [start + r, start + min(r + 1, n - 1)]
+        start += n
+    hit = F.exists(F.array(*[F.lit(w).cast("bigint") for w in sorted(set(wanted))] or [F.lit(-1).cast("bigint")]),
+                   lambda r: (r >= F.col("k_before")) & (r < F.col("k_before") + F.col("k")))
+    rows = ranked.filter(hit).select("v", "k", "k_before").collect()      # a row for each wanted rank at most
+
+    def nth(rank: int) -> float:
+        return next(r["v"] for r in rows if r["k_before"] <= rank < r["k_before"] + r["k"])
+
+    out: dict[str, list] = {"__extra__": counts}
     for i, c in enumerate(cols):
-        if not counts[f"n{i}"]:
-            out[c] = [None] * len(probs)
-    out["__extra__"] = counts
+        n, out[c] = counts[f"n{i}"], []
+        for p in probs:
+            if not n:
+                out[c].append(None)
+                continue
+            r = math.floor(p * (n - 1))
+            lo, hi, part = nth(first[i] + r), nth(first[i] + min(r + 1, n - 1)), p * (n - 1) - r
+            out[c].append(lo + (hi - lo) * part if part else lo)
     return out
 
 
-def _band(x, j):
-    cond = F.lit(True)
-    if j["lo"] is not None:
-        cond = cond & (x >= j["lo"])
-    if j["hi"] is not None:
-        cond = cond & (x <= j["hi"])
-    return cond
-
-
-def _nth(pairs: list, rank: int) -> float:
-    seen = 0
-    for v, cnt in pairs:
-        seen += cnt
-        if rank < seen:
-            return v
-    raise ValueError("rank outside the collected band")
-
-
 def exact_median(df: DataFrame, cols: list[str], **kw) -> dict[str, float | None]:
     return {c: v[0] for c, v in exact_quantiles(df, cols, [0.5], **kw).items() if c != "__extra__"}

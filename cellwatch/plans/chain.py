@@ -15,15 +15,15 @@ from ..operators import labels as LB
 from ..operators import sessions as SE
 
 
-def sessions(hourly: DataFrame, censor_tolerance: str | None = None) -> DataFrame:
+def sessions(hourly: DataFrame, censor_tolerance: str | None = None, keyed_only: bool = False) -> DataFrame:
     """C1 -> C2: T5 battery sessions."""
     kw = {"censor_tolerance": censor_tolerance} if censor_tolerance else {}
-    return SE.add_sessions(CL.clean(hourly), **kw)
+    return SE.add_sessions(CL.clean(hourly), keyed_only=keyed_only, **kw)
 
 
 def daily_features(hourly: DataFrame) -> DataFrame:
-    """C1 -> C2 -> C3: T6 daily features."""
-    return FE.build_features(sessions(hourly))
+    """C1 -> C2 -> C3: T6 daily features (of rows whose battery is known)."""
+    return FE.build_features(sessions(hourly, keyed_only=True))
 
 
 def labelled(hourly: DataFrame, lookahead: bool = False) -> DataFrame:

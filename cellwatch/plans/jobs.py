@@ -1,66 +1,92 @@
-"""E3/E4 as file-based jobs: the two user entry points (score, train) and the mode switch.
+"""E3/E4 as jobs over files or tables: the two user entry points (score, train) and the mode switch.
 
 score_job: newest input CSV (S5) -> tolerant read (S3) -> saved model (S9) ->
-    risk report (M14) -> dated CSV (S8, F23).
+    risk report (M14) -> dated CSV (S8, F23), with summary, coefficients and top risks.
 train_job: training CSV (S6) -> tolerant or strict read (S3/S4, D2) -> train (M15)
-    -> save (S9) and optionally publish to a shared folder (S10).
+    -> save (S9) and optionally publish to a shared folder (S10), with metrics and coefficients.
+
+``source`` is a folder of CSV files, one CSV, or a Parquet folder or catalog table, which
+Spark reads in many tasks (a CSV whose fields may hold line ends is one).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import config as C
+from ..operators import metrics as ME
+from ..operators import model as MD
 from ..sources import csv as CSV
 from ..sources import files as FS
 from ..sources import models as MS
+from ..sources import tables
 from . import risk
 
 
-def _is_csv_path(p: str) -> bool:
-    return p.lower().endswith(".csv")
+@dataclass
+class ScoreResult:
+    path: str                  # of the written report
+    summary: DataFrame         # M13: rows scored, percentiles, flagged share
+    coefficients: DataFrame    # M12
+    top: DataFrame             # O4
+
+
+def _read(spark: SparkSession, source: str, choose, strict: bool = False) -> DataFrame:
+    """Hourly readings of a job's source; ``choose`` picks a file of a folder."""
+    name = source.rstrip("/").lower()
+    if name.endswith(".parquet") or "/" not in name and not name.endswith(".csv"):
+        return tables.load(spark, source)
+    path = source if name.endswith(".csv") else choose(spark, source)
+    return (CSV.read_csv_strict if strict else CSV.read_csv_tolerant)(spark, path)      # D2
 
 
 def score_job(spark: SparkSession, source: str, model_path: str, output_folder: str,
-              as_of=None, notebook: bool = False) -> str:
-    """Score the newest hourly extract in ``source`` (or the CSV ``source``); returns the
-    report folder ``<output_folder>/battery_risk_<yyyyMMdd>``."""
+              as_of=None, notebook: bool = False, single_file: bool = False) -> ScoreResult:
+    """Score the newest hourly extract in ``source``; the report goes to
+    ``<output_folder>/battery_risk_<yyyyMMdd>``."""
     model = MS.load_model(model_path)
-    path = source if _is_csv_path(source) else FS.newest_input_path(spark, source)
-    hourly = CSV.read_csv_tolerant(spark, path)
+    hourly = _read(spark, source, FS.newest_input_path)
     if notebook:                                           # D10
-        CSV.require_columns(hourly, what="NEW dataset")
+        CSV.require_columns(hourly, what="the data to score")
     report = risk.score(hourly, model, notebook=notebook)
     out = CSV.report_path(output_folder, as_of)
     order = [F.col("model_alert").desc(), F.col("risk_prob").desc_nulls_last(),
              F.col("bloqs_id"), F.col("battery_name")]
-    CSV.write_csv(report, out, single_file=True, order=order)
-    return out
+    CSV.write_csv(report, out, single_file=single_file, order=order)
+    types = {f.name: f.dataType for f in report.schema.fields}
+    written = spark.read.schema(report.schema).option("header", True).csv(out).select(
+        *[F.col(c).cast(t).alias(c) for c, t in types.items()])
+    return ScoreResult(out, ME.score_summary(written), MD.coefficients(model, spark),
+                       written.orderBy(*order).limit(C.TOP_RISKS))
 
 
 def train_job(spark: SparkSession, source: str, model_path: str,
               publish_folder: str | None = None, strict: bool = False,
               notebook: bool = False) -> risk.TrainResult:
     """Train on the training CSV in ``source`` (last by name among names containing
-    'train') or on the CSV ``source``; save the model, optionally publish it."""
-    path = source if _is_csv_path(source) else FS.training_input_path(spark, source)
-    read = CSV.read_csv_strict if strict else CSV.read_csv_tolerant      # D2
-    result = risk.train(read(spark, path), notebook=notebook)
+    'train'); save the model, optionally publish it."""
+    hourly = _read(spark, source, FS.training_input_path, strict)
+    if notebook:                                           # D10
+        CSV.require_columns(hourly, what="the training data")
+    result = risk.train(hourly, notebook=notebook)
     MS.save_model(result.model, model_path)
     if publish_folder:
         MS.publish_model(result.model, publish_folder)
     result.metrics = spark.createDataFrame([result.metrics.first()], result.metrics.schema)  # one row
+    result.coefficients = MD.coefficients(result.model, spark)
     result.release()
     return result
 
 
 def run(spark: SparkSession, mode: str, **kw):
     """The notebook's mode switch."""
-    if mode == "train":
-        return train_job(spark, **kw)
-    if mode == "score":
-        return score_job(spark, **kw)
-    raise ValueError("MODE must be 'train' or 'score'")
+    jobs = {"train": train_job, "score": score_job}
+    if mode not in jobs:
+        raise ValueError(f"unknown mode {mode!r}; one of {sorted(jobs)}")
+    return jobs[mode](spark, **kw)
 
 
 __all__ = ["score_job", "train_job", "run"]

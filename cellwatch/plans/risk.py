@@ -34,6 +34,7 @@ class TrainResult:
     test_rows: int
     positive_rate: float
     frame: DataFrame | None = None   # the persisted training frame (lazy ``metrics`` read it)
+    coefficients: DataFrame | None = None   # M12, set by the train job
 
     def release(self) -> None:
         """Drop the persisted training frame once ``metrics`` has been read."""
@@ -52,8 +53,9 @@ def training_frame(daily: DataFrame, notebook: bool = False) -> DataFrame:
     """Labelled complete rows with their split flag, persisted for the fit's passes
     (recomputed from the checkpointed daily table if a block is lost)."""
     features = C.NUM_FEATURES if notebook else C.FEATURES_ALL          # D6
+    split = LB.split_sessions(LB.model_rows(daily, features))
     rows = LB.model_rows(LB.add_label(daily), features)
-    return LB.mark_split(rows).persist(StorageLevel.MEMORY_AND_DISK)
+    return rows.join(split, C.SESSION_KEYS).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def train_from_daily(daily: DataFrame, notebook: bool = False, **fit_kw) -> TrainResult:

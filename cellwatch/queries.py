@@ -72,29 +72,29 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
         else F.col(f.name) for f in df.schema.fields])
 
 
+def _extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 hourly readings: the fleet extract over the whole derived tables."""
+    return fleet.fleet_extract(T.snapshots(spark, sf_dir), T.raw_events(spark, sf_dir), C.FLEET_AS_OF)
+
+
 def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T3 hourly readings: the fleet extract over the whole derived tables, written once
-    as a parquet table in the shared checkpoint folder (as the extract hands over to
-    the model steps). The session bounds and the split read their input in two
-    branches; from the written table each branch is a cheap columnar scan instead
-    of a second run of the extract."""
-    return C.materialize(
-        fleet.fleet_extract(T.snapshots(spark, sf_dir), T.raw_events(spark, sf_dir), C.FLEET_AS_OF),
-        "hourly")
+    """The extract, written once as a parquet table in the shared checkpoint folder (as it hands
+    over to the model steps). For steps that read their input in several branches: from the
+    written table each branch is a cheap columnar scan instead of a second run of the extract."""
+    return C.materialize(_extract(spark, sf_dir), "hourly")
 
 
 # --- C1 / C2 -----------------------------------------------------------------
 @register
 def clean_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1, F12-F14, X8, X9."""
-    return rounded(CL.clean(_hourly(spark, sf_dir)))
+    return rounded(CL.clean(_extract(spark, sf_dir)))
 
 
 @register
 def clean_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and distinct devices before/after cleaning."""
-    raw = _hourly(spark, sf_dir)
-    return CL.clean_summary(raw, CL.clean(raw)).select(
+    return CL.clean_summary(_extract(spark, sf_dir)).select(
         *[as_bigint(c) for c in ["rows_before", "bloqs_before", "rows_after", "bloqs_after"]])
 
 
@@ -179,14 +179,15 @@ def session_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     As in training, the split runs on the written daily table: its bucket-size
     branch and its ranking branch then re-read that table, not the windows."""
     from .plans.risk import materialized_daily
-    rows = LB.model_rows(LB.add_label(materialized_daily(_hourly(spark, sf_dir))))
-    return LB.split_sessions(rows)
+    return LB.split_sessions(LB.model_rows(materialized_daily(_hourly(spark, sf_dir))))
 
 
 # --- ML statistics, report and metrics ----------------------------------------
 def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Complete labelled rows with their session split flag."""
-    return LB.mark_split(LB.model_rows(chain.labelled(_hourly(spark, sf_dir))))
+    """Complete labelled rows with their session split flag, from the written daily table."""
+    from .plans.risk import materialized_daily
+    daily = materialized_daily(_hourly(spark, sf_dir))
+    return LB.model_rows(LB.add_label(daily)).join(LB.split_sessions(LB.model_rows(daily)), C.SESSION_KEYS)
 
 
 @register
@@ -291,57 +292,79 @@ def score_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(sq(event_scores(spark, sf_dir)))
 
 
-# --- end-to-end model pipelines and sources (no SQL form) ----------------------
+# --- end-to-end model pipelines and sources ------------------------------------
 @register
 def train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train on the extract, held-out metrics (one row)."""
+    """Train on the extract; what the held-out metrics row says of the split (rows,
+    positive rate), that every metric is there and lies in [0, 1], and the optimiser's end."""
     from .plans.risk import train
     res = train(_hourly(spark, sf_dir))
-    return res.metrics
+    row = res.metrics.first()                                   # one row
+    res.release()
+    inside = all(0 <= row[m] <= 1 for m in ["roc_auc", "average_precision", "recall", "precision",
+                                            "balanced_accuracy", "accuracy", "alert_rate"])
+    counted = row["tp"] + row["fp"] + row["tn"] + row["fn"] == row["rows"]
+    return rounded(spark.createDataFrame(
+        [(res.train_rows, res.test_rows, row["positive_rate"], bool(inside and counted))],
+        "train_rows bigint, test_rows bigint, positive_rate double, metrics_valid boolean"))
 
 
 @register
 def coef_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Named coefficients by absolute value (top 30)."""
-    from .operators.model import coefficients
+    """The named coefficients, each with the fit's gradient in it (0 at the optimum, rounded)."""
+    from .operators.model import coefficients, gradient
     from .plans.risk import train
-    return coefficients(train(_hourly(spark, sf_dir)).model, spark)
+    res = train(_hourly(spark, sf_dir))
+    named = coefficients(res.model, spark, top=C.TOP_COEFFICIENTS)
+    slopes = gradient(res.model, res.frame.filter("is_train = 1"))
+    res.release()
+    at = spark.createDataFrame(slopes, "f string, gradient double")        # a row for each feature
+    return named.join(F.broadcast(at), named["feature"] == at["f"]).select(
+        "feature", (F.abs(F.round("gradient", 3))).alias("gradient"))
 
 
 @register
 def score_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train, save and reload the model (S9), score the newest day per battery."""
+    """Train, save and reload the model (S9), score the newest day per battery. The columns
+    that do not depend on the fit, whether the row was scored (X11) and whether the alert
+    follows from the probability (F19)."""
     from .config import scratch_path
     from .sources.models import load_model, save_model
     from .plans.risk import materialized_daily, score_from_daily, train_from_daily
     daily = materialized_daily(_hourly(spark, sf_dir))      # one extract for both
-    path = save_model(train_from_daily(daily).model, scratch_path(spark, "model"))
-    return score_from_daily(daily, load_model(path))
+    res = train_from_daily(daily)
+    path = save_model(res.model, scratch_path(spark, "model"))
+    res.release()
+    report = score_from_daily(daily, load_model(path))
+    alert = F.coalesce((F.col("risk_prob") >= C.ALERT_THRESHOLD).cast("int"), F.lit(0))
+    return rounded(report.select(
+        *[c for c in C.REPORT_COLUMNS if c not in ("risk_prob", "model_alert")],
+        F.col("risk_prob").isNotNull().alias("scored"),
+        (F.col("model_alert") == alert).alias("alert_consistent")))
 
 
 @register
 def csv_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S3 + S8: the extract written as CSV to the shared folder and read back tolerantly."""
+    """S3 + S8: the extract written as CSV to the shared folder, read back tolerantly and typed."""
     from .config import scratch_path
     from .sources.csv import read_csv_tolerant, to_iso_text, write_csv
-    path = write_csv(to_iso_text(_hourly(spark, sf_dir)), scratch_path(spark, "extract.csv"),
-                     single_file=False)
-    return read_csv_tolerant(spark, path)
+    extract = _extract(spark, sf_dir)
+    path = write_csv(to_iso_text(extract), scratch_path(spark, "extract.csv"))
+    back = read_csv_tolerant(spark, path)
+    return rounded(back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in extract.schema.fields]))
 
 
 @register
 def newest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dated extracts (one per data day) in a folder, newest non-training first."""
+    """Name and time of dated extracts (one per data day) in a folder."""
     from .config import scratch_path
     from .sources.csv import to_iso_text
     from .sources.files import newest_input
     folder = scratch_path(spark, "input")
-    hourly = to_iso_text(_hourly(spark, sf_dir)).withColumn(
-        "_file", F.concat(F.date_format(F.col("hour_bucket").cast("timestamp"), "yyyyMMdd"),
-                          F.lit("0600_battery_deploy.csv")))
-    (hourly.repartition("_file").write.mode("overwrite").option("header", True)
-           .partitionBy("_file").csv(folder))
-    return newest_input(spark, folder)
+    hourly = to_iso_text(_extract(spark, sf_dir).withColumn(
+        "_file", F.concat(F.date_format("hour_bucket", "yyyyMMdd"), F.lit("0600_battery_deploy.csv"))))
+    hourly.write.mode("overwrite").option("header", True).partitionBy("_file").csv(folder)
+    return newest_input(spark, folder).select("name", "stamp")
 
 
 @register

@@ -18,46 +18,54 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
              "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
              "n/a", "nan", "null"]
 
-EXTRA = "__cellwatch_extra_field__"   # one column past the header: set only by too-long rows
+RECORD = "__cellwatch_record__"       # text of a record whose fields do not match the header's
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
+def _header(spark: SparkSession, path: str, multi_line: bool) -> list[str]:
     """Column names from the header line (no schema inference)."""
     try:
-        return spark.read.option("header", True).option("multiLine", True).csv(path).columns
-    except Exception as ex:  # missing path -> clear error
+        return spark.read.option("header", True).option("multiLine", multi_line).csv(path).columns
+    except Exception as ex:
         if "PATH_NOT_FOUND" in str(ex) or "does not exist" in str(ex):
-            raise FileNotFoundError(f"File not found: {path}. Check the path and try again.") from ex
+            raise FileNotFoundError(f"no CSV at {path}") from ex
         raise
 
 
-def _reader(spark: SparkSession, cols: list[str], mode: str, extra: bool):
-    names = cols + ([EXTRA] if extra else [])
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True)
-            .option("escape", '"').option("mode", mode))
+def _records(spark: SparkSession, path: str, multi_line: bool):
+    """All records as strings, the header's names and a condition for too many fields.
+
+    Spark marks a record with fewer or more fields than the schema; its text tells which:
+    the commas outside quoted fields are counted.
+    """
+    cols = _header(spark, path, multi_line)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*cols, RECORD]])
+    raw = (spark.read.schema(schema).option("header", True).option("multiLine", multi_line).option("escape", '"')
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RECORD).csv(path))
+    bare = F.regexp_replace(RECORD, r'(^|,)"(?:[^"]|"")*"', "$1")
+    too_long = F.coalesce(F.regexp_count(bare, F.lit(",")) + 1 > len(cols), F.lit(False))
+    return raw, cols, too_long
 
 
 def na_to_null(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: F.when(~F.col(c).isin(*NA_TOKENS), F.col(c)) for c in cols})
 
 
-def read_csv_tolerant(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_tolerant(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """S3: rows with too many fields are skipped; short rows are kept, padded with nulls.
 
-    The schema has one column more than the header: only a too-long row fills
-    it (a row whose one extra field is empty reads as null there and is kept).
-    Default missing-value tokens become null. All columns are strings.
+    Default missing-value tokens become null. All columns are strings. ``multi_line``: quoted
+    fields may hold line ends, which makes a file one task; False lets Spark split files.
     """
-    cols = _header(spark, path)
-    raw = _reader(spark, cols, "PERMISSIVE", extra=True).csv(path)
-    return na_to_null(raw.filter(F.col(EXTRA).isNull()).drop(EXTRA), cols)
+    raw, cols, too_long = _records(spark, path, multi_line)
+    return na_to_null(raw.filter(~too_long).select(*cols), cols)
 
 
-def read_csv_strict(spark: SparkSession, path: str) -> DataFrame:
-    """Any malformed row fails the read; a missing file raises FileNotFoundError."""
-    cols = _header(spark, path)
-    return na_to_null(_reader(spark, cols, "FAILFAST", extra=False).csv(path), cols)
+def read_csv_strict(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """A row with too many fields fails the read, a short one is padded with nulls; a missing
+    file raises FileNotFoundError."""
+    raw, cols, too_long = _records(spark, path, multi_line)
+    fail = F.raise_error(F.concat(F.lit("too many fields: "), F.col(RECORD))).cast("boolean")
+    return na_to_null(raw.filter(F.when(too_long, fail).otherwise(F.lit(True))).select(*cols), cols)
 
 
 def require_columns(df: DataFrame, required=tuple(C.REQUIRED_HOURLY), what: str = "dataset") -> DataFrame:
@@ -67,13 +75,13 @@ def require_columns(df: DataFrame, required=tuple(C.REQUIRED_HOURLY), what: str
         have.add("timestamp")
     missing = [c for c in required if c not in have]
     if missing:
-        raise ValueError(f"Missing required columns in {what}: {missing}")
+        raise ValueError(f"{what} lacks columns {missing}")
     return df
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = True, order=None) -> str:
-    """Header CSV, overwriting. ``single_file`` writes one ordered part (a report
-    has one row per battery); otherwise each sorted partition is its own part."""
+def write_csv(df: DataFrame, path: str, single_file: bool = False, order=None) -> str:
+    """Header CSV, overwriting. Partitions are written as they are (sorted ones stay sorted);
+    ``single_file`` gathers them in one ordered part, for small results."""
     out = df
     if single_file:
         out = out.repartition(1)

@@ -7,8 +7,6 @@ with many files.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,10 +18,12 @@ def listing(spark: SparkSession, folder: str) -> DataFrame:
     writes them), with name, path and newest modification time. Only ``*.csv``
     entries count; a ``key=value`` folder name counts by its value."""
     folder = folder.rstrip("/")
-    leaf = folder.split("/")[-1]
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .load(folder).select("path", "modificationTime"))
-    entry = F.regexp_extract("path", "/" + re.escape(leaf) + "/([^/]+)", 1)
+    below = F.substring("path", len(whole) + 2, 1 << 20)            # what follows the folder
+    entry = F.substring_index(below, "/", 1)
     name = F.regexp_replace(entry, "^[^=/]*=", "")
     return (files.withColumn("entry", entry).withColumn("name", name)
                  .filter(F.lower("name").endswith(".csv"))
@@ -44,7 +44,7 @@ def newest_input(spark: SparkSession, folder: str) -> DataFrame:
 def newest_input_path(spark: SparkSession, folder: str) -> str:
     top = newest_input(spark, folder).select("path").limit(1).collect()
     if not top:
-        raise FileNotFoundError(f"No CSV found in {folder}. Export the extract there first.")
+        raise FileNotFoundError(f"{folder} holds no input CSV")
     return top[0]["path"]
 
 
@@ -57,5 +57,5 @@ def training_input(spark: SparkSession, folder: str) -> DataFrame:
 def training_input_path(spark: SparkSession, folder: str) -> str:
     top = training_input(spark, folder).select("path").limit(1).collect()
     if not top:
-        raise FileNotFoundError(f"No training CSV found in {folder}. Filename must contain 'train'.")
+        raise FileNotFoundError(f"{folder} holds no CSV named as training data")
     return top[0]["path"]

@@ -25,7 +25,7 @@ def load_model(path: str) -> PipelineModel:
         return PipelineModel.load(path)
     except Exception as ex:
         if "does not exist" in str(ex) or "PATH_NOT_FOUND" in str(ex) or "InvalidInputException" in str(ex):
-            raise FileNotFoundError(f"Model not found at {path}. Train a model first.") from ex
+            raise FileNotFoundError(f"no saved model at {path}") from ex
         raise
 
 

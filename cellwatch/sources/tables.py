@@ -39,19 +39,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Fixture adapter only: a one-split input (one small file, one row group) is
-    spread round-robin over the cores so the per-row JSON work runs in parallel.
-    Warehouse tables arrive in many splits and are read as they are."""
-    try:
-        sc = df.sparkSession.sparkContext
-        if df.rdd.getNumPartitions() < sc.defaultParallelism:
-            return df.repartition(sc.defaultParallelism)
-    except Exception:          # no SparkContext (Spark Connect): read as is
-        pass
-    return df
-
-
 def load(spark: SparkSession, source) -> DataFrame:
     """S1/S2 in production: a DataFrame as is, a catalog table name (``db.table``,
     e.g. an Iceberg table when the catalog has it) or a parquet path."""
@@ -90,22 +77,30 @@ _U, _E = "user_id", "event_id"
 _K = "from_json(props, 'k INT').k"
 _BLOQ = f"concat('bloq-', lpad({_str(_U)}, 6, '0'))"
 _SERIAL1 = (f"CASE WHEN {_E} % 5 = 0 THEN 'N/A' "
+            f"WHEN {_U} % 6 = 1 THEN concat('SN-', {_str(_U)}, CASE WHEN floor({_K} / 10) % 2 = 0 THEN '-a' ELSE '-b' END) "
             f"WHEN ts < TIMESTAMP_NTZ '2024-01-16 00:00:00' THEN concat('SN-', {_str(_U)}, '-a') "
             f"ELSE concat('SN-', {_str(_U)}, '-b') END")
 _BAT1 = _obj([
     ("batteryName", "'BAT1'"),
-    ("capacityStateOffCharge", f"concat({_str(f'floor({_K} / 3) + 58')}, '.', {_str(f'{_K} % 10')})"),
-    ("voltage", f"concat('12.', {_str(f'{_E} % 60 + 40')})"),
+    ("capacityStateOffCharge", f"CASE WHEN {_E} % 53 = 7 THEN '-1' WHEN {_E} % 59 = 3 THEN 'n.a.' "
+     f"WHEN {_E} % 61 = 5 THEN 'NaN' "
+     f"ELSE concat({_str(f'floor({_K} / 3) + 58')}, '.', {_str(f'{_K} % 10')}) END"),
+    ("voltage", f"CASE WHEN {_E} % 47 = 11 THEN '0' ELSE concat('12.', {_str(f'{_E} % 60 + 40')}) END"),
     ("temperature", _str(f"{_E} % 35")),
     ("extraInfo", ("raw", _obj([("battery_serial_number", _SERIAL1)], escaped=True)))], escaped=True)
 _BAT2 = _obj([
-    ("batteryName", "'BAT2'"),
+    ("batteryName", f"CASE WHEN {_E} % 67 = 9 THEN '' ELSE 'BAT2' END"),
     ("capacityStateOffCharge", f"CASE WHEN {_K} % 25 = 0 THEN '' ELSE {_str(f'{_K} % 40 + 60')} END"),
     ("voltage", f"concat('13.', {_str(f'{_E} % 60 + 10')})"),
     ("temperature", _str(f"{_E} % 30")),
-    ("extraInfo", ("raw", _obj([("battery_serial_number", f"concat('SX-', {_str(_U)})")],
+    ("extraInfo", ("raw", _obj([("battery_serial_number",
+                                 f"CASE WHEN {_E} % 67 = 9 THEN 'was-bat2' ELSE concat('SX-', {_str(_U)}) END")],
                                escaped=True)))], escaped=True)
 _BATTERIES = f"concat('[', {_BAT1}, CASE WHEN {_U} % 17 <> 16 THEN concat(',', {_BAT2}) ELSE '' END, ']')"
+# A list that is cut off (its text still names both batteries), else the list; or no list at all.
+_LISTED = f"CASE WHEN {_E} % 73 = 17 THEN '[bat1, bat2' ELSE {_BATTERIES} END"
+_AT = (f"CASE WHEN {_E} % 29 = 0 THEN ts - INTERVAL 40 DAYS WHEN {_E} % 3 = 0 "
+       "THEN ts - make_dt_interval(0, 0, minute(ts), extract(SECOND FROM ts)) ELSE ts END")
 _FW = (f"CASE {_U} % 4 WHEN 0 THEN '7.1.1' WHEN 1 THEN '7.1.5' WHEN 2 THEN '7.2.0' "
        f"ELSE '7.1.10' END")
 
@@ -123,18 +118,20 @@ SNAPSHOT_EXPRS = [
                 ("apm_name", f"concat('APM-', {_str(_U)})")]),
         b=_obj([("bloqitName", f"concat('LK', {_str(f'{_U} % 7')})"),
                 ("vintedCode", f"concat('V-', {_str(_U)})")])),
-    _obj([("country", f"CASE WHEN {_U} % 2 = 0 THEN 'PT' ELSE 'ES' END"),
+    _obj([("country", f"CASE WHEN {_E} % 19 = 0 THEN 'FR' WHEN {_U} % 2 = 0 THEN 'PT' ELSE 'ES' END"),
           ("address", f"concat('Street ', {_str(_U)})"),
           ("city", f"concat('City ', {_str(f'{_U} % 5')})")]) + " AS details",
-    _obj([("firmwareVersion", _FW), ("battery", _BATTERIES)]) + " AS firmwaredetails",
-    "ts AS system_updated_at",
+    f"CASE WHEN {_E} % 71 = 13 THEN " + _obj([("firmwareVersion", _FW)]) + " ELSE "
+    + _obj([("firmwareVersion", _FW), ("battery", _LISTED)]) + " END AS firmwaredetails",
+    f"{_AT} AS system_updated_at",
 ]
 
 RAW_EVENT_EXPRS = [
     f"concat('ev-', {_str(f'floor({_E} / 2)')}) AS events_id",
     f"CASE WHEN {_E} % 9 <> 0 THEN concat('rent-', {_str(f'{_E} % 50')}) END AS rent",
     f"CASE WHEN {_E} % 11 <> 0 THEN {_BLOQ} END AS bloq",
-    "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS timestamp",
+    "concat(date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\"), "
+    f"CASE WHEN {_E} % 4 = 1 THEN '+02:00' WHEN {_E} % 43 = 2 THEN ' (bad)' ELSE 'Z' END) AS timestamp",
     "ts AS pipeline_ingested_at",
     f"{_E} AS ingest_seq",
 ]
@@ -151,8 +148,8 @@ def raw_events_from_events(events: DataFrame) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapshots_from_events(spread(read_table(spark, sf_dir, "events")))
+    return snapshots_from_events(read_table(spark, sf_dir, "events"))
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_events_from_events(spread(read_table(spark, sf_dir, "events")))
+    return raw_events_from_events(read_table(spark, sf_dir, "events"))

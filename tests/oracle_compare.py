@@ -62,7 +62,7 @@ def compare(spark, sf_dir: str, name: str, con=None) -> tuple[bool, str]:
     srows, scols = rows_spark(df)
     sql = E.oracle_sql().get(name)
     if sql is None:
-        return True, f"{name}: {len(srows)} rows (no oracle)"
+        return False, f"{name}: {len(srows)} rows (no oracle)"
     drows, dcols = rows_duck(con, sql)
     if sorted(scols) != sorted(dcols):
         return False, f"{name}: columns differ spark={scols} duck={dcols}"

@@ -36,8 +36,12 @@ def test_train_and_score_jobs(spark, folders, hourly):
                    publish_folder=folders["shared"])
     assert res.train_rows > 0 and res.test_rows > 0
     assert os.path.isdir(os.path.join(folders["shared"], "battery_risk_model"))
-    out = jobs.run(spark, "score", source=folders["input"], model_path=folders["model"],
-                   output_folder=folders["output"], as_of="2024-02-10")
+    assert res.coefficients.count() >= len(C.NUM_FEATURES)
+    job = jobs.run(spark, "score", source=folders["input"], model_path=folders["model"],
+                   output_folder=folders["output"], as_of="2024-02-10", single_file=True)
+    out = job.path
+    assert job.summary.first()["rows_scored"] > 0 and job.top.count() == C.TOP_RISKS
+    assert job.coefficients.count() == res.coefficients.count()
     assert out.endswith("battery_risk_20240210")
     rep = CSV.read_csv_tolerant(spark, out)
     assert rep.columns == C.REPORT_COLUMNS
@@ -58,6 +62,13 @@ def test_file_choice(spark, folders):
         FS.training_input_path(spark, folders["output"])
 
 
+def test_listing_of_a_folder_named_twice_in_its_path(spark, tmp_path):
+    folder = tmp_path / "input" / "day" / "input"
+    folder.mkdir(parents=True)
+    (folder / "20240105_battery.csv").write_text("a\n1\n")
+    assert [r["name"] for r in FS.listing(spark, str(folder)).collect()] == ["20240105_battery.csv"]
+
+
 def test_model_roundtrip_same_scores(spark, folders, hourly):
     daily = risk.materialized_daily(hourly)
     model = MS.load_model(folders["model"])
@@ -76,8 +87,15 @@ def test_tolerant_csv(spark, tmp_path):
     rows = [tuple(r) for r in CSV.read_csv_tolerant(spark, str(p)).collect()]
     assert sorted(rows, key=str) == sorted([("1", "2", "3"), ("4", "5", None),
                                             ("x,y", "multi\nline", 'q"q'), (None, None, None)], key=str)
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="too many fields"):
         CSV.read_csv_strict(spark, str(p)).collect()
+    q = tmp_path / "y.csv"
+    q.write_text('a,b,c\n6,7,8,,X\n1,2,3,\n"1,1",2,3\n1,2\n')
+    rows = [tuple(r) for r in CSV.read_csv_tolerant(spark, str(q)).collect()]
+    assert sorted(rows, key=str) == [("1", "2", None), ("1,1", "2", "3")]
+    z = tmp_path / "z.csv"
+    z.write_text("a,b,c\n1,2\n3,4,5\n")
+    assert sorted(map(tuple, CSV.read_csv_strict(spark, str(z)).collect())) == [("1", "2", None), ("3", "4", "5")]
     with pytest.raises(FileNotFoundError):
         CSV.read_csv_strict(spark, str(tmp_path / "missing.csv"))
     with pytest.raises(ValueError, match="soc"):

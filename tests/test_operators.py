@@ -160,7 +160,8 @@ def _pandas_features(series: list[float]) -> pd.DataFrame:
     s = pd.Series(series)
 
     def slope(y):
-        return float(np.polyfit(np.arange(len(y)), y, 1)[0]) if len(y) >= 2 else 0.0
+        x = np.arange(len(y)) - (len(y) - 1) / 2          # covariance over variance of the places
+        return float((x * (y - y.mean())).sum() / (x * x).sum())
     return pd.DataFrame({
         "s3": s.rolling(3, min_periods=2).apply(slope, raw=False),
         "s7": s.rolling(7, min_periods=3).apply(slope, raw=False),
@@ -225,13 +226,14 @@ def test_split_is_disjoint_and_sized(spark):
     assert train.count() + test.count() == df.count()
 
 
-@pytest.mark.parametrize("accuracy,max_band", [(100_000, 200_000), (50, 10)])
-def test_exact_quantiles_match_numpy(spark, accuracy, max_band):
+def test_exact_quantiles_match_numpy(spark):
     rng = np.random.default_rng(7)
     vals = np.concatenate([rng.normal(0, 1, 3000).round(3), np.full(1500, 0.25)])  # hot value
     df = spark.createDataFrame([(float(v),) for v in vals] + [(None,), (float("nan"),)], "x double")
     probs = [0.0, 0.01, 0.05, 0.5, 0.95, 0.99, 1.0]
-    got = exact_quantiles(df, ["x"], probs, accuracy=accuracy, max_band=max_band)["x"]
+    got = exact_quantiles(df.withColumn("none", F.lit(None)), ["none", "x"], probs)
+    assert got["none"] == [None] * len(probs)
+    got = got["x"]
     np.testing.assert_allclose(got, np.quantile(vals, probs), rtol=0, atol=1e-12)
 
 
@@ -352,13 +354,60 @@ def test_hot_device_hour_keeps_exactly_the_newest(spark):
     assert len(out) == 1 and out[0].snapshot_id == newest
 
 
-def test_ranking_metrics_with_many_buckets(spark):
-    """Forcing more buckets than the default (tiny per-bucket cap) keeps the exact result."""
+def test_ranking_metrics_over_many_scores(spark):
     rng = np.random.default_rng(5)
     scores = (rng.integers(0, 300, 900) / 300).tolist()
     labels = [int(rng.random() < s) for s in scores]
     df = spark.createDataFrame(list(zip(scores, labels)), "risk_prob double, y_risk int")
-    t = ME.score_table(df, buckets=4, max_bucket_rows=10)
+    t = ME.score_table(df)
     got = t.agg(F.sum(F.col("pos") * (2 * F.col("neg_lt") + F.col("neg"))).alias("a"),
                 F.max("P").alias("P"), F.max("N").alias("N")).first()
     assert math.isclose(got.a / (2.0 * got.P * got.N), _brute_auc(scores, labels), abs_tol=1e-12)
+
+
+def test_ranking_metrics_of_billions(spark):
+    """Products of class counts past 2**63 neither overflow nor lose the result."""
+    big = 3_000_000_000
+    per = spark.createDataFrame([(0.1, 0, big), (0.5, big, big), (0.9, big, 0)], "score double, pos bigint, neg bigint")
+    got = ME.ranking_of(ME.ranked_scores(per)).first()
+    assert math.isclose(got.roc_auc, 0.875, rel_tol=1e-12)
+    assert math.isclose(got.average_precision, 0.5 * 1 + 0.5 * 2 / 3, rel_tol=1e-12)
+
+
+def test_rows_without_battery_stay_out_of_the_session_windows(spark):
+    rows = [("b", None if i % 3 == 0 else "BAT1", i, "a", 50.0, 12.5, 1) for i in range(30)]
+    df = CL.clean(hourly_rows(spark, rows))
+    out = SE.add_sessions(df)
+    assert out.filter("battery_name IS NULL AND session_id IS NULL AND is_censored = 0").count() == 10
+    assert out.count() == 30 and SE.add_sessions(df, keyed_only=True).count() == 20
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Window"):]
+    assert "isnotnull(battery_name" in below
+
+
+def test_hour_floor_does_not_depend_on_the_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        r = spark.sql("SELECT TIMESTAMP_NTZ '2024-03-10 02:30:15.25' AS t, '2024-03-10T02:59:59+02:00' AS s").select(
+            S.hour_floor("t").cast("string").alias("t"), S.iso_hour("s").cast("string").alias("s")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert (r.t, r.s) == ("2024-03-10 02:00:00", "2024-03-10 02:00:00")
+
+
+def test_intermediates_need_a_shared_folder_on_a_cluster():
+    from cellwatch import config
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": lambda self, k, d=None: d})()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        config.ensure_checkpoint_dir(Session())

@@ -143,8 +143,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     """
     results = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     keep = [c for c in docs.columns if c not in results]
-    d = docs.select(*keep, row_key(F.col("doc_id"), F.col("text")).alias("_k"))
-    n_words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0))
+    # Words are counted here, so that a caller without use for the texts does not move them.
+    d = docs.select(*keep, row_key(F.col("doc_id"), F.col("text")).alias("_k"),
+                    F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
     found, lengths = item_windows(items, window)
     if not lengths:
         hits = written(d.select("doc_id", "_k", F.lit(0).alias("length"), F.lit(0).cast("long").alias("window"),
@@ -167,7 +168,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     out = d.join(hit, d["doc_id"].eqNullSafe(hit["_d"]) & (d["_k"] == hit["_k2"]), "left")
     items_ = F.coalesce("_items", none)
     return out.select(
-        *keep, n_words.cast("long").alias("n_words"), F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        *keep, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.size(items_).cast("long").alias("n_items"), F.sha2(F.array_join(items_, ","), 256).alias("items_sha256"),
         F.col("n_hit").isNotNull().alias("contaminated"))
 

@@ -125,11 +125,16 @@ def test_session_chain_uses_one_exchange(spark):
 
 
 def test_extract_plan_prunes_and_limits(spark):
-    df = Q.fleet_extract(spark, SF)
+    """On a stored snapshot table the look-back reaches the scan."""
+    from cellwatch.plans import fleet
+    from cellwatch.sources import tables as T
+    snaps = C.materialize(T.snapshots(spark, SF), "snapshots")
+    df = fleet.fleet_extract(snaps, T.raw_events(spark, SF), C.FLEET_AS_OF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan                  # map-side top-1 before the ranking shuffle
-    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan
-    assert "value" not in plan.split("ReadSchema:")[1].split("\n")[0]   # unused column pruned
+    assert "GreaterThanOrEqual(system_updated_at" in plan
+    scan = next(x for x in plan.split("\n") if "GreaterThanOrEqual(system_updated_at" in x)
+    assert "location" not in scan.split("ReadSchema:")[1]   # unused column pruned
 
 
 def test_logistic_regression_matches_newton_solve(spark, hourly):

@@ -16,14 +16,17 @@ sketch is its ``SKETCH`` smallest shingle hashes, or its whole set where that is
    lists with members in several components (of equal lists one): there, members outside the
    list's largest component are compared with the others, by a self-join in lists of at most
    ``FEW`` members and by products of membership matrices, in chunks, in longer ones.
-4. A pair passes if its union sketch estimates enough overlap: the shared values of both sketches
-   reach ``LEAST`` (or, where both sketches are whole sets, the similarity itself). It is a link
-   if the exact Jaccard similarity of the full sets is ``SIMILAR`` percent or more.
+4. A pair passes if its union sketch, the smallest values of both sketches, estimates enough
+   overlap: first by ``TINY`` values, so that little is moved for the many pairs that share
+   a passage, then by ``SKETCH`` (or, where both sketches are whole sets, by the similarity
+   itself). It is a link if the exact Jaccard similarity of the full sets is ``SIMILAR`` percent
+   or more.
 5. Components by hooking to the smallest neighbour and jumping pointers.
 
-The least overlap of two incomplete sketches of linked sets is a bound in probability: at
-similarity 0.75 exactly, a pair's union sketch shares fewer than ``LEAST`` of ``SKETCH`` values
-with a probability under 1e-6 (4.9 standard deviations), less above it. Whole sets have
+The least overlaps of two incomplete sketches of linked sets are bounds in probability: at
+similarity 0.75 exactly, a pair's union sketch shares fewer than ``LEAST`` of ``SKETCH`` values,
+or ``LEAST_TINY`` of ``TINY``, with a probability under 1e-6 (4.9 and over 5 standard
+deviations), less above it. Whole sets have
 no such error.
 
 Null text or no words: empty set, no links, component its own id. Rows with one id are one
@@ -46,6 +49,8 @@ SHINGLE = 5               # words
 SIMILAR = 75              # percent
 SKETCH = 160              # values of a sketch
 LEAST = 93                # values that sketches of linked documents share, at least
+TINY = 32                 # smallest values compared first
+LEAST_TINY = 10           # of them that linked documents share, at least
 ORDER_BITS = 17           # of the table of counts that orders values
 CHUNK = 2048              # members of a list compared at a time
 FEW = 12                  # members of a list that is joined with itself
@@ -53,16 +58,16 @@ SENT = 1_000_000          # ids sent to all executors at most (8 MB); more are j
 
 
 def shingle_sets(col):
-    """The sorted distinct shingle hashes of each row."""
+    """The sorted distinct shingle hashes (63 bits) of each row."""
     _, off = column_bytes(col)
     for i, j in row_slices(off, 4 << 20):
         w = Words(col.slice(i, j - i), SPACED)
-        g = grams(w.hash, SHINGLE)
+        g = grams(w.hash, SHINGLE) >> np.uint64(1)          # sorts alike as a signed number
         for a, z in zip(w.row[:-1].tolist(), w.row[1:].tolist()):
             if z - a >= SHINGLE:
                 yield np.unique(g[a:z - SHINGLE + 1])
             elif z > a:
-                yield grams(w.hash[a:z], z - a, salt=99)
+                yield grams(w.hash[a:z], z - a, salt=99) >> np.uint64(1)
             else:
                 yield np.empty(0, np.uint64)
 
@@ -169,26 +174,41 @@ def full_sets(docs: DataFrame, active: DataFrame) -> DataFrame:
     return written(map_arrow(texts, run, schema), "full-sets")
 
 
+def shared_of_union(x, y, k: int):
+    """How many of the ``k`` smallest values of two bottom-k sketches' union are in both."""
+    union = F.slice(F.sort_array(F.array_union(x, y)), 1, k)
+    return F.size(F.array_intersect(F.array_intersect(x, y), union)).cast("long")
+
+
 def links(pairs: DataFrame, active: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar; written to the shared folder."""
-    left = active.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    right = active.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    p = pairs.select("a", "b").join(left, "a").join(right, "b")
-    p = p.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).cast("long").alias("s"))
+    def beside(p: DataFrame, k: int) -> DataFrame:
+        """Pairs with sizes and sketches of ``k`` values of both."""
+        few = active.select("id", "n", F.slice("sketch", 1, k).alias("s"))
+        return p.select("a", "b").join(few.toDF("a", "na", "sa"), "a").join(few.toDF("b", "nb", "sb"), "b")
+
+    def similar(shared):
+        return 100 * shared >= SIMILAR * (F.col("na") + F.col("nb") - shared)
+
+    tiny = beside(pairs, TINY)
+    passed = F.when((F.col("na") <= TINY) & (F.col("nb") <= TINY), similar(F.size(F.array_intersect("sa", "sb")))
+                    ).otherwise(shared_of_union("sa", "sb", TINY) >= LEAST_TINY)
+    p = written(tiny.where(passed).select("a", "b"), "tiny-pairs")
     whole = (F.col("na") <= SKETCH) & (F.col("nb") <= SKETCH)
-    similar = 100 * F.col("s") >= SIMILAR * (F.col("na") + F.col("nb") - F.col("s"))
-    p = written(p.where(F.when(whole, similar).otherwise(
-        F.col("s") >= F.least(F.lit(LEAST), F.ceil(F.least("na", "nb") * F.lit(SIMILAR) / 100)))), "pairs")
-    known, rest = p.where(whole).select("a", "b"), p.where(~whole).select("a", "b")
+    p = beside(p, SKETCH).withColumn("whole", whole)
+    passed = F.when(whole, similar(F.size(F.array_intersect("sa", "sb")))).otherwise(
+        shared_of_union("sa", "sb", SKETCH) >= LEAST)
+    p = written(p.where(passed).select("a", "b", "whole"), "pairs")
+    known, rest = p.where("whole").select("a", "b"), p.where("NOT whole").select("a", "b")
     if rest.isEmpty():
         return known
     # A document with a whole sketch beside a longer one: its sketch is its full set.
     every = sets.unionByName(active.where(F.col("n") <= SKETCH).select("id", F.col("sketch").alias("set")))
-    both = (rest.join(every.select(F.col("id").alias("a"), F.col("set").alias("x")), "a")
-            .join(every.select(F.col("id").alias("b"), F.col("set").alias("y")), "b"))
-    both = both.select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("s"),
+    every = only(every, rest.select(F.col("a").alias("id")).union(rest.select("b")).distinct(), "id")
+    both = rest.join(every.toDF("a", "x"), "a").join(every.toDF("b", "y"), "b")
+    both = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("s"),
                        F.size("x").alias("na"), F.size("y").alias("nb"))
-    return written(known.union(both.where(similar).select("a", "b")), "links")
+    return written(known.union(both.where(similar(F.col("s").cast("long"))).select("a", "b")), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -250,13 +270,27 @@ def remaining_pairs(lists: DataFrame, active: DataFrame) -> DataFrame:
     return pairs.union(d.groupBy("value", "chunk").applyInArrow(_compare, "a bigint, b bigint")).distinct()
 
 
+def _shared_of_union(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """As :func:`shared_of_union`, of a sketch with each of some others."""
+    sizes = np.fromiter(map(len, others), np.int64, len(others))
+    flat = np.concatenate(others)
+    of = np.repeat(np.arange(len(others)), sizes)
+    begin = np.r_[0, np.cumsum(sizes)[:-1]]
+    at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+    both = one[at] == flat
+    before = np.cumsum(both) - both                          # shared values before each one, over all
+    rank = at + (np.arange(len(flat)) - begin[of]) - (before - before[begin][of])
+    return np.bincount(of[both & (rank < SKETCH)], minlength=len(others))
+
+
 def _compare(group: pa.Table) -> pa.Table:
     """Pairs of a loose member and another one that may be linked."""
     ids, n, label = (group[c].to_numpy() for c in ("id", "n", "label"))
     loose = np.flatnonzero(group["loose"].to_numpy())
     lists = group["sketch"].combine_chunks()
     v = lists.flatten().to_numpy()
-    row = np.repeat(np.arange(len(ids)), np.diff(np.asarray(lists.offsets)))
+    starts = np.asarray(lists.offsets) - lists.offsets[0].as_py()
+    row = np.repeat(np.arange(len(ids)), np.diff(starts))
     values, column, count = np.unique(v, return_inverse=True, return_counts=True)
     shared = count[column] > 1
     row, column = row[shared], (np.cumsum(count > 1) - 1)[column[shared]]
@@ -277,6 +311,10 @@ def _compare(group: pa.Table) -> pa.Table:
                       s >= np.minimum(LEAST, -(-small * SIMILAR // 100)))
         ok &= (label != label[r]) & (100 * small >= SIMILAR * large)
         found = np.flatnonzero(ok)
+        part = found[~whole[found]]
+        if len(part):
+            found = np.r_[found[whole[found]], part[_shared_of_union(
+                v[starts[r]:starts[r + 1]], [v[starts[i]:starts[i + 1]] for i in part]) >= LEAST]]
         if len(found):
             # One exact link joins two components; estimates are all kept for the exact check.
             exact = found[whole[found]]

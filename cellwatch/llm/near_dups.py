@@ -15,7 +15,7 @@ sketch is its ``SKETCH`` smallest shingle hashes, or its whole set where that is
    smallest hash), which joins most groups without forming their pairs. What is left are
    lists with members in several components (of equal lists one): there, members outside the
    list's largest component are compared with the others, by a self-join in lists of at most
-   ``FEW`` members and by products of membership matrices, in chunks, in longer ones.
+   ``FEW`` members and by products of membership matrices, block by chunk, in longer ones.
 4. A pair passes if its union sketch, the smallest values of both sketches, estimates enough
    overlap: first by ``TINY`` values, so that little is moved for the many pairs that share
    a passage, then by ``SKETCH`` (or, where both sketches are whole sets, by the similarity
@@ -251,23 +251,29 @@ def remaining_pairs(lists: DataFrame, active: DataFrame) -> DataFrame:
     stats = by_label.groupBy("value").agg(F.count("*").alias("labels"), F.sum("k").alias("m"), F.sum("sig").alias("sig"),
                                           F.max(F.struct("k", "label")).alias("top"))
     stats = written(stats.where("labels > 1").groupBy("m", "sig").agg(
-        F.min(F.struct("value", "top.label")).alias("v")).select(
-        F.col("v.value").alias("value"), "m", F.col("v.label").alias("most")), "open-lists")
+        F.min(F.struct("value", "top.label", "top.k")).alias("v")).select(
+        F.col("v.value").alias("value"), "m", F.col("v.label").alias("most"),
+        (F.col("m") - F.col("v.k")).alias("others")), "open-lists")
     d = lists.join(stats, "value")
     few = d.where(F.col("m") <= FEW).select("value", "id", "n", "label")
     other = few.select("value", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
     pairs = few.join(other, "value").where((F.col("id") < F.col("id2")) & (F.col("label") != F.col("label2"))
                                            & similar_sizes(F.col("n"), F.col("n2")))
     pairs = pairs.select(F.col("id").alias("a"), F.col("id2").alias("b"))
-    d = d.where(F.col("m") > FEW).withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("int"))
-    own = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
-    loose = F.col("label") != F.col("most")
-    # Members outside the largest component meet every chunk, the others only their own.
-    d = d.select("value", "id", "n", "label", loose.alias("loose"),
-                 F.explode(F.when(loose, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(own))).alias("chunk"))
-    d = d.join(active.select("id", "sketch"), "id")
+    # Every member stands in one chunk of its list, and members outside the largest component
+    # also in one block of those; a task compares a block with a chunk.
+    d = d.where(F.col("m") > FEW).withColumns({
+        "chunks": F.ceil(F.col("m") / CHUNK).cast("int"), "blocks": F.ceil(F.col("others") / CHUNK).cast("int")})
+    chunk = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
+    block = F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")).cast("int")
+    asked = d.select("value", "id", "n", "label", F.lit(False).alias("loose"), chunk.alias("chunk"),
+                     F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    loose = d.where(F.col("label") != F.col("most")).select(
+        "value", "id", "n", "label", F.lit(True).alias("loose"),
+        F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), block.alias("block"))
+    d = asked.unionByName(loose).join(active.select("id", "sketch"), "id")
     ship(lists.sparkSession)
-    return pairs.union(d.groupBy("value", "chunk").applyInArrow(_compare, "a bigint, b bigint")).distinct()
+    return pairs.union(d.groupBy("value", "block", "chunk").applyInArrow(_compare, "a bigint, b bigint")).distinct()
 
 
 def _shared_of_union(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
@@ -284,9 +290,10 @@ def _shared_of_union(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
 
 
 def _compare(group: pa.Table) -> pa.Table:
-    """Pairs of a loose member and another one that may be linked."""
+    """Pairs of a loose member and a member of the chunk that may be linked."""
     ids, n, label = (group[c].to_numpy() for c in ("id", "n", "label"))
-    loose = np.flatnonzero(group["loose"].to_numpy())
+    is_loose = group["loose"].to_numpy()
+    loose, asked = np.flatnonzero(is_loose), np.flatnonzero(~is_loose)
     lists = group["sketch"].combine_chunks()
     v = lists.flatten().to_numpy()
     starts = np.asarray(lists.offsets) - lists.offsets[0].as_py()
@@ -296,30 +303,32 @@ def _compare(group: pa.Table) -> pa.Table:
     row, column = row[shared], (np.cumsum(count > 1) - 1)[column[shared]]
     a_out, b_out = [], []
     width = int(column.max()) + 1 if len(column) else 0
-    shared_values = np.zeros((len(loose), len(ids)), np.float32)
-    step = max(1, (8 << 20) // max(1, len(ids)))
+    shared_values = np.zeros((len(loose), len(asked)), np.float32)
+    step = max(1, (4 << 20) // max(1, len(ids)))
     for lo in range(0, width, step):
         m = np.zeros((len(ids), min(step, width - lo)), np.float32)
         on = (column >= lo) & (column < lo + step)
         m[row[on], column[on] - lo] = 1
-        shared_values += m[loose] @ m.T
+        shared_values += m[loose] @ m[asked].T
+    n_a, label_a = n[asked], label[asked]
     for i, r in enumerate(loose.tolist()):
         s = shared_values[i]
-        whole = (n <= SKETCH) & (n[r] <= SKETCH)
-        small, large = np.minimum(n, n[r]), np.maximum(n, n[r])
-        ok = np.where(whole, 100 * s >= SIMILAR * (n + n[r] - s),
+        whole = (n_a <= SKETCH) & (n[r] <= SKETCH)
+        small, large = np.minimum(n_a, n[r]), np.maximum(n_a, n[r])
+        ok = np.where(whole, 100 * s >= SIMILAR * (n_a + n[r] - s),
                       s >= np.minimum(LEAST, -(-small * SIMILAR // 100)))
-        ok &= (label != label[r]) & (100 * small >= SIMILAR * large)
+        ok &= (label_a != label[r]) & (100 * small >= SIMILAR * large)
         found = np.flatnonzero(ok)
         part = found[~whole[found]]
         if len(part):
-            found = np.r_[found[whole[found]], part[_shared_of_union(
-                v[starts[r]:starts[r + 1]], [v[starts[i]:starts[i + 1]] for i in part]) >= LEAST]]
+            near = part[_shared_of_union(v[starts[r]:starts[r + 1]],
+                                         [v[starts[j]:starts[j + 1]] for j in asked[part]]) >= LEAST]
+            found = np.r_[found[whole[found]], near]
         if len(found):
             # One exact link joins two components; estimates are all kept for the exact check.
             exact = found[whole[found]]
-            _, one = np.unique(label[exact], return_index=True)
-            found = np.r_[exact[one], found[~whole[found]]]
+            _, one = np.unique(label_a[exact], return_index=True)
+            found = asked[np.r_[exact[one], found[~whole[found]]]]
             a_out.append(np.minimum(ids[r], ids[found]))
             b_out.append(np.maximum(ids[r], ids[found]))
     empty = [np.empty(0, np.int64)]

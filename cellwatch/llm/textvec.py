@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 4 << 20            # bytes hashed at a time
+BLOCK = 1 << 20            # bytes hashed at a time
 
 
 def _byte_table(separators, lower: bool) -> np.ndarray:

@@ -73,11 +73,12 @@ def branches(messages: DataFrame) -> DataFrame:
     while state.where("up IS NOT NULL").limit(1).count():
         above = state.select(F.col("conv_id").alias("c"), F.col("id").alias("i"), F.col("up").alias("up2"),
                              F.col("depth").alias("d2"), F.col("score").alias("s2"))
-        new = state.join(above, state["conv_id"].eqNullSafe(F.col("c")) & (F.col("up") == F.col("i")), "left")
-        new = new.select("conv_id", "id", F.col("up2").alias("up"),
-                         (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"),
-                         (F.col("score") + F.coalesce("s2", F.lit(0.0))).alias("score"))
-        new = written(new, "chat-up")
+        # Messages that have reached their root are left as they are.
+        under = state.where("up IS NOT NULL")
+        new = under.join(above, under["conv_id"].eqNullSafe(F.col("c")) & (F.col("up") == F.col("i"))).select(
+            "conv_id", "id", F.col("up2").alias("up"), (F.col("depth") + F.col("d2")).alias("depth"),
+            (F.col("score") + F.col("s2")).alias("score"))
+        new = written(new.unionByName(state.where("up IS NULL")), "chat-up")
         if new.agg(F.max("depth")).first()[0] > RING_DEPTH:
             raise ValueError("replies form a ring")
         state = new

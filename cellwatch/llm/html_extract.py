@@ -2,8 +2,11 @@
 
 A page is read once into a tree of elements with its blocks of text as leaves. Each paragraph
 block passes points for its length and commas to its ancestors, the nearer the more, and a
-container's points are discounted by its link density. The best container is the article;
-siblings that score close to it, or that are plain paragraphs without links, are kept with it.
+container's points are discounted by its link density. The best container leads to the article:
+the ``article`` around it, else the ``main`` around it, else its highest ancestor with few links,
+without what beside the best container's path is mostly links (headings stay). All other blocks
+in it are kept, lists, tables, headings and short paragraphs too; siblings that score close to
+it, or that are plain paragraphs without links, are kept with it.
 Elements that by their tag, role or names are menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles or reader comments are left out before scoring and again
 inside the kept parts.
@@ -63,6 +66,9 @@ CONTAINERS = {"article", "main", "section", "div", "td", "body", "blockquote", "
 BONUS = {"article": 25.0, "main": 20.0, "section": 5.0, "div": 0.0, "td": 0.0, "body": -5.0, "blockquote": 3.0}
 SHORTEST_SCORED = 25        # code points of a paragraph that passes points
 SIBLING_SHARE = 0.2         # of the best score that a sibling needs
+FEW_LINKS = 0.25            # share of linked code points up to which an ancestor holds the article
+MOSTLY_LINKS = 0.5          # and from which a part beside the article's path is a menu
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 
 
 class Node:
@@ -225,6 +231,35 @@ def _containers(node: Node):
         node = node.parent
 
 
+def _article(best: Node) -> Node:
+    """What holds the whole article whose best container is ``best``."""
+    around = list(_containers(best))
+    for tag in ("article", "main"):
+        outer = [c for c in around if c.tag == tag]
+        if outer:
+            return outer[-1]
+    return next((c for c in reversed(around) if c.linked < FEW_LINKS * c.chars), best)
+
+
+def _menus(found, best: Node, top: Node) -> set[int]:
+    """Places in ``found`` of the blocks under ``top`` that stand beside the path to ``best``, mostly links."""
+    path, node = {id(best)}, best
+    while node is not top:
+        node = node.parent
+        path.add(id(node))
+    parts: dict[int, list] = {}
+    for i, (node, _, chars, linked) in enumerate(found):
+        branch, key, heading = node, -1 - i, False            # text of the path's own: a part of its own
+        while branch is not None and id(branch) not in path:
+            key, heading, branch = id(branch), branch.tag in HEADINGS, branch.parent
+        if branch is not None and branch is not best and not heading:
+            part = parts.setdefault(key, [0, 0, []])
+            part[0] += chars
+            part[1] += linked
+            part[2].append(i)
+    return {i for chars, linked, places in parts.values() if linked >= MOSTLY_LINKS * chars for i in places}
+
+
 def main_text(html: str) -> str:
     """The article of a page, blocks joined by an empty line."""
     if not html or html.isspace():
@@ -247,8 +282,10 @@ def main_text(html: str) -> str:
         return ""
     value = lambda n: n.score * (1 - n.linked / n.chars if n.chars else 1)
     best = max(scored.values(), key=value)
-    parent, least = best.parent, max(10.0, SIBLING_SHARE * value(best))
-    kept = {id(best)}
+    top = _article(best)
+    menus = set() if top.tag in ("article", "main") or top is best else _menus(found, best, top)
+    parent, least = top.parent, max(10.0, SIBLING_SHARE * value(best))
+    kept = {id(top)}
     if parent is not None:
         for s in parent.children:
             if isinstance(s, Node) and not s.out and id(s) in scored and value(s) >= least:
@@ -268,7 +305,7 @@ def main_text(html: str) -> str:
             node = node.parent
         return False
 
-    return "\n\n".join(text for node, text, _, _ in found if inside(node))
+    return "\n\n".join(text for i, (node, text, _, _) in enumerate(found) if i not in menus and inside(node))
 
 
 def extract_pages(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -139,6 +139,21 @@ def test_main_text():
     assert html_extract.main_text(deep) == "deep, text"
 
 
+@pytest.mark.parametrize("around", ["article", "main", "div"])
+def test_long_articles_are_whole(around):
+    long = "".join(f"<p>{'word, ' * 4}{i} {'plain words ' * 32}.</p>" for i in range(12))
+    paragraphs = [f"{'word, ' * 4}{i} {'plain words ' * 32}." for i in range(12)]
+    menu = "<div><a href=1>One</a> <a href=2>Two</a></div>"
+    outside = "" if around == "div" else "<p>Outside of it</p>"
+    pages = {f"<div>{long}</div>": paragraphs,                   # a container of its own
+             f"<section><div><div>{long}</div></div></section>": paragraphs,
+             f"<section>{long}</section><section><h2>Short</h2><p>End</p></section>": [*paragraphs, "Short", "End"]}
+    for body, want in pages.items():
+        html = (f"<body>{menu if around == 'div' else ''}<{around}><h1>Title</h1><p>No full stop</p>{body}<ul><li>one<li>two</ul>"
+                f"<pre>code</pre><table><tr><td>cell</table></{around}>{outside}</body>")
+        assert html_extract.main_text(html).split("\n\n") == ["Title", "No full stop", *want, "one", "two", "code", "cell"]
+
+
 def test_pages_frame(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None)],
                                   "page_id bigint, url string, html string, text string")

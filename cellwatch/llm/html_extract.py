@@ -9,7 +9,9 @@ in it are kept, lists, tables, headings and short paragraphs too; siblings that
 it, or that are plain paragraphs without links, are kept with it.
 Elements that by their tag, role or names are menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles or reader comments are left out before scoring and again
-inside the kept parts.
+inside the kept parts. A name counts as a whole (``sidebar``, ``site-footer``, not
+``has-sidebar``), and not on what holds the article, most of the page's unlinked paragraph
+text, or a section of the article about such a subject.
 
 White space inside a block becomes one space; blocks are joined by an empty line. Character
 references are decoded after tags are found, so ``&lt;p&gt;`` stays text. Unclosed tags end
@@ -50,18 +52,34 @@ LEFT_OUT = RAW | {"head", "nav", "header", "footer", "aside", "form", "button",
                   "menu", "dialog", "template", "legend", "datalist"}
 LEFT_OUT_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog",
                   "alertdialog", "menu", "menubar", "toolbar", "status", "note"}
-#: Words of class and id names that mark what is not the article.
+#: Class and id names that mark what is not the article, alone or as parts of a compound name.
 _NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adbox|adsense|sponsor(?:ed|s)?|promos?|promotion|banner|"
-    r"nav|navbar|navigation|navigat\w*|menus?|breadcrumbs?|sidebar|side-bar|sidenav|aside|widgets?|footer|foot|header|"
+    r"ads?|adverts?|advertisements?|advertising|adbox|adsense|sponsor(?:ed|s)?|promos?|promotion|banner|"
+    r"nav|navbar|navigat\w*|menus?|breadcrumbs?|side-?bar|sidenav|aside|widgets?|footer|foot|header|"
     r"masthead|comments?|comment-?list|commentary|disqus|respond|replies|reply|discussion|cookies?|consent|gdpr|"
-    r"notices?|notification|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|sign-up|login|"
-    r"social|share|sharing|sharebar|related|recommend\w*|also-like|trending|toolbar|pagination|pager|tags|"
-    r"copyright|legal|disclaimer|skip-?links?|search|forms?|hidden|outbrain|taboola)(?:$|[\s_-])", re.IGNORECASE)
+    r"notices?|notification|alert|popup|modal|overlay|newsletter|subscribe|subscription|sign-?up|login|"
+    r"social|share|sharing|sharebar|related|recommend\w*|(?:you-may-)?also-like|trending|toolbar|pagination|pager|tags|"
+    r"copyright|legal|disclaimer|skip-?links?|search|forms?|hidden|outbrain|taboola", re.IGNORECASE)
+#: Parts that say where or what such an element is (``site-footer``, ``share-buttons``).
+_PLACES = re.compile(
+    r"site|page|main|global|top|bottom|left|right|primary|secondary|mobile|desktop|user|posts?|articles?|entry|blog|fb|email|"
+    r"bar|box|list|links?|buttons?|icons?|area|wrapper|wrap|container|sections?|block|items?|inner|content|body|panel|"
+    r"row|group|text|stories|tools|media|results|reading|slots?|unit|label|this|by|for|you|visually|\d+(?:x\d+)?", re.IGNORECASE)
+#: Last parts that say so after any other (``acme-footer``).
+_LAST = re.compile(r"ads?|adsense|nav|navbar|sidebar|sidenav|footer|breadcrumbs?|comments|newsletter|pagination", re.IGNORECASE)
+#: Parts that make a name one of the layout or state (``has-sidebar``, ``article-header``).
+_STATES = {"has", "with", "without", "no", "not", "non", "is", "are", "show", "hide", "before", "after", "above", "below"}
+_TITLED = {"article", "post", "entry", "section", "content", "chapter", "blog"}
+#: Names that a section of an article may bear for its subject.
+_TOPICS = re.compile(r"advertising|promotion|navigation|commentary|discussion|cookies?|consent|notices?|notification|"
+                     r"alert|subscription|social|sharing|related|recommend\w*|trending|tags|copyright|legal|disclaimer|"
+                     r"search|forms?|header", re.IGNORECASE)
+_READERS = re.compile(r"comments?|comment-?list|disqus|respond|replies|reply", re.IGNORECASE)
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
            "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"},
            "th": {"table", "tr"}, "option": {"select"}}
+FOREIGN = {"svg", "math"}    # raw elements that end with a slash in their start tag
 CONTAINERS = {"article", "main", "section", "div", "td", "body", "blockquote", "center"}
 BONUS = {"article": 25.0, "main": 20.0, "section": 5.0, "div": 0.0, "td": 0.0, "body": -5.0, "blockquote": 3.0}
 SHORTEST_SCORED = 25        # code points of a paragraph that passes points
@@ -74,23 +92,23 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 class Node:
     """An element: its parent, what it contains in order (nodes and (text, in link) pieces)."""
 
-    __slots__ = ("tag", "parent", "children", "out", "score", "chars", "linked")
+    __slots__ = ("tag", "parent", "children", "out", "score", "chars", "linked", "names")
 
     def __init__(self, tag, parent, out):
         self.tag, self.parent, self.out = tag, parent, out
         self.children: list = []
         self.score, self.chars, self.linked = 0.0, 0, 0
+        self.names: list[tuple[str, str]] = []           # (attribute, name) that mark what is not the article
 
 
 def _left_out(tag: str, attrs: str) -> bool:
+    """Whether an element's tag, role or state leaves it out."""
     if tag in LEFT_OUT:
         return True
     if not attrs or tag in ("html", "body", "article", "main"):
         return False
     for name, value in _ATTR.findall(attrs):
         name, value = name.lower(), value.strip("\"'")
-        if name in ("class", "id") and _NAMES.search(value):
-            return True
         if name == "role" and value.lower() in LEFT_OUT_ROLES or name == "hidden" \
                 or name == "aria-hidden" and value.lower() == "true" \
                 or name == "style" and re.search(r"display\s*:\s*none", value, re.IGNORECASE):
@@ -98,9 +116,76 @@ def _left_out(tag: str, attrs: str) -> bool:
     return False
 
 
+def _marks(name: str) -> bool:
+    """Whether a whole class or id name marks what is not the article."""
+    if _NAMES.fullmatch(name):
+        return True
+    parts = [p for p in re.split(r"[-_]+", name.lower()) if p]
+    if len(parts) < 2 or not _STATES.isdisjoint(parts) or "header" in parts and not _TITLED.isdisjoint(parts):
+        return False
+    if _LAST.fullmatch(parts[-1]):
+        return True
+    named = [_NAMES.fullmatch(p) is not None for p in parts]
+    return any(named) and all(n or _PLACES.fullmatch(p) for n, p in zip(named, parts))
+
+
+def _marking(tag: str, attrs: str) -> list[tuple[str, str]]:
+    if not attrs or tag in ("html", "body", "article", "main"):
+        return []
+    return [(name.lower(), word) for name, value in _ATTR.findall(attrs) if name.lower() in ("class", "id")
+            for word in value.strip("\"'").split() if _marks(word)]
+
+
+def _settle(root: Node, marked: list[Node]) -> None:
+    """Leave out the elements marked by name, but not what holds the article.
+
+    One that holds the only article or main with paragraphs, or most of the unlinked paragraph
+    text (inside the article, where there is one), stays; so does a section of the article that
+    bears its subject's name. Reader comments stay out, unless nothing else has paragraphs.
+    """
+    total = clear = 0
+    holds, articles, headed, inside = {id(n): [0, 0, 0] for n in marked}, set(), set(), set()
+    for node, _, chars, linked in blocks(root):
+        heading = node.tag in HEADINGS
+        prose = chars - linked if chars >= SHORTEST_SCORED and not heading else 0
+        above, article, readers = [], False, False
+        while node is not None:
+            if node.names:
+                above.append(node)
+                readers = readers or _by_readers(node)
+                if article and prose:
+                    articles.add(id(node))
+            elif node.tag in ("article", "main"):
+                article = True
+                inside.update(id(n) for n in above)
+            node = node.parent
+        for n in above:
+            h = holds[id(n)]
+            h[0], h[1], h[2] = h[0] + prose, h[1] + chars, h[2] + linked
+            if heading:
+                headed.add(id(n))
+        total += 0 if readers else prose
+        clear += prose if article and not above else 0
+    for n in marked:
+        prose, chars, linked = holds[id(n)]
+        held = id(n) in articles and not clear
+        if _by_readers(n):
+            n.out = not (held and not total)
+        else:
+            most = prose > total / 2 and (not clear or id(n) in inside)
+            topic = prose and linked < MOSTLY_LINKS * chars and (id(n) in inside or not clear and id(n) in headed) and all(
+                _TOPICS.fullmatch(word) and (kind == "id" or n.tag == "section") for kind, word in n.names)
+            n.out = not (held or most or topic)
+
+
+def _by_readers(node: Node) -> bool:
+    return any(_READERS.fullmatch(p) for _, word in node.names for p in [word, *re.split(r"[-_]+", word)])
+
+
 def parse(html: str) -> Node:
     """The tree of a page."""
     root = here = Node("html", None, False)
+    marked: list[Node] = []
     links = 0
     pos, end = 0, len(html)
 
@@ -166,7 +251,11 @@ def parse(html: str) -> Node:
                     here = here.parent
         node = Node(tag, here, here.out or _left_out(tag, m["attrs"]))
         here.children.append(node)
-        if tag in VOID or m["attrs"].endswith("/") and tag not in BLOCKS | RAW | {"a", "span", "b", "i", "em"}:
+        if not node.out:
+            node.names = _marking(tag, m["attrs"])
+            if node.names:
+                marked.append(node)
+        if tag in VOID or m["attrs"].endswith("/") and tag not in BLOCKS | RAW - FOREIGN | {"a", "span", "b", "i", "em"}:
             continue
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(html, pos)
@@ -174,6 +263,8 @@ def parse(html: str) -> Node:
             continue
         links += tag == "a"
         here = node
+    if marked:
+        _settle(root, marked)
     return root
 
 

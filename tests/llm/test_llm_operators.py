@@ -154,6 +154,24 @@ def test_long_articles_are_whole(around):
         assert html_extract.main_text(html).split("\n\n") == ["Title", "No full stop", *want, "one", "two", "code", "cell"]
 
 
+def test_names_do_not_drop_the_article():
+    text = "A paragraph, with commas, that is long enough to be scored by its length."
+    other = "Another paragraph, also, of the kind that a reader of the page would see."
+    read = lambda html: html_extract.main_text(html).split("\n\n")
+    for name in ("layout has-sidebar", "with-nav", "no-comments", "sidebar", "search-page", "widget social", "overflow-hidden"):
+        for tag in ("article", "div"):
+            assert read(f'<div class="{name}"><{tag}><h1>T</h1><p>{text}</p></{tag}><div class="ad">{other}</div></div>') == ["T", text]
+    for name in ("discussion", "legal", "tags", "social", "search"):
+        assert read(f'<article><h1>T</h1><p>{text}</p><p>{text}</p><section id="{name}"><h2>S</h2><p>{other}</p></section>'
+                    f'</article>') == ["T", text, text, "S", other]
+    for name in ("share-bar", "site-footer", "acme-sidebar", "cookie-notice", "post-comments", "comments", "ad-300x250", "social"):
+        for html in (f'<article><p>{text}</p><p>{text}</p><div class="{name}"><p>{other}</p></div></article>',
+                     f'<article><p>{text}</p><p>{text}</p></article><div class="{name}"><p>{other}</p></div>'):
+            assert read(html) == [text, text], name
+    assert read(f'<article><p>{text}</p></article><div class="comments"><article><p>{other * 9}</p></article></div>') == [text]
+    assert read(f'<div><p>{text}</p><svg class="x" /><p>{other}</p><svg><text>no</text></svg></div>') == [text, other]
+
+
 def test_pages_frame(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None)],
                                   "page_id bigint, url string, html string, text string")

@@ -33,6 +33,7 @@ that of empty text. Columns of the input that bear a result's name are replaced.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import uuid
 
@@ -47,7 +48,7 @@ from .common import extended, id_bucket, map_arrow, scratch, table
 from .textvec import SPACED, Words, column_bytes, mix, row_slices
 
 END = np.uint64(0x656E64206D61726B)          # hash of the end mark
-ORDER = 2
+ORDER = 3
 SHARD_TOKENS = 4_000_000                     # training tokens for each shard of a level
 HELD = 3_000_000                             # n-grams a task holds before it emits them
 UNIT = 1 / 4096                              # step of quantised base-10 logarithms
@@ -361,6 +362,21 @@ def counted(texts: DataFrame, level: int, shards: int, model: dict) -> DataFrame
 
 
 BINS = 160                                    # of counts, four to a doubling
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def _shuffles_dropped(spark: SparkSession):
+    """Frames made meanwhile drop their shuffle files as soon as they have run."""
+    old = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, old)
 
 
 def _add_level(texts: DataFrame, level: int, shards: int, model: dict) -> dict:
@@ -381,9 +397,10 @@ def _add_level(texts: DataFrame, level: int, shards: int, model: dict) -> dict:
                          "bins": [np.bincount(b, minlength=BINS).tolist()],
                          "sums": [np.bincount(b, counts.astype(np.float64), BINS).tolist()]})
 
-    done = counted(texts, level, shards, model).groupBy("shard").applyInArrow(
-        merge, "shard int, path string, n bigint, total bigint, once bigint, bins array<bigint>, sums array<double>")
-    rows = sorted(done.collect())                                    # a row for each shard
+    with _shuffles_dropped(texts.sparkSession):                      # a level's, before the next is counted
+        done = counted(texts, level, shards, model).groupBy("shard").applyInArrow(
+            merge, "shard int, path string, n bigint, total bigint, once bigint, bins array<bigint>, sums array<double>")
+        rows = sorted(done.collect())                                # a row for each shard
     out = {"nodes": sum(r["n"] for r in rows), "tokens": sum(r["total"] for r in rows),
            "once": sum(r["once"] for r in rows), "files": [None] * shards, "strength": None,
            "bins": np.sum([r["bins"] for r in rows] or [[0] * BINS], axis=0),
@@ -453,7 +470,7 @@ def learn_model(texts: DataFrame, order: int = ORDER, shard_tokens: int = SHARD_
         model["levels"][level] = _add_level(texts, level, shards, model)
         model["name"] = f"{folder}/{level}"
         here = model["levels"][level]
-        if here["nodes"] * model["levels"][1]["nodes"] >= 1 << 63:
+        if level < order and here["nodes"] * model["levels"][1]["nodes"] >= 1 << 63:
             raise ValueError("keys of the next order would not fit 64 bits")
         if level == 1:
             model["unknown"] = (here["once"] + 1) / (here["tokens"] + 2) if here["tokens"] else 1.0

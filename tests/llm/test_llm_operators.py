@@ -5,6 +5,8 @@ import itertools
 import math
 import random
 import re
+import time
+import zlib
 from collections import Counter, defaultdict
 
 import duckdb
@@ -216,6 +218,33 @@ def test_language_model_is_a_distribution_and_its_base_is_exact(spark, order):
     assert lm_score.score_texts(d, empty).agg(F.min("score")).first()[0] == 0.0
 
 
+def test_registered_scores_depend_on_two_words_before(spark, tmp_path):
+    ids = {held: [i for i in range(900) if (zlib.crc32(str(i).encode()) % 10 == 0) == held] for held in (True, False)}
+    texts = {i: ("a b c", "x b d")[n % 2] for n, i in enumerate(ids[False][:400])}
+    seen, unseen = ids[True][:2]
+    texts |= {seen: "a b c", unseen: "a b d"}
+    spark.createDataFrame([(*x, "en", "s", 5) for x in texts.items()], DOC).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r for r in lm_score.op4_lm_score(spark, str(tmp_path)).collect()}
+    assert rows[seen]["held_out"] and rows[unseen]["held_out"] and len(rows) == len(texts)
+    assert rows[seen]["score"] > rows[unseen]["score"] + 0.3        # equal by the bigrams
+    assert abs(rows[seen]["base_score"] - rows[unseen]["base_score"]) < 1e-9
+
+
+def test_a_level_drops_its_shuffle_before_the_next(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {b.split("_")[1] for b in disk.getAllBlocks().mkString("\n").split() if b.startswith("shuffle_")}
+
+    old, before = spark.conf.get(lm_score.CLEANUP), shuffles()
+    d = spark.createDataFrame([(i, f"a{i % 7} b{i % 5} c") for i in range(50)], "doc_id bigint, text string")
+    lm_score.learn_model(d.select("text"), order=3, shard_tokens=20)
+    deadline = time.time() + 20
+    while len(shuffles() - before) > 1 and time.time() < deadline:   # files go soon after; the length's sum has its own
+        time.sleep(0.2)
+    assert len(shuffles() - before) <= 1 and spark.conf.get(lm_score.CLEANUP) == old
+
+
 # --- 5 toxicity ------------------------------------------------------------------------------
 
 def toxic_sample(n, seed):

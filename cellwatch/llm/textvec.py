@@ -15,6 +15,7 @@ BLOCK = 1 << 20            # bytes hashed at a time
 
 def _byte_table(separators, lower: bool) -> np.ndarray:
     t = np.arange(256, dtype=np.uint8)
+    t[0] = 0xFF              # 0 marks separators; U+0000 stands as a byte that UTF-8 never has
     if lower:
         t[65:91] += 32
     t[list(separators)] = 0

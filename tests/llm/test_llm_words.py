@@ -1,5 +1,7 @@
 """Word and n-gram hashes, and the monotone sequences of the language model."""
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -7,7 +9,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from cellwatch.llm import textvec
-from cellwatch.llm.lm_score import EliasFano, NONE, coded_counts, decoded_counts, quantised
+from cellwatch.llm.common import SPACE_WORD
+from cellwatch.llm.lm_score import EliasFano, NONE, coded_counts, decoded_counts, quantised, token_hashes
+from cellwatch.llm.near_dups import shingle_sets
 
 TEXT = st.text(alphabet="aAbZ 0\t\n\x0b!é漢_", max_size=60)
 
@@ -30,6 +34,18 @@ def test_words_are_the_texts_words_whatever_the_block(texts, block):
     assert len(set(by_word.values())) == len(by_word)
 
 
+def test_words_may_hold_nul():
+    texts = ["a\0b c", "\0", "a b\0 \0\0", "a b c"]
+    for cased in (textvec.SPACED, textvec.SPACED_CASED):
+        w = textvec.Words(pa.array(texts), cased)
+        assert [w.raw[a:z].tobytes().decode() for a, z in zip(w.start, w.end)] == [
+            x for t in texts for x in re.findall(SPACE_WORD, t)]
+        assert len(set(w.hash.tolist())) == 7                       # a twice, the rest once, c twice
+    assert np.diff(token_hashes(pa.array(texts))[1]).tolist() == [3, 2, 4, 4]
+    shingles = list(shingle_sets(pa.array(["a\0b c d e f", "a b c d e f"])))
+    assert [len(s) for s in shingles] == [1, 2]
+
+
 def test_grams_depend_on_words_alone():
     h = np.array([1, 2, 3, 1, 2, 3], np.uint64)
     g = textvec.grams(h, 3)

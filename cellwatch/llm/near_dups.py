@@ -191,10 +191,13 @@ def links(pairs: DataFrame, active: DataFrame, sets: DataFrame) -> DataFrame:
         return 100 * shared >= SIMILAR * (F.col("na") + F.col("nb") - shared)
 
     tiny = beside(pairs, TINY)
+    whole = (F.col("na") <= SKETCH) & (F.col("nb") <= SKETCH)
+    # Of whole sets nothing linked goes: all that they do not share may be in the TINY smallest.
+    both = F.col("na") + F.col("nb")
+    unshared = both - 2 * F.ceil(SIMILAR * both / (100 + SIMILAR))
     passed = F.when((F.col("na") <= TINY) & (F.col("nb") <= TINY), similar(F.size(F.array_intersect("sa", "sb")))
-                    ).otherwise(shared_of_union("sa", "sb", TINY) >= LEAST_TINY)
+                    ).otherwise(shared_of_union("sa", "sb", TINY) >= F.when(whole, TINY - unshared).otherwise(LEAST_TINY))
     p = written(tiny.where(passed).select("a", "b"), "tiny-pairs")
-    whole = (F.col("na") <= SKETCH) & (F.col("nb") <= SKETCH)
     p = beside(p, SKETCH).withColumn("whole", whole)
     passed = F.when(whole, similar(F.size(F.array_intersect("sa", "sb")))).otherwise(
         shared_of_union("sa", "sb", SKETCH) >= LEAST)
@@ -247,10 +250,14 @@ def star_pairs(lists: DataFrame, order) -> DataFrame:
 def remaining_pairs(lists: DataFrame, active: DataFrame) -> DataFrame:
     """a, b: pairs of a list's members in different components whose sketches overlap enough."""
     by_label = lists.groupBy("value", "label").agg(
-        F.count("*").alias("k"), F.sum(F.shiftright(F.xxhash64("id"), 20)).alias("sig"))
-    stats = by_label.groupBy("value").agg(F.count("*").alias("labels"), F.sum("k").alias("m"), F.sum("sig").alias("sig"),
+        F.count("*").alias("k"), F.bit_xor(F.xxhash64("id")).alias("sig"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("sig2"),
+        F.min("id").alias("first"), F.max("id").alias("last"))
+    stats = by_label.groupBy("value").agg(F.count("*").alias("labels"), F.sum("k").alias("m"),
+                                          F.bit_xor("sig").alias("sig"), F.bit_xor("sig2").alias("sig2"),
+                                          F.min("first").alias("first"), F.max("last").alias("last"),
                                           F.max(F.struct("k", "label")).alias("top"))
-    stats = written(stats.where("labels > 1").groupBy("m", "sig").agg(
+    # Lists of the same members are compared once.
+    stats = written(stats.where("labels > 1").groupBy("m", "sig", "sig2", "first", "last").agg(
         F.min(F.struct("value", "top.label", "top.k")).alias("v")).select(
         F.col("v.value").alias("value"), "m", F.col("v.label").alias("most"),
         (F.col("m") - F.col("v.k")).alias("others")), "open-lists")

@@ -423,6 +423,27 @@ def test_loose_members_meet_all_chunks(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
 
 
+def test_whole_sketches_are_linked_by_their_exact_overlap(spark):
+    # 100 of 120 values in common; what differs is among the smallest.
+    sets = {1: [*range(20), *range(100, 200)], 2: [*range(20, 24), *range(100, 200)], 3: [*range(40), *range(100, 200)]}
+    active = spark.createDataFrame([(i, len(s), s) for i, s in sets.items()], "id bigint, n bigint, sketch array<bigint>")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "a bigint, b bigint")
+    full = spark.createDataFrame([], "id bigint, set array<bigint>")
+    found = {(r["a"], r["b"]) for r in near_dups.links(pairs, active, full).collect()}
+    assert found == {(a, b) for a, b in ((1, 2), (1, 3), (2, 3))
+                     if 4 * len(set(sets[a]) & set(sets[b])) >= 3 * len(set(sets[a]) | set(sets[b]))}
+    assert (1, 2) in found
+
+
+def test_open_lists_of_different_members_are_all_compared(spark):
+    # The sums of xxhash64(id) >> 20 are equal for these two pairs of ids.
+    lists = spark.createDataFrame([(7, 3180, 9, 3180), (7, 4213, 9, 4213), (8, 3773, 9, 3773), (8, 4154, 9, 4154),
+                                   (9, 3773, 9, 3773), (9, 4154, 9, 4154)], "value bigint, id bigint, n bigint, label bigint")
+    active = lists.select("id", "n").distinct().withColumn("sketch", F.array(F.lit(1).cast("bigint")))
+    found = {(r["a"], r["b"]) for r in near_dups.remaining_pairs(lists, active).collect()}
+    assert found == {(3180, 4213), (3773, 4154)}
+
+
 # --- 9 quality ------------------------------------------------------------------------------------
 
 def brute_counts(t):

@@ -16,8 +16,8 @@ node of level k is its parent's number (the context, a node of level k - 1) and
 number; the key ``parent * V + word`` is increasing in trie order. A level is cut into shards
 by a hash of the key, so a context with very many successors is spread over all of them. In a
 shard the keys form a monotone sequence in Elias-Fano code: upper halves in unary, lower halves
-packed. Successor search is relative to the context: its key range's bucket is found by a
-select in the unary part, then halved.
+packed. A lookup is of the whole key, not of the context's range, which lies in all shards: the
+key's bucket is found by a select in the unary part, then halved.
 
 Counting: a task sorts and counts the n-grams of its texts with numpy, deals them to shards and
 emits one compressed row a shard; Spark shuffles the rows by shard, and the shard's task merges

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, html_extract, lm_score, mixing, near_dups, quality_rules, secrets_crf, token_counts, toxicity_cnn
+from . import (chat_format, collision_search, decontaminate, html_extract, lexical_search, lm_score, mixing, near_dups, periodic_runs,
+               quality_rules, secrets_crf, token_counts, toxicity_cnn)
 
 REGISTRY = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,8 +16,12 @@ REGISTRY = {
     "op8_near_dups": near_dups.op8_near_dups,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op11_nearest_neighbours": collision_search.op11_nearest_neighbours,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_lexical_search": lexical_search.op13_lexical_search,
 }
 
 SQL: dict[str, str] = {
     "op1_mixing": mixing.OP1_SQL,
+    "op13_lexical_search": lexical_search.OP13_SQL,
 }

@@ -1,7 +1,7 @@
 """Fleet extract building blocks: raw snapshots/events -> hourly battery readings.
 
 Every step is ``DataFrame -> DataFrame`` and declarative, so Catalyst keeps
-filters below the rankings, prunes the JSON schemas and columns, and turns each
+filters below the rankings, prunes the columns, and turns each
 ``row_number() = 1`` into a partial + final ``WindowGroupLimit`` (map-side
 top-1, so one hot device-hour never reaches a single task in full).
 """
@@ -12,36 +12,10 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions import scalar as S
-
-# Field names of the JSON documents embedded in the snapshot text
-# columns (they must equal the source system's).
-METADATA_SCHEMA = T.StructType([
-    T.StructField("bloqitName", T.StringType()),
-    T.StructField("apm_name", T.StringType()),
-    T.StructField("vintedCode", T.StringType()),
-])
-DETAILS_SCHEMA = T.StructType([
-    T.StructField("country", T.StringType()),
-    T.StructField("address", T.StringType()),
-    T.StructField("city", T.StringType()),
-])
-FIRMWARE_SCHEMA = T.StructType([
-    T.StructField("firmwareVersion", T.StringType()),
-    T.StructField("battery", T.StringType()),   # JSON text holding the battery array
-])
-BATTERY_SCHEMA = T.ArrayType(T.StructType([
-    T.StructField("batteryName", T.StringType()),
-    T.StructField("capacityStateOffCharge", T.StringType()),
-    T.StructField("voltage", T.StringType()),
-    T.StructField("temperature", T.StringType()),
-    T.StructField("extraInfo", T.StructType([
-        T.StructField("battery_serial_number", T.StringType()),
-    ])),
-]))
+from .prune import maybe_recent
 
 def as_of_ts(as_of) -> Column:
     """The reference time (``current_timestamp`` by default) as TIMESTAMP_NTZ."""
@@ -95,42 +69,79 @@ def both_batteries(df: DataFrame) -> DataFrame:
     return df.filter(cond)
 
 
-def parse_documents(df: DataFrame) -> DataFrame:
-    """parse each JSON text column once, with an explicit schema."""
-    return (df
-            .withColumn("_meta", F.from_json("metadata", METADATA_SCHEMA))
-            .withColumn("_det", F.from_json("details", DETAILS_SCHEMA))
-            .withColumn("_fw", F.from_json("firmwaredetails", FIRMWARE_SCHEMA)))
+# Paths into the JSON documents of the snapshot text columns (they must equal the
+# source system's). The battery list is JSON text inside the firmware document.
+NAME, APM, CODE = "$.bloqitName", "$.apm_name", "$.vintedCode"                 # metadata
+COUNTRY, ADDRESS, CITY = "$.country", "$.address", "$.city"                    # details
+FIRMWARE, BATTERIES = "$.firmwareVersion", "$.battery"                         # firmwaredetails
+BATTERY_NAME, CHARGE, VOLTAGE, TEMPERATURE, SERIAL = (                         # an element of the list
+    "$.batteryName", "$.capacityStateOffCharge", "$.voltage", "$.temperature", "$.extraInfo.battery_serial_number")
 
 
-def explode_batteries(df: DataFrame) -> DataFrame:
-    """J2 + F4: one row per element of the embedded battery array (null/empty -> none)."""
-    return df.withColumn("_bat", F.explode(F.from_json(F.col("_fw.battery"), BATTERY_SCHEMA)))
+def _kind(v: Column) -> Column:
+    return F.schema_of_variant(v)
 
 
-def battery_readings(pf: DataFrame) -> DataFrame:
-    """Projection of query step 2 (F5-F8, F11) and its filter X5."""
-    name = F.col("_meta.bloqitName")
-    fw_version = F.col("_fw.firmwareVersion")
-    bat_name = F.col("_bat.batteryName")
-    soc_text = F.col("_bat.capacityStateOffCharge")
-    out = (explode_batteries(parse_documents(pf))
-           .filter(bat_name.isNotNull() & (bat_name != "")
-                   & soc_text.isNotNull() & (soc_text != "")))
+def json_scalar(doc: Column, path: str) -> Column:
+    """the text of a JSON scalar of a VARIANT; null for an object, an array or an absent path."""
+    kind = _kind(F.try_variant_get(doc, path, "variant"))
+    return F.when(~(kind.startswith("OBJECT") | kind.startswith("ARRAY")), F.try_variant_get(doc, path, "string"))
+
+
+def parse_documents(df: DataFrame) -> DataFrame:
+    """each JSON text column parsed once, into a VARIANT (null where it isn't JSON)."""
+    return (df
+            .withColumn("_meta", F.try_parse_json("metadata"))
+            .withColumn("_det", F.try_parse_json("details"))
+            .withColumn("_fw", F.try_parse_json("firmwaredetails")))
+
+
+def battery_list(doc: Column, strict: bool = False) -> Column:
+    """the battery array of a firmware document: JSON text in a string (K6), or, unless
+    ``strict``, a real array. Null where there is none or the text is no JSON array."""
+    inside = F.try_variant_get(F.try_parse_json(json_scalar(doc, BATTERIES)), "$", "array<variant>")
+    if strict:
+        return inside
+    real = F.try_variant_get(doc, BATTERIES, "variant")
+    return F.when(_kind(real).startswith("ARRAY"), F.try_variant_get(real, "$", "array<variant>")).otherwise(inside)
+
+
+def malformed_list(doc: Column) -> Column:
+    """whether a battery list is given that is no JSON array (the original's query fails there)."""
+    return F.coalesce(F.try_variant_get(doc, BATTERIES, "variant").isNotNull() & battery_list(doc).isNull(), F.lit(False))
+
+
+def explode_batteries(df: DataFrame, strict: bool = False, observation=None) -> DataFrame:
+    """J2 + F4: one row per element of the embedded battery array (null/empty -> none).
+    ``observation`` counts the rows and, of them, the malformed lists."""
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("snapshots"),
+                        F.count(F.when(malformed_list(F.col("_fw")), 1)).alias("malformed_lists"))
+    return df.withColumn("_bat", F.explode(battery_list(F.col("_fw"), strict)))
+
+
+def battery_readings(pf: DataFrame, strict: bool = False, observation=None) -> DataFrame:
+    """Projection of query step 2 (F5-F8, F11) and its filter X5. ``strict``: K6, a battery list
+    counts only where it is text."""
+    meta, det, fw, bat = (F.col(c) for c in ("_meta", "_det", "_fw", "_bat"))
+    out = (explode_batteries(parse_documents(pf), strict, observation)
+           .withColumns({"_name": json_scalar(meta, NAME), "_version": json_scalar(fw, FIRMWARE),
+                         "battery_name": json_scalar(bat, BATTERY_NAME), "_soc": json_scalar(bat, CHARGE)})
+           .filter((F.col("battery_name") != "") & (F.col("_soc") != "")))
     return out.select(
         "hour_bucket", "bloqs_id",
-        S.partner_from_name(name).alias("partner"),
-        name.alias("bloq_name"),
-        fw_version.alias("fw_version"),
-        S.firmware_class(fw_version).alias("fw_version_type"),
-        bat_name.alias("battery_name"),
-        S.to_double(soc_text).alias("soc"),
-        F.col("_bat.voltage").alias("voltage"),
-        F.col("_bat.temperature").alias("temperature"),
-        F.col("_bat.extraInfo.battery_serial_number").alias("battery_serial_number"),
-        F.col("_det.country").alias("country"),
-        F.col("_det.address").alias("address"),
-        F.coalesce(F.col("_meta.apm_name"), F.col("_meta.vintedCode")).alias("point_code"),
+        S.partner_from_name("_name").alias("partner"),
+        F.col("_name").alias("bloq_name"),
+        F.col("_version").alias("fw_version"),
+        S.firmware_class("_version").alias("fw_version_type"),
+        "battery_name",
+        S.to_double("_soc").alias("soc"),
+        json_scalar(bat, VOLTAGE).alias("voltage"),
+        json_scalar(bat, TEMPERATURE).alias("temperature"),
+        json_scalar(bat, SERIAL).alias("battery_serial_number"),
+        json_scalar(det, COUNTRY).alias("country"),
+        json_scalar(det, ADDRESS).alias("address"),
+        F.coalesce(json_scalar(meta, APM), json_scalar(meta, CODE)).alias("point_code"),
     )
 
 
@@ -139,14 +150,14 @@ def hourly_latest(snaps: DataFrame, as_of=None) -> DataFrame:
     return both_batteries(latest_per_hour(since_months(fleet_filter(snaps), as_of)))
 
 
-def hourly_readings(snaps: DataFrame, as_of=None) -> DataFrame:
+def hourly_readings(snaps: DataFrame, as_of=None, observation=None) -> DataFrame:
     """Steps 0-2: one row per battery per device-hour (no rents yet)."""
-    return battery_readings(hourly_latest(snaps, as_of))
+    return battery_readings(hourly_latest(snaps, as_of), observation=observation)
 
 
 def latest_event_versions(events: DataFrame, tie_breakers=("ingest_seq",)) -> DataFrame:
     """W2 + X7: events with a device, newest ingested version per ``events_id``."""
-    ev = events.filter(F.col("bloq").isNotNull())
+    ev = with_device(events)
     order = [F.col("pipeline_ingested_at").desc()] + [
         F.col(c).desc() for c in tie_breakers if c in ev.columns]
     w = Window.partitionBy("events_id").orderBy(*order)
@@ -156,12 +167,21 @@ def latest_event_versions(events: DataFrame, tie_breakers=("ingest_seq",)) -> Da
               .select("rent", "bloq", "timestp"))
 
 
-def rents_per_hour(events: DataFrame, since: Column | None = None) -> DataFrame:
+def with_device(events: DataFrame) -> DataFrame:
+    """Events that name a device."""
+    return events.filter(F.col("bloq").isNotNull())
+
+
+def rents_per_hour(events: DataFrame, since: Column | None = None, prune: bool = False) -> DataFrame:
     """A1: distinct rents per device per hour (two-phase, distinct-expanded).
 
     ``since`` may drop hours no reading can match; it is applied after the
     version ranking, never before (versions of one event may move in time).
+    ``prune``: events none of whose versions lies in those hours leave at the scan
+    (``prune.maybe_recent``), before the ranking's shuffle; the result is the same.
     """
+    if prune and since is not None:
+        events = maybe_recent(with_device(events), "events_id", S.iso_hour("timestamp") >= since)
     ev = latest_event_versions(events)
     if since is not None:
         ev = ev.filter(F.col("timestp") >= since)
@@ -180,19 +200,19 @@ def attach_rents(readings: DataFrame, rents: DataFrame) -> DataFrame:
 def silent_candidates(snaps: DataFrame, as_of=None) -> DataFrame:
     """Steps 0-2 of the silent report: battery rows of the last 30 days (X6 only)."""
     pf = both_batteries(latest_per_hour(since_days(fleet_filter(snaps), as_of)))
-    name = F.col("_meta.bloqitName")
-    bat_name = F.col("_bat.batteryName")
+    meta, det, bat = (F.col(c) for c in ("_meta", "_det", "_bat"))
     out = (explode_batteries(parse_documents(pf))
-           .filter(bat_name.isNotNull() & (bat_name != "")))
+           .withColumns({"_name": json_scalar(meta, NAME), "battery_name": json_scalar(bat, BATTERY_NAME)})
+           .filter(F.col("battery_name") != ""))
     return out.select(
         "bloqs_id", "hour_bucket",
-        bat_name.alias("battery_name"),
-        F.col("_bat.extraInfo.battery_serial_number").alias("battery_serial_number"),
-        name.alias("bloq_name"),
-        F.col("_det.address").alias("address"),
-        F.col("_det.city").alias("city"),
-        F.col("_det.country").alias("country"),
-        S.partner_from_name(name).alias("partner"),
+        "battery_name",
+        json_scalar(bat, SERIAL).alias("battery_serial_number"),
+        F.col("_name").alias("bloq_name"),
+        json_scalar(det, ADDRESS).alias("address"),
+        json_scalar(det, CITY).alias("city"),
+        json_scalar(det, COUNTRY).alias("country"),
+        S.partner_from_name("_name").alias("partner"),
     )
 
 

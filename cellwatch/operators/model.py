@@ -1,15 +1,15 @@
 """The risk classifier as a Spark ML ``Pipeline``.
 
-Stages: ``ImputeScale`` (M1-M3) -> ``StringIndexer`` + ``OneHotEncoder`` (M4:
-alphabetical levels, unseen -> all zeros, no level dropped) -> ``VectorAssembler``
-(M5) -> weighted L2 ``LogisticRegression`` (M6).
-
-The original objective is ``0.5*||b||^2 + C * sum_i w_i * logloss_i`` with
-C = 1 and balanced weights ``w = n / (2 * n_class)`` (they sum to n). Spark
-minimises ``sum_i w_i * logloss_i / sum_i w_i + regParam/2 * ||b||^2``; both
-have the same minimiser when ``regParam = 1 / (C * n)``. ``standardization``
-is off because the features are already standardised (and so the penalty
-applies to these coefficients, as in the original).
+Stages: ``ImputeScale`` (M1-M3) -> ``NewtonLogistic`` (M4: one slot for each alphabetical
+level, an unseen one all zeros; M5, M6). The objective is ``0.5*||b||^2 + C * sum_i w_i *
+logloss_i`` with C = 1 and balanced weights ``w = n / (2 * n_class)`` (they sum to n).
+
+``solver="lbfgs"`` fits the same objective with Spark's own stages: ``StringIndexer`` +
+``OneHotEncoder`` -> ``VectorAssembler`` -> ``LogisticRegression``. Spark minimises ``sum_i w_i *
+logloss_i / sum_i w_i + regParam/2 * ||b||^2``, which has the same minimiser when ``regParam =
+1 / (C * n)``; ``standardization`` is off because the features are already standardised.
+
+Models of either solver are applied as one expression (``risk_probability``).
 """
 
 from __future__ import annotations
@@ -17,11 +17,11 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
+from .newton import NewtonLogistic, NewtonLogisticModel, probability
 from .preprocess import IMPUTED_SUFFIX, ImputeScale, ImputeScaleModel
 
 WEIGHT = "_class_weight"
@@ -38,9 +38,15 @@ def class_weights(df: DataFrame, label: str = "y_risk") -> DataFrame:
 
 
 def build_pipeline(n_train: int, max_iter: int = 2000, tol: float = 1e-10,
-                   label: str = "y_risk", C_inv_reg: float = 1.0) -> Pipeline:
+                   label: str = "y_risk", C_inv_reg: float = 1.0, solver: str = "newton") -> Pipeline:
     cat = C.CAT_FEATURES[0]
     prep = ImputeScale(numericCols=C.NUM_FEATURES, categoricalCols=C.CAT_FEATURES)
+    if solver == "newton":
+        return Pipeline(stages=[prep, NewtonLogistic(
+            scaledCols=prep.scaled_cols(), categoryCol=cat + IMPUTED_SUFFIX, labelCol=label, weightCol=WEIGHT,
+            cInverse=C_inv_reg)])
+    if solver != "lbfgs":
+        raise ValueError(f"unknown solver {solver!r}; newton or lbfgs")
     indexer = StringIndexer(inputCol=cat + IMPUTED_SUFFIX, outputCol=cat + "__idx",
                             stringOrderType="alphabetAsc", handleInvalid="keep")
     # The indexer's extra "unknown" level is the last one; dropLast removes it,
@@ -68,26 +74,37 @@ def fit_risk_model(train: DataFrame, label: str = "y_risk", **kw) -> PipelineMod
     return build_pipeline(n, label=label, **kw).fit(weighted)
 
 
+def fitted_numbers(model: PipelineModel) -> tuple[list[str], list[float], float]:
+    """Category levels, coefficients and intercept of a model of either solver."""
+    last = model.stages[-1]
+    if isinstance(last, NewtonLogisticModel):
+        return last.labels, last.coefficients, last.intercept
+    index = next(s for s in model.stages if s.__class__.__name__ == "StringIndexerModel")
+    return list(index.labels), last.coefficients.toArray().tolist(), float(last.intercept)
+
+
+def risk_probability(model: PipelineModel) -> Column:
+    """M7 as one expression of the raw features: imputer, scaler, one-hot levels and sigmoid."""
+    prep = next(s for s in model.stages if isinstance(s, ImputeScaleModel))
+    return probability(prep, *fitted_numbers(model))
+
+
 def predict(model: PipelineModel, df: DataFrame, out: str = "risk_prob") -> DataFrame:
-    """M7: positive-class probability; the helper columns of the pipeline are dropped."""
-    keep = df.columns
-    scored = model.transform(df)
-    return scored.select(*keep, vector_to_array("probability")[1].alias(out))
+    """M7: ``df`` with the positive-class probability."""
+    return df.select("*", risk_probability(model).alias(out))
 
 
 def feature_names(model: PipelineModel) -> list[str]:
     prep = next(s for s in model.stages if isinstance(s, ImputeScaleModel))
-    idx = next(s for s in model.stages if s.__class__.__name__ == "StringIndexerModel")
     num = [f"num__{c}" for c in prep.getOrDefault(prep.numericCols)]
     cat = C.CAT_FEATURES[0]
-    return num + [f"cat__{cat}_{lvl}" for lvl in idx.labels]
+    return num + [f"cat__{cat}_{lvl}" for lvl in fitted_numbers(model)[0]]
 
 
 def coefficients(model: PipelineModel, spark: SparkSession | None = None,
                  top: int = C.TOP_COEFFICIENTS) -> DataFrame:
     """Coefficients by absolute value, named, top ``top`` (model metadata, tiny)."""
-    lr = model.stages[-1]
-    coef = lr.coefficients.toArray().tolist()
+    _, coef, _ = fitted_numbers(model)
     names = feature_names(model)
     spark = spark or SparkSession.getActiveSession()
     rows = [(n, float(c), abs(float(c))) for n, c in zip(names, coef)]
@@ -95,19 +112,6 @@ def coefficients(model: PipelineModel, spark: SparkSession | None = None,
     return df.orderBy(F.col("abs_coefficient").desc(), F.col("feature")).limit(top)
 
 
-def gradient(model: PipelineModel, train: DataFrame, label: str = "y_risk") -> list[tuple]:
-    """(feature, derivative of the training objective) at the fitted coefficients: near 0."""
-    counts = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    n = sum(counts.values())
-    names, fitted = feature_names(model), model.stages[-1].coefficients.toArray().tolist()
-    weight = F.when(F.col(label) == 1, F.lit(n / (2 * counts[1]))).otherwise(F.lit(n / (2 * counts[0])))
-    scored = model.transform(train).select(
-        vector_to_array("features").alias("x"),
-        (weight * (vector_to_array("probability")[1] - F.col(label))).alias("r"))
-    sums = scored.agg(*[F.sum(F.col("r") * F.col("x")[i]).alias(f"g{i}") for i in range(len(names))]).first()
-    return [(name, float(sums[f"g{i}"] + fitted[i]) / n) for i, name in enumerate(names)]
-
-
 def preprocessing_stats(model: PipelineModel, spark: SparkSession | None = None) -> DataFrame:
     """M1-M3 fitted statistics of a fitted pipeline."""
     return stats_frame(next(s for s in model.stages if isinstance(s, ImputeScaleModel)), spark)

@@ -14,7 +14,7 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .quantiles import exact_quantiles
@@ -121,14 +121,20 @@ class ImputeScaleModel(Model, _ImputeScaleParams, DefaultParamsReadable, Default
         return list(zip(num, self.getOrDefault(self.medians), self.getOrDefault(self.means),
                         self.getOrDefault(self.scales)))
 
-    def _transform(self, df: DataFrame) -> DataFrame:
-        cols = {}
+    def expressions(self) -> tuple[dict[str, Column], dict[str, Column]]:
+        """Scaled numeric and imputed categorical columns, by input name."""
+        numbers, categories = {}, {}
         for c, med, mean, scale in self.stats():
             x = F.col(c).cast("double")
             x = F.when(~F.isnan(x), x)
             if med == med:   # not NaN
                 x = F.coalesce(x, F.lit(med))
-            cols[c + SCALED_SUFFIX] = (x - F.lit(mean)) / F.lit(scale)
+            numbers[c] = (x - F.lit(mean)) / F.lit(scale)
         for c, mode in zip(self.getOrDefault(self.categoricalCols), self.getOrDefault(self.modes)):
-            cols[c + IMPUTED_SUFFIX] = F.coalesce(F.col(c).cast("string"), F.lit(mode))
-        return df.withColumns(cols)
+            categories[c] = F.coalesce(F.col(c).cast("string"), F.lit(mode))
+        return numbers, categories
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        numbers, categories = self.expressions()
+        return df.withColumns({c + SCALED_SUFFIX: x for c, x in numbers.items()}
+                              | {c + IMPUTED_SUFFIX: x for c, x in categories.items()})

@@ -7,13 +7,13 @@ them. One path for every size: partitions grow in number with ``spark.sql.shuffl
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
 
 
-def running_sums(df: DataFrame, order: list[str], sums: list[str], name: str) -> DataFrame:
+def running_sums(df: DataFrame, order: list[str | Column], sums: list[str], name: str) -> DataFrame:
     """``df`` with ``<c>_before`` (sum of ``c`` over all earlier rows) and ``<c>_total`` for each
     ``c`` of ``sums``. ``order`` must tell all rows apart (rows are grouped by it beforehand)."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -30,3 +30,10 @@ def running_sums(df: DataFrame, order: list[str], sums: list[str], name: str) ->
     for c in sums:
         out = out.withColumn(f"{c}_before", F.col(f"_{c}_offset") + F.coalesce(F.sum(c).over(inside), F.lit(0)))
     return out.select(*df.columns, *[f"{c}_{x}" for c in sums for x in ("before", "total")])
+
+
+def positions(df: DataFrame, order: list[str | Column], column: str = "position") -> DataFrame:
+    """O1, O3: ``df`` with each row's place (from 1) in a global order that tells all rows apart."""
+    one = "_one"
+    t = running_sums(df.withColumn(one, F.lit(1).cast("bigint")), order, [one], "positions")
+    return t.select(*df.columns, (F.col(f"{one}_before") + 1).alias(column))

@@ -15,17 +15,18 @@ from ..operators import labels as LB
 from ..operators import sessions as SE
 
 
-def sessions(hourly: DataFrame, censor_tolerance: str | None = None, keyed_only: bool = False) -> DataFrame:
-    """C1 -> C2: T5 battery sessions."""
+def sessions(hourly: DataFrame, censor_tolerance: str | None = None, keyed_only: bool = False,
+             data_end=None) -> DataFrame:
+    """C1 -> C2: T5 battery sessions. ``data_end``: the newest cleaned time, where it is known."""
     kw = {"censor_tolerance": censor_tolerance} if censor_tolerance else {}
-    return SE.add_sessions(CL.clean(hourly), keyed_only=keyed_only, **kw)
+    return SE.add_sessions(CL.clean(hourly), keyed_only=keyed_only, data_end=data_end, **kw)
 
 
-def daily_features(hourly: DataFrame) -> DataFrame:
+def daily_features(hourly: DataFrame, data_end=None) -> DataFrame:
     """C1 -> C2 -> C3: T6 daily features (of rows whose battery is known)."""
-    return FE.build_features(sessions(hourly, keyed_only=True))
+    return FE.build_features(sessions(hourly, keyed_only=True, data_end=data_end))
 
 
-def labelled(hourly: DataFrame, lookahead: bool = False) -> DataFrame:
+def labelled(hourly: DataFrame, lookahead: bool = False, data_end=None) -> DataFrame:
     """C1 -> C4: T7 labelled daily features."""
-    return LB.add_label(daily_features(hourly), lookahead=lookahead)
+    return LB.add_label(daily_features(hourly, data_end), lookahead=lookahead)

@@ -23,7 +23,7 @@ from ..sources import csv as CSV
 from ..sources import files as FS
 from ..sources import models as MS
 from ..sources import tables
-from . import risk
+from . import observed, risk
 
 
 @dataclass
@@ -32,26 +32,41 @@ class ScoreResult:
     summary: DataFrame         # M13: rows scored, percentiles, flagged share
     coefficients: DataFrame    # M12
     top: DataFrame             # O4
+    counts: observed.HandOver  # A9, S3, J4: what the one pass over the input saw
 
 
-def _read(spark: SparkSession, source: str, choose, strict: bool = False) -> DataFrame:
+def _read(spark: SparkSession, source: str, choose, strict: bool = False, observation=None,
+          multi_line: bool = False) -> DataFrame:
     """Hourly readings of a job's source; ``choose`` picks a file of a folder."""
     name = source.rstrip("/").lower()
     if name.endswith(".parquet") or "/" not in name and not name.endswith(".csv"):
         return tables.load(spark, source)
     path = source if name.endswith(".csv") else choose(spark, source)
-    return (CSV.read_csv_strict if strict else CSV.read_csv_tolerant)(spark, path)      # D2
+    if strict:                                             # D2
+        return CSV.read_csv_strict(spark, path, multi_line)
+    return CSV.read_csv_tolerant(spark, path, multi_line, observation)
+
+
+def _hand_over(spark: SparkSession, source: str, choose, strict: bool = False, multi_line: bool = False,
+               required: str | None = None) -> observed.HandOver:
+    """The source's readings, typed and written once, with what that pass saw. ``required``: name
+    the data in the error when columns are missing (D10)."""
+    def read(observation=None):
+        rows = _read(spark, source, choose, strict, observation, multi_line)
+        return CSV.require_columns(rows, what=required) if required else rows
+    is_table = source.rstrip("/").lower().endswith(".parquet") or "/" not in source and not source.lower().endswith(".csv")
+    return observed.readings(read()) if is_table or strict else observed.csv(read)
 
 
 def score_job(spark: SparkSession, source: str, model_path: str, output_folder: str,
-              as_of=None, notebook: bool = False, single_file: bool = False) -> ScoreResult:
+              as_of=None, notebook: bool = False, single_file: bool = False,
+              multi_line: bool = False) -> ScoreResult:
     """Score the newest hourly extract in ``source``; the report goes to
     ``<output_folder>/battery_risk_<yyyyMMdd>``."""
     model = MS.load_model(model_path)
-    hourly = _read(spark, source, FS.newest_input_path)
-    if notebook:                                           # D10
-        CSV.require_columns(hourly, what="the data to score")
-    report = risk.score(hourly, model, notebook=notebook)
+    given = _hand_over(spark, source, FS.newest_input_path, multi_line=multi_line,
+                       required="the data to score" if notebook else None)
+    report = risk.score(given.table, model, notebook=notebook, data_end=given.data_end)
     out = CSV.report_path(output_folder, as_of)
     order = [F.col("model_alert").desc(), F.col("risk_prob").desc_nulls_last(),
              F.col("bloqs_id"), F.col("battery_name")]
@@ -60,18 +75,17 @@ def score_job(spark: SparkSession, source: str, model_path: str, output_folder:
     written = spark.read.schema(report.schema).option("header", True).csv(out).select(
         *[F.col(c).cast(t).alias(c) for c, t in types.items()])
     return ScoreResult(out, ME.score_summary(written), MD.coefficients(model, spark),
-                       written.orderBy(*order).limit(C.TOP_RISKS))
+                       written.orderBy(*order).limit(C.TOP_RISKS), given)
 
 
 def train_job(spark: SparkSession, source: str, model_path: str,
               publish_folder: str | None = None, strict: bool = False,
-              notebook: bool = False) -> risk.TrainResult:
+              notebook: bool = False, multi_line: bool = False) -> risk.TrainResult:
     """Train on the training CSV in ``source`` (last by name among names containing
     'train'); save the model, optionally publish it."""
-    hourly = _read(spark, source, FS.training_input_path, strict)
-    if notebook:                                           # D10
-        CSV.require_columns(hourly, what="the training data")
-    result = risk.train(hourly, notebook=notebook)
+    given = _hand_over(spark, source, FS.training_input_path, strict, multi_line,
+                       "the training data" if notebook else None)
+    result = risk.train_from_daily(risk.materialized_daily(given.table, given.data_end), notebook=notebook)
     MS.save_model(result.model, model_path)
     if publish_folder:
         MS.publish_model(result.model, publish_folder)

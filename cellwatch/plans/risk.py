@@ -43,10 +43,10 @@ class TrainResult:
             self.frame = None
 
 
-def materialized_daily(hourly: DataFrame) -> DataFrame:
+def materialized_daily(hourly: DataFrame, data_end=None) -> DataFrame:
     """T6 daily features written to the shared checkpoint folder (survives lost
     executors; cuts the lineage so later passes do not redo the extract)."""
-    return C.materialize(chain.daily_features(hourly), "daily_features")
+    return C.materialize(chain.daily_features(hourly, data_end), "daily_features")
 
 
 def training_frame(daily: DataFrame, notebook: bool = False) -> DataFrame:
@@ -58,7 +58,10 @@ def training_frame(daily: DataFrame, notebook: bool = False) -> DataFrame:
     return rows.join(split, C.SESSION_KEYS).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def train_from_daily(daily: DataFrame, notebook: bool = False, **fit_kw) -> TrainResult:
+def train_from_daily(daily: DataFrame, notebook: bool = False, digits: int | None = None,
+                     **fit_kw) -> TrainResult:
+    """``digits``: round the probabilities before they are ranked, so that rows with equal
+    features tie however their sums were ordered."""
     marked = training_frame(daily, notebook)
     stats = marked.agg(F.coalesce(F.sum("is_train"), F.lit(0)).alias("tr"),
                        F.coalesce(F.sum(1 - F.col("is_train")), F.lit(0)).alias("te"),
@@ -66,7 +69,10 @@ def train_from_daily(daily: DataFrame, notebook: bool = False, **fit_kw) -> Trai
     train_df = marked.filter("is_train = 1").drop("is_train")
     test_df = marked.filter("is_train = 0").drop("is_train")
     model = MD.fit_risk_model(train_df, **fit_kw)
-    metrics = ME.evaluate(MD.predict(model, test_df))
+    scored = MD.predict(model, test_df)
+    if digits is not None:
+        scored = scored.withColumn("risk_prob", F.round("risk_prob", digits))
+    metrics = ME.evaluate(scored)
     return TrainResult(model, metrics, int(stats["tr"]), int(stats["te"]), float(stats["pr"] or 0.0),
                        frame=marked)
 
@@ -94,13 +100,13 @@ def report(latest_scored: DataFrame) -> DataFrame:
                         *[F.col(k) for k in C.BATTERY_KEYS]))
 
 
-def score(hourly: DataFrame, model: PipelineModel, notebook: bool = False) -> DataFrame:
+def score(hourly: DataFrame, model: PipelineModel, notebook: bool = False, data_end=None) -> DataFrame:
     """T8 risk report, one row per battery.
 
     Canonical: rows with a missing feature are not scored (``risk_prob`` null,
     alert 0). ``notebook=True`` scores them through the fitted imputers (D7).
     """
-    return score_from_daily(chain.daily_features(hourly), model, notebook)
+    return score_from_daily(chain.daily_features(hourly, data_end), model, notebook)
 
 
 def score_from_daily(daily: DataFrame, model: PipelineModel, notebook: bool = False) -> DataFrame:

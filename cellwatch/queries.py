@@ -293,41 +293,37 @@ def score_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- end-to-end model pipelines and sources ------------------------------------
+RANKED_DIGITS = 9          # of probabilities, where their ties matter
+
+
 @register
 def train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train on the extract; what the held-out metrics row says of the split (rows,
-    positive rate), that every metric is there and lies in [0, 1], and the optimiser's end."""
+    """Train on the extract; the held-out metrics row (ranking metrics null and
+    ``evaluable`` false where the test split has one class), with the size of both splits."""
     from .plans.risk import train
-    res = train(_hourly(spark, sf_dir))
+    res = train(_hourly(spark, sf_dir), digits=RANKED_DIGITS)
     row = res.metrics.first()                                   # one row
     res.release()
-    inside = all(0 <= row[m] <= 1 for m in ["roc_auc", "average_precision", "recall", "precision",
-                                            "balanced_accuracy", "accuracy", "alert_rate"])
-    counted = row["tp"] + row["fp"] + row["tn"] + row["fn"] == row["rows"]
-    return rounded(spark.createDataFrame(
-        [(res.train_rows, res.test_rows, row["positive_rate"], bool(inside and counted))],
-        "train_rows bigint, test_rows bigint, positive_rate double, metrics_valid boolean"))
+    values = (res.train_rows, res.test_rows, *row)
+    kinds = TY.StructType([TY.StructField("train_rows", TY.LongType()), TY.StructField("test_rows", TY.LongType()),
+                           *res.metrics.schema.fields])
+    return rounded(spark.createDataFrame([values], kinds))
 
 
 @register
 def coef_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The named coefficients, each with the fit's gradient in it (0 at the optimum, rounded)."""
-    from .operators.model import coefficients, gradient
+    """The named coefficients of the fit, by absolute value."""
+    from .operators.model import coefficients
     from .plans.risk import train
     res = train(_hourly(spark, sf_dir))
     named = coefficients(res.model, spark, top=C.TOP_COEFFICIENTS)
-    slopes = gradient(res.model, res.frame.filter("is_train = 1"))
     res.release()
-    at = spark.createDataFrame(slopes, "f string, gradient double")        # a row for each feature
-    return named.join(F.broadcast(at), named["feature"] == at["f"]).select(
-        "feature", (F.abs(F.round("gradient", 3))).alias("gradient"))
+    return rounded(named)
 
 
 @register
 def score_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train, save and reload the model (S9), score the newest day per battery. The columns
-    that do not depend on the fit, whether the row was scored (X11) and whether the alert
-    follows from the probability (F19)."""
+    """Train, save and reload the model (S9), score the newest day per battery."""
     from .config import scratch_path
     from .sources.models import load_model, save_model
     from .plans.risk import materialized_daily, score_from_daily, train_from_daily
@@ -335,12 +331,7 @@ def score_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = train_from_daily(daily)
     path = save_model(res.model, scratch_path(spark, "model"))
     res.release()
-    report = score_from_daily(daily, load_model(path))
-    alert = F.coalesce((F.col("risk_prob") >= C.ALERT_THRESHOLD).cast("int"), F.lit(0))
-    return rounded(report.select(
-        *[c for c in C.REPORT_COLUMNS if c not in ("risk_prob", "model_alert")],
-        F.col("risk_prob").isNotNull().alias("scored"),
-        (F.col("model_alert") == alert).alias("alert_consistent")))
+    return rounded(score_from_daily(daily, load_model(path)))
 
 
 @register
@@ -372,3 +363,141 @@ def score_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows scored, share at or above the alert threshold, exact percentiles."""
     from .operators.metrics import score_summary as ss
     return rounded(ss(event_scores(spark, sf_dir)))
+
+
+@register
+def fleet_extract_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 with old event history dropped at the scan (S2, W2): the same rows."""
+    return fleet.fleet_extract(T.snapshots(spark, sf_dir), T.raw_events(spark, sf_dir), C.FLEET_AS_OF,
+                               prune_events=True)
+
+
+def _counts(spark: SparkSession, given, names: list[str]) -> DataFrame:
+    kinds = ", ".join(f"{n} {'timestamp_ntz' if n == 'data_end' else 'bigint'}" for n in names)
+    return spark.createDataFrame([tuple(getattr(given, n) for n in names)], kinds)
+
+
+@register
+def extract_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the pass that writes the extract counts on its way."""
+    from .plans import observed
+    given = observed.extract(T.snapshots(spark, sf_dir), T.raw_events(spark, sf_dir), C.FLEET_AS_OF)
+    return _counts(spark, given, ["snapshots", "malformed_lists", "rows_before", "rows_after", "data_end"])
+
+
+@register
+def csv_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records read and skipped (every fifth hour's have a field too many), readings
+    before and after cleaning and the data end, from the one pass over a CSV."""
+    from .config import scratch_path
+    from .plans import observed
+    from .sources.csv import read_csv_tolerant, to_iso_text
+    extra = F.when(F.hour("hour_bucket") % 5 == 0, F.lit(",more")).otherwise(F.lit(""))
+    rows = _extract(spark, sf_dir).withColumn("point_code", F.concat(F.coalesce("point_code", F.lit("")), extra))
+    path = scratch_path(spark, "long.csv")
+    to_iso_text(rows).write.option("header", True).option("quote", "\u0000").csv(path)     # commas stay bare
+    given = observed.csv(read_csv_tolerant, spark, path, multi_line=False)
+    return _counts(spark, given, ["records", "records_skipped", "rows_before", "rows_after", "data_end"])
+
+
+@register
+def labelled_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled chain on a table bucketed by battery (no exchange)."""
+    from .config import scratch_path
+    path = scratch_path(spark, "hourly-table")
+    name = "hourly_" + path.rsplit("-", 1)[1]
+    table = T.save_hourly(_extract(spark, sf_dir), name, int(spark.conf.get("spark.sql.shuffle.partitions")), path)
+    return rounded(chain.labelled(table).select(*C.DAILY_KEYS, "soc_min", "future_min_soc", "y_risk"))
+
+
+SPAN_PROBS = [0.05, 0.5, 0.95]
+
+
+@register
+def span_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A12 from mergeable sketches a day: quantiles of SoC, voltage and temperature by week."""
+    from .operators.sketches import merged_quantiles, sketch_by
+    readings = CL.clean(_extract(spark, sf_dir))
+    days = C.materialize(sketch_by(readings, [F.col("timestamp").cast("date").alias("day")],
+                                   ["soc", "voltage", "temperature"]), "day-sketches")
+    weeks = merged_quantiles(days, [F.date_trunc("week", "day").cast("date").alias("week")], SPAN_PROBS)
+    return rounded(weeks.withColumn("n", F.col("n").cast("bigint")))
+
+
+@register
+def csv_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 + S8: the extract written as CSV, read back strictly and typed."""
+    from .config import scratch_path
+    from .sources.csv import read_csv_strict, to_iso_text, write_csv
+    extract = _extract(spark, sf_dir)
+    back = read_csv_strict(spark, write_csv(to_iso_text(extract), scratch_path(spark, "strict.csv")), multi_line=False)
+    return rounded(back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in extract.schema.fields]))
+
+
+@register
+def training_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of dated extracts (one per data day) the training file, its readings of
+    each battery as fetched by name, the required columns it lacks and the dated report's name."""
+    from .config import scratch_path
+    from .sources.csv import report_path, require_columns, to_iso_text
+    from .sources.files import training_input
+    from .sources.models import fetch_dataset
+    folder = scratch_path(spark, "training")
+    stamp = F.date_format("hour_bucket", "yyyyMMdd")
+    label = F.when(F.dayofmonth("hour_bucket") % 3 == 0, F.lit("_Train.csv")).otherwise(F.lit("_deploy.csv"))
+    rows = _extract(spark, sf_dir).drop("rents").withColumn("_file", F.concat(stamp, label))
+    to_iso_text(rows).write.option("header", True).partitionBy("_file").csv(folder)
+    chosen = training_input(spark, folder).select("name", "path").first()              # one row
+    data = fetch_dataset(spark, folder, chosen["path"].rsplit("/", 1)[1])
+    try:
+        require_columns(data)
+        lacks = None
+    except ValueError as ex:
+        lacks = str(ex)
+    report = report_path("out", f"{chosen['name'][:4]}-{chosen['name'][4:6]}-{chosen['name'][6:8]}")
+    return data.groupBy("bloqs_id", "battery_name").agg(F.count(F.lit(1)).alias("readings")).select(
+        F.lit(chosen["name"]).alias("name"), F.lit(lacks).alias("lacks"), F.lit(report).alias("report"),
+        "bloqs_id", "battery_name", as_bigint("readings"))
+
+
+@register
+def published_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model published twice and loaded from its newest version."""
+    from .config import scratch_path
+    from .operators.model import coefficients
+    from .plans.risk import train
+    from .sources.models import load_model, publish_model
+    res = train(_hourly(spark, sf_dir))
+    folder = scratch_path(spark, "published")
+    publish_model(res.model, folder)
+    model = load_model(publish_model(res.model, folder))
+    res.release()
+    return rounded(coefficients(model, spark))
+
+
+@register
+def silent_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: the silent report with each row's place in its order (ties by the battery's identity)."""
+    from .operators.ranking import positions
+    silent = fleet.silent_batteries(T.snapshots(spark, sf_dir), C.SILENT_AS_OF)
+    keys = ["bloq_id", "battery_name", "battery_serial_number", "bloq_name", "partner", "address", "city", "country"]
+    return positions(silent, [F.desc("hours_since_last_comm"), *[F.asc_nulls_first(k) for k in keys]])
+
+
+@register
+def report_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3: the report on a fixed score with each row's place in its order."""
+    from .operators.ranking import positions
+    from .plans.risk import report
+    rows = report(fixed_report_score(_latest(spark, sf_dir)))
+    order = [F.desc("model_alert"), F.desc_nulls_last("risk_prob"), F.asc("bloqs_id"), F.asc("battery_name")]
+    return positions(rows, order).select("bloqs_id", "battery_name", "model_alert", as_bigint("position"))
+
+
+@register
+def sessions_without_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings that lack the place columns and the partner: the first come back as nulls."""
+    hourly = _hourly(spark, sf_dir).drop("country", "address", "point_code", "partner")
+    out = chain.sessions(hourly)
+    return rounded(out.select("timestamp", "bloqs_id", "battery_name", "session_id", "is_censored", "days_left",
+                              "country", "address", "point_code", F.lit("partner" in out.columns).alias("has_partner")))

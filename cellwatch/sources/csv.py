@@ -18,6 +18,7 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
              "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
              "n/a", "nan", "null"]
 
+LONG = "__cellwatch_long__"           # whether a record has too many fields
 RECORD = "__cellwatch_record__"       # text of a record whose fields do not match the header's
 
 
@@ -52,14 +53,19 @@ def na_to_null(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: F.when(~F.col(c).isin(*NA_TOKENS), F.col(c)) for c in cols})
 
 
-def read_csv_tolerant(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_csv_tolerant(spark: SparkSession, path: str, multi_line: bool = True, observation=None) -> DataFrame:
     """S3: rows with too many fields are skipped; short rows are kept, padded with nulls.
 
     Default missing-value tokens become null. All columns are strings. ``multi_line``: quoted
     fields may hold line ends, which makes a file one task; False lets Spark split files.
+    ``observation`` counts the records and the skipped ones as they are read.
     """
     raw, cols, too_long = _records(spark, path, multi_line)
-    return na_to_null(raw.filter(~too_long).select(*cols), cols)
+    raw = raw.withColumn(LONG, too_long)
+    if observation is not None:
+        raw = raw.observe(observation, F.count(F.lit(1)).alias("records"),
+                          F.count(F.when(F.col(LONG), 1)).alias("records_skipped"))
+    return na_to_null(raw.filter(~F.col(LONG)).select(*cols), cols)
 
 
 def read_csv_strict(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

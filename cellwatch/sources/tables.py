@@ -18,6 +18,9 @@ text for the oracle queries.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import config as C
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -49,6 +52,20 @@ def load(spark: SparkSession, source) -> DataFrame:
     return spark.table(source)
 
 
+def save_hourly(hourly: DataFrame, name: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Hourly readings as a catalog table laid out for the chain: by day, and bucketed on the
+    battery, so that every window and the daily rollup run without an exchange. ``path``: where the
+    files go, else the warehouse. Rows are dealt to their buckets before the write: a file for
+    each day and bucket. ``buckets`` as many as the chain's tasks shall be.
+    """
+    time = "hour_bucket" if "hour_bucket" in hourly.columns else "timestamp"
+    rows = hourly.withColumn("day", F.col(time).cast("date")).repartition(buckets, *C.BATTERY_KEYS)
+    writer = (rows.write.mode("overwrite").format("parquet").partitionBy("day")
+              .bucketBy(buckets, *C.BATTERY_KEYS).sortBy(*C.BATTERY_KEYS, time))
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return load(hourly.sparkSession, name)
+
+
 def _obj(pairs, escaped: bool = False) -> str:
     """SQL text building a JSON object by concatenation (stays in generated code, unlike
     ``to_json`` of a struct). Values are SQL string expressions whose results hold no
@@ -119,7 +136,8 @@ SNAPSHOT_EXPRS = [
         b=_obj([("bloqitName", f"concat('LK', {_str(f'{_U} % 7')})"),
                 ("vintedCode", f"concat('V-', {_str(_U)})")])),
     _obj([("country", f"CASE WHEN {_E} % 19 = 0 THEN 'FR' WHEN {_U} % 2 = 0 THEN 'PT' ELSE 'ES' END"),
-          ("address", f"concat('Street ', {_str(_U)})"),
+          ("address", ("raw", f"CASE WHEN {_E} % 83 = 5 THEN '{{\"street\":\"Street\"}}' "
+                              f"ELSE concat('\"Street ', {_str(_U)}, '\"') END")),
           ("city", f"concat('City ', {_str(f'{_U} % 5')})")]) + " AS details",
     f"CASE WHEN {_E} % 71 = 13 THEN " + _obj([("firmwareVersion", _FW)]) + " ELSE "
     + _obj([("firmwareVersion", _FW), ("battery", _LISTED)]) + " END AS firmwaredetails",

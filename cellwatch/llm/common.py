@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,6 +56,23 @@ def drop_written(df: DataFrame) -> None:
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Frames made meanwhile drop their shuffle files as soon as they have run."""
+    old = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, old)
+
+
 def ascii_lower(col):
     """Lower case for A-Z only."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -65,6 +83,14 @@ def id_bucket(doc_id, n: int):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def private(columns: list[str], *names: str) -> list[str]:
+    """``names``, with underscores added until no column bears them (names are compared without case)."""
+    taken, tail = {c.lower() for c in columns}, ""
+    while any(f"{n}{tail}".lower() in taken for n in names):
+        tail += "_"
+    return [n + tail for n in names]
+
+
 def row_key(doc_id, text):
     """Key of a document that does not depend on partitions: rows that share it are equal."""
     return F.xxhash64(doc_id, F.length(text), text, F.lit(17))

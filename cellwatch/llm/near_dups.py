@@ -16,12 +16,15 @@ sketch is its ``SKETCH`` smallest shingle hashes, or its whole set where that is
    lists with members in several components (of equal lists one): there, members outside the
    list's largest component are compared with the others, by a self-join in lists of at most
    ``FEW`` members and by products of membership matrices, block by chunk, in longer ones.
+   A pair is given by the first value that both documents post, not by every list they share.
 4. A pair passes if its union sketch, the smallest values of both sketches, estimates enough
    overlap: first by ``TINY`` values, so that little is moved for the many pairs that share
    a passage, then by ``SKETCH`` (or, where both sketches are whole sets, by the similarity
    itself). It is a link if the exact Jaccard similarity of the full sets is ``SIMILAR`` percent
    or more.
-5. Components by hooking to the smallest neighbour and jumping pointers.
+5. Components by hooking to the smallest neighbour and jumping pointers. Labels are carried from
+   round to round: a round's links join the components before it. Tables and shuffle files go
+   as soon as what follows is written.
 
 The least overlaps of two incomplete sketches of linked sets are bounds in probability: at
 similarity 0.75 exactly, a pair's union sketch shares fewer than ``LEAST`` of ``SKETCH`` values,
@@ -42,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop_written, map_arrow, ship, table, written
+from .common import drop_written, map_arrow, ship, shuffles_dropped, table, written
 from .textvec import SPACED, Words, column_bytes, grams, mix, row_slices
 
 SHINGLE = 5               # words
@@ -54,7 +57,7 @@ LEAST_TINY = 10           # of them that linked documents share, at least
 ORDER_BITS = 17           # of the table of counts that orders values
 CHUNK = 2048              # members of a list compared at a time
 FEW = 12                  # members of a list that is joined with itself
-SENT = 1_000_000          # ids sent to all executors at most (8 MB); more are joined by a shuffle
+SENT = 1_000_000          # values (8 bytes each) of ids sent to all executors at most; more rows are shuffled
 
 
 def shingle_sets(col):
@@ -127,23 +130,23 @@ def posted(n: np.ndarray) -> np.ndarray:
     return np.minimum(n, SKETCH) - np.minimum(LEAST, -(-n * SIMILAR // 100)) + 1
 
 
-def postings(classes: DataFrame) -> DataFrame:
-    """value, id, n: the inverted lists."""
-    spark = classes.sparkSession
-    counts = spark.sparkContext.broadcast(value_counts(classes))
-    mask = np.uint64((1 << ORDER_BITS) - 1)
+def posted_values(v: np.ndarray, n: int, counts: np.ndarray) -> np.ndarray:
+    """The values that a document with sketch ``v`` of ``n`` shingles posts, the rarest first."""
+    seen = counts[(v & np.uint64((1 << ORDER_BITS) - 1)).astype(np.int64)]
+    return v[np.lexsort((v, seen))[:int(posted(np.int64(n)))]]
+
 
+def postings(classes: DataFrame, counts) -> DataFrame:
+    """value, id, n: the inverted lists. ``counts``: :func:`value_counts`, sent to the executors."""
     def run(batches):
         for batch in batches:
             ids, n = batch.column(0), batch.column(1).to_numpy()
             flat = batch.column(2)
             off = np.asarray(flat.offsets)
             v = flat.values.to_numpy(zero_copy_only=False).view(np.uint64)
-            seen = counts.value[(v & mask).astype(np.int64)]
-            take = posted(n)
-            values = [v[a:z][np.lexsort((v[a:z], seen[a:z]))[:k]]
-                      for a, z, k in zip(off[:-1].tolist(), off[1:].tolist(), take.tolist())]
-            of = np.repeat(np.arange(len(n)), take)
+            values = [posted_values(v[a:z], k, counts.value)
+                      for a, z, k in zip(off[:-1].tolist(), off[1:].tolist(), n.tolist())]
+            of = np.repeat(np.arange(len(n)), posted(n))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(values).view(np.int64) if values else np.empty(0, np.int64)),
                  ids.take(pa.array(of)), pa.array(n[of])], ["value", "id", "n"])
@@ -157,7 +160,7 @@ def similar_sizes(a, b):
 
 def only(df: DataFrame, ids: DataFrame, on) -> DataFrame:
     """Rows of ``df`` with a match in ``ids``: its size decides whether ``df`` has to be shuffled."""
-    return df.join(F.broadcast(ids) if ids.count() <= SENT else ids, on, "left_semi")
+    return df.join(F.broadcast(ids) if ids.count() * len(ids.columns) <= SENT else ids, on, "left_semi")
 
 
 def full_sets(docs: DataFrame, active: DataFrame) -> DataFrame:
@@ -198,10 +201,12 @@ def links(pairs: DataFrame, active: DataFrame, sets: DataFrame) -> DataFrame:
     passed = F.when((F.col("na") <= TINY) & (F.col("nb") <= TINY), similar(F.size(F.array_intersect("sa", "sb")))
                     ).otherwise(shared_of_union("sa", "sb", TINY) >= F.when(whole, TINY - unshared).otherwise(LEAST_TINY))
     p = written(tiny.where(passed).select("a", "b"), "tiny-pairs")
+    few = p
     p = beside(p, SKETCH).withColumn("whole", whole)
     passed = F.when(whole, similar(F.size(F.array_intersect("sa", "sb")))).otherwise(
         shared_of_union("sa", "sb", SKETCH) >= LEAST)
     p = written(p.where(passed).select("a", "b", "whole"), "pairs")
+    drop_written(few)
     known, rest = p.where("whole").select("a", "b"), p.where("NOT whole").select("a", "b")
     if rest.isEmpty():
         return known
@@ -211,31 +216,51 @@ def links(pairs: DataFrame, active: DataFrame, sets: DataFrame) -> DataFrame:
     both = rest.join(every.toDF("a", "x"), "a").join(every.toDF("b", "y"), "b")
     both = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("s"),
                        F.size("x").alias("na"), F.size("y").alias("nb"))
-    return written(known.union(both.where(similar(F.col("s").cast("long"))).select("a", "b")), "links")
+    found = written(known.union(both.where(similar(F.col("s").cast("long"))).select("a", "b")), "links")
+    drop_written(p)
+    return found
 
 
 def components(edges: DataFrame) -> DataFrame:
     """id, component (smallest id) of every id in ``edges`` (a, b)."""
     both = written(edges.union(edges.select("b", "a")).distinct(), "edges")
-    label = written(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component")),
-                    "components")
+    label = written(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component"),
+                                                             F.lit(True).alias("changed")), "components")
     while True:
         # The smallest label next to each id, then the label of that label.
         near = both.join(label.select(F.col("id").alias("b"), F.col("component").alias("c")), "b").groupBy(
             F.col("a").alias("id")).agg(F.min("c").alias("c"))
         new = label.join(near, "id").select("id", F.least("component", "c").alias("up"), "component")
         far = label.select(F.col("id").alias("up"), F.col("component").alias("c"))
+        up = F.least("up", F.coalesce("c", "up"))
         new = written(new.join(far, "up", "left").select(
-            "id", F.least("up", F.coalesce("c", "up")).alias("component"), F.col("component").alias("was")), "components")
-        changed = new.where("component <> was").limit(1).count()
-        label = new.select("id", "component")
-        if not changed:
-            return label
+            "id", up.alias("component"), (F.col("component") != up).alias("changed")), "components")
+        drop_written(label)
+        label = new
+        if not label.where("changed").limit(1).count():
+            drop_written(both)
+            return label.select("id", "component")
+
+
+def joined(label: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """``label`` (id, component) after the links ``edges`` (a, b) join components of it."""
+    if label is None:
+        return components(edges)
+    of = lambda x: label.select(F.col("id").alias(x), F.col("component").alias(f"c{x}"))
+    ends = edges.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b").distinct()
+    merged = components(ends)
+    up = merged.select(F.col("id").alias("component"), F.col("component").alias("up"))
+    known = label.join(up, "component", "left").select("id", F.coalesce("up", "component").alias("component"))
+    out = written(known.unionByName(merged.join(label.select("id"), "id", "left_anti")), "labels")
+    drop_written(merged)
+    drop_written(label)
+    return out
 
 
-def _labelled(lists: DataFrame, edges: DataFrame) -> DataFrame:
-    return lists.join(components(edges), "id", "left").withColumn(
-        "label", F.coalesce("component", "id")).drop("component")
+def _labelled(lists: DataFrame, label: DataFrame) -> DataFrame:
+    return written(lists.join(label, "id", "left").withColumn(
+        "label", F.coalesce("component", "id")).drop("component"), "labelled")
 
 
 def star_pairs(lists: DataFrame, order) -> DataFrame:
@@ -247,7 +272,7 @@ def star_pairs(lists: DataFrame, order) -> DataFrame:
     return pairs.select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")).distinct()
 
 
-def remaining_pairs(lists: DataFrame, active: DataFrame) -> DataFrame:
+def remaining_pairs(lists: DataFrame, active: DataFrame, counts) -> DataFrame:
     """a, b: pairs of a list's members in different components whose sketches overlap enough."""
     by_label = lists.groupBy("value", "label").agg(
         F.count("*").alias("k"), F.bit_xor(F.xxhash64("id")).alias("sig"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("sig2"),
@@ -280,7 +305,8 @@ def remaining_pairs(lists: DataFrame, active: DataFrame) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), block.alias("block"))
     d = asked.unionByName(loose).join(active.select("id", "sketch"), "id")
     ship(lists.sparkSession)
-    return pairs.union(d.groupBy("value", "block", "chunk").applyInArrow(_compare, "a bigint, b bigint")).distinct()
+    return pairs.union(d.groupBy("value", "block", "chunk").applyInArrow(
+        lambda group: _compare(group, counts.value), "a bigint, b bigint")).distinct()
 
 
 def _shared_of_union(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
@@ -296,8 +322,23 @@ def _shared_of_union(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
     return np.bincount(of[both & (rank < SKETCH)], minlength=len(others))
 
 
-def _compare(group: pa.Table) -> pa.Table:
-    """Pairs of a loose member and a member of the chunk that may be linked."""
+def _compare(group: pa.Table, counts: np.ndarray) -> pa.Table:
+    """Pairs of a loose member and a member of the chunk that may be linked and share no posted
+    value before the list's."""
+    first = group["value"][0].as_py()
+    posts: dict[int, np.ndarray] = {}
+
+    def smaller(i: int) -> np.ndarray:
+        """Posted values of member i before the list's."""
+        if i not in posts:
+            p = posted_values(v[starts[i]:starts[i + 1]].view(np.uint64), int(n[i]), counts).view(np.int64)
+            posts[i] = np.sort(p[p < first])
+        return posts[i]
+
+    def here(i: int, j: int) -> bool:
+        x, y = smaller(i), smaller(j)
+        return not (len(x) and len(y) and (x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).any())
+
     ids, n, label = (group[c].to_numpy() for c in ("id", "n", "label"))
     is_loose = group["loose"].to_numpy()
     loose, asked = np.flatnonzero(is_loose), np.flatnonzero(~is_loose)
@@ -331,6 +372,7 @@ def _compare(group: pa.Table) -> pa.Table:
             near = part[_shared_of_union(v[starts[r]:starts[r + 1]],
                                          [v[starts[j]:starts[j + 1]] for j in asked[part]]) >= LEAST]
             found = np.r_[found[whole[found]], near]
+        found = found[[here(r, j) for j in asked[found].tolist()]] if len(found) else found
         if len(found):
             # One exact link joins two components; estimates are all kept for the exact check.
             exact = found[whole[found]]
@@ -344,6 +386,11 @@ def _compare(group: pa.Table) -> pa.Table:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each row of ``docs`` (doc_id, text)."""
+    with shuffles_dropped(docs.sparkSession):
+        return _near_duplicates(docs)
+
+
+def _near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     wide = written(sketches(docs), "sketches")
     own = written(wide.drop("sketch"), "sets")
@@ -352,18 +399,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     same = ["doc_id", "n_shingles", "c1", "c2"]
     first = only(wide, classes.withColumnRenamed("id", "doc_id"), same).select(
         F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch")
-    posted_ = postings(first)
-    shared = posted_.groupBy("value").agg(F.count("*").alias("m")).where("m > 1").select("value")
-    lists = written(posted_.join(written(shared, "shared-values"), "value", "left_semi").distinct(), "lists")
+    counts = docs.sparkSession.sparkContext.broadcast(value_counts(first))
+    posted_ = postings(first, counts)
+    common = written(posted_.groupBy("value").agg(F.count("*").alias("m")).where("m > 1").select("value"),
+                     "shared-values")
+    lists = written(posted_.join(common, "value", "left_semi").distinct(), "lists")
+    drop_written(common)
     active = written(only(first, lists.select("id").distinct(), "id").dropDuplicates(["id"]), "active")
     drop_written(wide)
     sets = full_sets(docs, active)
-    edges = links(star_pairs(lists.withColumn("label", F.col("id")), F.col("id")), active, sets)
-    for round_ in ("hash", "rest"):
-        labelled = written(_labelled(lists, edges), "labelled")
-        pairs = star_pairs(labelled, F.xxhash64("id")) if round_ == "hash" else remaining_pairs(labelled, active)
-        edges = edges.union(links(pairs, active, sets))
-    component = components(edges)
+    label = None
+    for round_ in ("id", "hash", "rest"):
+        labelled = lists.withColumn("label", F.col("id")) if label is None else _labelled(lists, label)
+        if round_ == "rest":
+            pairs = remaining_pairs(labelled, active, counts)
+        else:
+            pairs = star_pairs(labelled, F.col("id") if round_ == "id" else F.xxhash64("id"))
+        found = links(pairs, active, sets)
+        before, label = label, joined(label, found)
+        drop_written(found)
+        if before is not None:
+            drop_written(labelled)
+    for done in (lists, active, sets):
+        drop_written(done)
+    component = label
     member = classes.join(component, "id", "left").select(
         F.col("n_shingles").alias("_n"), F.col("c1").alias("_c1"), F.col("c2").alias("_c2"),
         F.coalesce("component", "id").alias("_component"))

@@ -2,9 +2,12 @@
 
 Base spans come from three patterns (below). The field tags every word of a text as begin (B),
 inside (I) or outside (O) of a secret from the word's shape, its neighbours' shapes and hashed
-forms, and features of the whole text. It learns from windows around the base spans and around
-other words of a bounded sample of texts, by gradient ascent on the exact log-likelihood
-(forward-backward in numpy). Runs of B I* that touch no base span are added as kind ``model``.
+forms, and features of the whole text. It learns from a bounded sample of texts of any length, by
+gradient ascent on the exact log-likelihood (forward-backward in numpy): from windows around base
+spans, around the same places with the secret written another way (other key words or none,
+other separators or none, values of other alphabets and lengths: forms that no pattern knows),
+and around other words. Windows are cut where the texts are; the driver gets their feature
+numbers only. Runs of B I* that touch no base span are added as kind ``model``.
 
 Decoding is exact Viterbi. A word whose best non-O score lies further below O than any two
 transitions can make up is O on every best path, so the chain falls apart there and only
@@ -19,7 +22,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import extended, map_arrow, table, written
+from .common import drop_written, extended, map_arrow, table, written
 from .textvec import SPACED_CASED, Words, column_bytes, row_slices
 
 KINDS = ("assign", "access", "hex")
@@ -38,8 +43,9 @@ HEX = re.compile(r"[0-9a-f]{24,}")            # whole runs of 24 and more
 ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 SAMPLE_ROWS = 4000        # texts the field learns from, at most
-SAMPLE_CHARS = 20_000     # longer texts are not part of the sample
-WINDOW = 24               # words of a training window
+WINDOW = 24               # words of a training window; shorter texts are padded
+OF_KIND = {"base": 1, "altered": 2, "other": 2}       # windows of a text, at most
+SLICE = 1 << 20           # bytes of texts scanned at a time
 HASHED = 1024             # buckets of hashed words
 ROUNDS = 60
 O, B, I = 0, 1, 2
@@ -72,7 +78,8 @@ FEATURES = (("length", 14), ("classes", 32), ("digits", 6), ("changes", 8), ("he
             ("before", 32), ("before_joins", 2), ("after", 32), ("word_before", HASHED), ("head", HASHED),
             ("text_digits", 4), ("text_marks", 4))
 _OFFSETS = np.cumsum([0, *(n for _, n in FEATURES)])
-N_FEATURES = int(_OFFSETS[-1])
+PAD = int(_OFFSETS[-1])           # stands for all features of a place after a short text
+N_FEATURES = PAD + 1
 
 
 def features(col) -> tuple[Words, np.ndarray]:
@@ -194,7 +201,9 @@ def fit_field(numbers: np.ndarray, tags: np.ndarray, rounds: int = ROUNDS) -> Fi
     gold = np.eye(3)[tags]                                      # windows, words, 3
     for step in range(1, rounds + 1):
         w, m = theta
-        e = w[numbers].sum(axis=2)
+        e = np.zeros((n, length, 3))
+        for i in range(numbers.shape[2]):
+            e += w[numbers[:, :, i]]
         fwd, bwd = np.empty_like(e), np.zeros_like(e)
         fwd[:, 0] = e[:, 0]
         for t in range(1, length):
@@ -204,8 +213,11 @@ def fit_field(numbers: np.ndarray, tags: np.ndarray, rounds: int = ROUNDS) -> Fi
         z = _lse(fwd[:, -1], 1)
         p = np.exp(fwd + bwd - z[:, None, None])
         diff = gold - p
-        gw = np.stack([np.bincount(numbers.ravel(), np.repeat(diff[:, :, y].ravel(), numbers.shape[2]),
-                                   N_FEATURES) for y in range(3)], axis=1)
+        gw = np.zeros((N_FEATURES, 3))
+        for y in range(3):
+            d = diff[:, :, y].ravel()
+            for i in range(numbers.shape[2]):
+                gw[:, y] += np.bincount(numbers[:, :, i].ravel(), d, N_FEATURES)
         pair = np.exp(fwd[:, :-1, :, None] + m + (e + bwd)[:, 1:, None, :] - z[:, None, None, None])
         gm = np.einsum("ntx,nty->xy", gold[:, :-1], gold[:, 1:]) - pair.sum(axis=(0, 1))
         for i, g in enumerate((gw / n - 1e-4 * w, gm / n - 1e-4 * m)):
@@ -221,49 +233,99 @@ def _lse(x, axis):
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
-def training_windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of words around base spans, and as many again spread over the texts."""
-    rng = np.random.default_rng(7)
-    numbers, tags = [], []
-    for text in texts:
-        w, f = features(pa.array([text]))
-        if len(f) < WINDOW:
+#: Ways to write a secret that the patterns don't know: key words, what joins them to a value, values.
+OTHER_KEYS = ("password", "passwd", "secret", "token", "api_key", "pass", "pwd", "key", "auth", "credential", "bearer")
+OTHER_JOINS = (" ", " is ", " = ", "=", ": ", " -> ", " => ", "(", " '")
+OTHER_HEADS = ("", "", "", "pk_", "rk-test-", "xoxb-", "glpat-", "eyJ", "npm_", "SG.")
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+ALPHABETS = (LETTERS + LETTERS.upper() + "0123456789", LETTERS + "0123456789", LETTERS.upper() + "0123456789",
+             "0123456789ABCDEF", LETTERS + LETTERS.upper() + "0123456789+/", LETTERS + "0123456789-_")
+
+
+def altered(text: str, spans, rng) -> tuple[str, list[tuple[int, int]]]:
+    """``text`` with each base span written another way, and the new spans."""
+    out, found, pos, size = [], [], 0, 0
+    for start, _, end in spans:
+        if start < pos:
             continue
-        y = np.zeros(len(f), np.int64)
-        centres = []
-        for start, _, end in base_spans(text):
-            a, z = len(text[:start].encode()), len(text[:end].encode())
-            i, j = np.searchsorted(w.end, a, "right"), np.searchsorted(w.start, z, "left")
-            if not y[i:j].any():
-                y[i], y[i + 1:j] = B, I
-                centres.append(int(i))
-        centres += rng.integers(0, len(f), 1 + len(centres)).tolist()
-        for c in centres:
-            a = min(max(0, c - int(rng.integers(4, WINDOW - 4))), len(f) - WINDOW)
-            numbers.append(f[a:a + WINDOW])
-            tags.append(y[a:a + WINDOW])
-    if not numbers:
-        return np.empty((0, WINDOW, len(FEATURES)), np.int32), np.empty((0, WINDOW), np.int64)
-    return np.stack(numbers), np.stack(tags)
+        value = OTHER_HEADS[rng.integers(len(OTHER_HEADS))]
+        alphabet = ALPHABETS[rng.integers(len(ALPHABETS))]
+        value += "".join(alphabet[k] for k in rng.integers(0, len(alphabet), int(rng.integers(14, 48))))
+        if rng.random() < 0.6:
+            value = OTHER_KEYS[rng.integers(len(OTHER_KEYS))] + OTHER_JOINS[rng.integers(len(OTHER_JOINS))] + value
+        out += [text[pos:start], value]
+        size += start - pos
+        found.append((size, size + len(value)))
+        size, pos = size + len(value), end
+    return "".join([*out, text[pos:]]), found
+
+
+def _windows(text: str, spans, most: int, others: int, rng):
+    """(numbers, tags) of windows around up to ``most`` of ``spans`` and ``others`` other places."""
+    w, f = features(pa.array([text]))
+    n = len(f)
+    if not n:
+        return
+    y, centres, done = np.zeros(n, np.int64), [], (0, 0)
+    for start, end in spans:
+        done = done[0] + len(text[done[1]:start].encode()), start              # bytes before ``start``
+        i, j = np.searchsorted(w.end, done[0], "right"), np.searchsorted(w.start, done[0] + len(text[start:end].encode()))
+        if i < j and not y[i:j].any():
+            y[i], y[i + 1:j] = B, I
+            centres.append(int(i))
+    picked = rng.permutation(len(centres))[:most]
+    centres = [centres[k] for k in picked] + rng.integers(0, n, others).tolist()
+    for c in centres:
+        a = min(max(0, c - int(rng.integers(4, WINDOW - 4))), max(0, n - WINDOW))
+        numbers, tags = np.full((WINDOW, f.shape[1]), PAD, np.int16), np.zeros(WINDOW, np.int8)
+        numbers[:n - a], tags[:n - a] = f[a:a + WINDOW], y[a:a + WINDOW]
+        yield numbers, tags
+
+
+def text_windows(text: str):
+    """Training windows of one text; the same ones on every executor."""
+    rng = np.random.default_rng(zlib.crc32(text.encode()))
+    base = base_spans(text)
+    yield from _windows(text, [(s, e) for s, _, e in base], OF_KIND["base"], OF_KIND["other"], rng)
+    if base:
+        yield from _windows(*altered(text, base, rng), OF_KIND["altered"], 0, rng)
+
+
+def training_windows(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Feature numbers (windows, words, features) and tags (windows, words) of the windows of
+    the texts in column ``t``, in the order of column ``h``."""
+    def run(batches):
+        for batch in batches:
+            for h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                both = list(text_windows(t))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([h] * len(both), pa.int64()), pa.array([x.tobytes() for x, _ in both], pa.binary()),
+                     pa.array([y.tobytes() for _, y in both], pa.binary())], ["h", "numbers", "tags"])
+
+    found = map_arrow(texts.select("h", "t"), run, "h bigint, numbers binary, tags binary").toArrow()
+    found = found.sort_by([("h", "ascending"), ("tags", "ascending"), ("numbers", "ascending")])
+    n = len(found)
+    numbers = np.frombuffer(b"".join(found["numbers"].to_pylist()), np.int16)
+    tags = np.frombuffer(b"".join(found["tags"].to_pylist()), np.int8)
+    return numbers.reshape(n, WINDOW, len(FEATURES)), tags.reshape(n, WINDOW)
 
 
 def learn_field(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -> Field | None:
-    """The field learnt from ``rows`` texts of at most SAMPLE_CHARS code points.
+    """The field learnt from windows of ``rows`` texts at most.
 
     Half of them hold a word that base patterns look for, where there are so many; each half
     is the distinct texts with the smallest hashes, so reruns agree.
     """
-    d = docs.select(F.col(text).alias("t")).where(F.length(text).between(1, SAMPLE_CHARS))
+    d = docs.select(F.col(text).alias("t")).where("t <> ''")
     likely = F.col("t").rlike(r"(?i)password|passwd|secret|token|api_?key|AKIA|[0-9a-f]{24}")
     d = d.withColumn("k", likely).withColumn("h", F.xxhash64("t"))
     # Hashes first, so that no text is sorted; then the texts of those few.
     hashes = written(d.select("k", "h").distinct(), "secret-sample")
     chosen = [r["h"] for kind in (True, False)
               for r in hashes.where(F.col("k") == kind).orderBy("h").limit(rows // 2).collect()]
+    drop_written(hashes)
     few = docs.sparkSession.createDataFrame([(h,) for h in chosen], "h bigint")          # ``rows`` at most
-    found = d.join(F.broadcast(few), "h").groupBy("h").agg(F.min("t").alias("t")).collect()
-    sample = [r["t"] for r in sorted(found)]
-    numbers, tags = training_windows(sample)
+    numbers, tags = training_windows(d.join(F.broadcast(few), "h").groupBy("h").agg(F.min("t").alias("t")))
     return fit_field(numbers, tags) if (tags == B).any() else None
 
 
@@ -272,27 +334,34 @@ def learn_field(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) ->
 def scan_column(col, field: Field | None):
     """For each row: the base spans and all spans, (start, kind, end) in code points."""
     raw, off = column_bytes(col)
-    for i, j in row_slices(off):
+    for i, j in row_slices(off, SLICE):
         part = col.slice(i, j - i).fill_null("")
         if field is not None:
             w, f = features(part)
             tags = field.tags(field.emissions(f), w.row)
-            begins = np.flatnonzero((tags == B) | ((tags == I) & (np.r_[0, tags[:-1]] == O)))
+            before = np.r_[O, tags[:-1]]
+            before[w.row[:-1][w.row[:-1] < len(tags)]] = O          # nothing stands before a text's first word
+            begins = np.flatnonzero((tags == B) | ((tags == I) & (before == O)))
             texts_of = np.searchsorted(w.row, begins, "right") - 1
+            points = np.zeros(len(w.raw) + 1, np.int32)               # code points before each byte
+            np.cumsum((w.raw & 0xC0) != 0x80, out=points[1:])
         else:
             begins = texts_of = np.empty(0, np.int64)
         at = np.searchsorted(texts_of, np.arange(j - i + 1))
         for k, value in enumerate(part):
             text = value.as_py()
             base = base_spans(text)
+            reach = list(accumulate((e for _, _, e in base), max))
             added = []
+            held = 0                                                 # base spans that end before this one
             for b in begins[at[k]:at[k + 1]].tolist():
                 z, stop = b + 1, int(w.row[k + 1])
                 while z < stop and tags[z] == I:
                     z += 1
-                start = len(w.raw[w.off[k]:w.start[b]].tobytes().decode())
-                end = start + len(w.raw[w.start[b]:w.end[z - 1]].tobytes().decode())
-                if all(end <= s or e <= start for s, _, e in base):
+                start, end = (int(points[x] - points[w.off[k]]) for x in (w.start[b], w.end[z - 1]))
+                while held < len(base) and reach[held] <= start:
+                    held += 1
+                if held == len(base) or end <= base[held][0]:
                     added.append((start, len(KINDS), end))
             yield base, sorted(base + added)
 

@@ -36,14 +36,18 @@ def save_model(model: PipelineModel, path: str) -> str:
 def load_model(path: str) -> PipelineModel:
     """Load a saved model, or the newest version of a published one, with a clear error when no
     model was trained yet."""
-    spark = SparkSession.getActiveSession()
-    names = published_versions(spark, path) if spark else []
-    try:
-        return PipelineModel.load(f"{path.rstrip('/')}/versions/{names[-1]}" if names else path)
-    except Exception as ex:
-        if "does not exist" in str(ex) or "PATH_NOT_FOUND" in str(ex) or "InvalidInputException" in str(ex):
-            raise FileNotFoundError(f"no saved model at {path}") from ex
-        raise
+    spark = SparkSession.builder.getOrCreate()
+    names = published_versions(spark, path)
+    while True:
+        try:
+            return PipelineModel.load(f"{path.rstrip('/')}/versions/{names[-1]}" if names else path)
+        except Exception as ex:
+            before, names = names, published_versions(spark, path)
+            if names and names[-1:] != before[-1:]:
+                continue                       # newer versions came, and this one went meanwhile
+            if "does not exist" in str(ex) or "PATH_NOT_FOUND" in str(ex) or "InvalidInputException" in str(ex):
+                raise FileNotFoundError(f"no saved model at {path}") from ex
+            raise
 
 
 def _files(spark: SparkSession, path: str):
@@ -67,7 +71,7 @@ def publish_model(model: PipelineModel, folder: str, name: str = MODEL_NAME, kee
 
     The last ``keep`` versions stay (two at least, for scorers that are loading).
     """
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.builder.getOrCreate()
     path = f"{folder.rstrip('/')}/{name}"
     fs, make = _files(spark, path)
     before = published_versions(spark, path)

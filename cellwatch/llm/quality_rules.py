@@ -13,8 +13,10 @@ not depend on the data, come back to the driver.
 
 Null or empty text: no words, all statistics 0, base_failed. Rows with a null id are judged
 like others and never used for learning; null labels are left out; without any label (or
-only one kind) there are no rules and only the base decides. Repeated rows are judged each.
-Columns of the input that bear a result's name are replaced.
+only one kind) there are no rules and only the base decides. Repeated rows are judged each. Very
+long texts are counted whole. Of conditions with equal gain the first statistic and threshold is
+taken. An empty table gives an empty result. Columns of the input that bear a result's name are
+replaced, all others stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -51,7 +53,10 @@ def three_word_windows(words: Column) -> Column:
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without ``text`` but with COUNTS and STATISTICS of each row's whole text."""
     keep = [c for c in docs.columns if c != text and c not in COUNTS + STATISTICS]
-    d = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    # The kept columns go along as one, so that no name of theirs clashes with one used here.
+    kept, keep = [F.col(f"_row.`{c}`") for c in keep], ["_row"]
+    row = F.struct(F.lit(0), *[F.col(f"`{c}`") for c in docs.columns if c != text and c not in COUNTS + STATISTICS])
+    d = docs.select(row.alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     d = d.withColumn("_words", F.array_remove(F.split("_text", r"[\x20\x09-\x0D]+", -1), ""))
     w, x = F.col("_words"), F.col("_text")
     lines = F.filter(F.split(x, "\n", -1), lambda v: v.rlike(SPACE_WORD))
@@ -82,7 +87,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     chars = F.greatest(F.col("word_chars"), F.lit(1))
     d = d.withColumn("n_repeat_words", F.coalesce(F.when(a.isNotNull(), covered), F.lit(0)).cast("long"))
     return d.select(
-        *keep, *COUNTS,
+        *kept, *COUNTS,
         F.col("n_words").cast("double").alias("words"),
         (F.col("word_chars") / n).alias("mean_word"),
         (F.col("n_symbols") / chars).alias("symbol_share"),
@@ -216,7 +221,8 @@ def judge(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
     known = (labels.select(F.col("doc_id").alias("_id"), F.col("quality").alias("_q"))
              .where("_id IS NOT NULL AND _q IS NOT NULL").groupBy("_id").agg(F.min("_q").alias("_q")))
     labelled = written(
-        stats.join(known, stats["doc_id"] == known["_id"]).where(~base_failed()).select(
+        stats.select("doc_id", *COUNTS, *STATISTICS).join(known, F.col("doc_id") == F.col("_id")).where(
+            ~base_failed()).select(
             *STATISTICS, (F.col("_q") == 0).cast("long").alias("_low"),
             (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 0).alias("_grow")),
         "quality-labelled")

@@ -13,7 +13,8 @@ mark occurs inside them and removing one backslash from each pair restores them.
 Null text or role: empty. A message without id, or whose parent is missing, is a root. Equal
 ids are one message each as far as they can be told apart, so ids must be unique: give
 :func:`linear_replies` rows without ids. Replies in a ring have no root and are left out.
-Empty input gives no conversation.
+Empty input gives no conversation. Only the named columns are read, so others can't clash. Very
+long texts are escaped and digested whole, one message at a time.
 """
 
 from __future__ import annotations
@@ -52,8 +53,19 @@ def linear_replies(turns: DataFrame) -> DataFrame:
     ``turns``: conv_id, turn, role, text. Rows with the same turn follow each other in order
     of role and text. Rows get their place in the conversation as id, from 0 on.
     """
-    order = W.partitionBy("conv_id").orderBy("turn", "role", "text")
-    d = turns.select("conv_id", "role", "text", (F.row_number().over(order) - 1).cast("long").alias("id"))
+    key = ["conv_id", "turn", "role", "text"]
+    n = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Dealt by range, so that a conversation of any size is numbered by many tasks: places inside
+    # a range, after the rows that the conversation has in earlier ranges.
+    d = written(turns.select(*key).repartitionByRange(n, *key).withColumn("range", F.spark_partition_id()), "chat-order")
+    sizes = d.groupBy("conv_id", "range").agg(F.count(F.lit(1)).alias("n"))
+    earlier = W.partitionBy("conv_id").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    sizes = sizes.select(F.col("conv_id").alias("c"), F.col("range").alias("r"),
+                         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    inside = W.partitionBy("range", "conv_id").orderBy("turn", "role", "text")
+    d = d.withColumn("place", F.row_number().over(inside) - 1).join(
+        sizes, (F.col("range") == F.col("r")) & F.col("conv_id").eqNullSafe(F.col("c")))
+    d = d.select("conv_id", "role", "text", (F.col("place") + F.col("offset")).cast("long").alias("id"))
     return d.select("conv_id", "id", F.when(F.col("id") > 0, F.col("id") - 1).alias("parent"),
                     "role", "text", F.lit(1.0).alias("score"))
 
@@ -193,3 +205,19 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_paths(messages)).drop("rank")
 
 
+#: The template's marks take 14 code points a turn; each escaped code point takes one more.
+OP7_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, role AS r, text AS t, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, turn, role, text, role, text
+  FROM (SELECT unnest([0, 1]) AS turn, unnest(['user', 'assistant']) AS role, '\### Assistant: </turn> ok' AS text)
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST)
+                       FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(14 + length(role) + length(regexp_replace(role, '[^\\#<:]', '', 'g'))
+                + length(text) + length(regexp_replace(text, '[^\\#<]', '', 'g'))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id"""

@@ -18,7 +18,11 @@ references are decoded after tags are found, so ``&lt;p&gt;`` stays text. Unclos
 where HTML ends them; stray end tags are ignored.
 
 Null or empty html: empty text. A page without any container that scores gives the blocks that
-are left of its body. Repeated rows are read each. Columns named as a result are replaced.
+are left of its body. Of containers with equal scores the first is taken. Very long pages are read
+whole, and broken ones in linear time too: a tag without an end is text, from the first unclosed
+quote on quotes are not minded, and elements nested deeper than ``DEEPEST`` stand side by side.
+Repeated rows are read each, an empty table gives an empty result. Columns named as a result are
+replaced, all others stay.
 """
 
 from __future__ import annotations
@@ -33,9 +37,8 @@ from pyspark.sql import types as T
 
 from .common import extended, map_arrow, table
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|$)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^>]*>"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r"[>\"']")
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _SPACE = re.compile(r"\s+")
 
@@ -79,6 +82,7 @@ _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr
            "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"},
            "th": {"table", "tr"}, "option": {"select"}}
+DEEPEST = 256                # elements deeper than this stand beside the one that is so deep, as in browsers
 FOREIGN = {"svg", "math"}    # raw elements that end with a slash in their start tag
 CONTAINERS = {"article", "main", "section", "div", "td", "body", "blockquote", "center"}
 BONUS = {"article": 25.0, "main": 20.0, "section": 5.0, "div": 0.0, "td": 0.0, "body": -5.0, "blockquote": 3.0}
@@ -182,31 +186,93 @@ def _by_readers(node: Node) -> bool:
     return any(_READERS.fullmatch(p) for _, word in node.names for p in [word, *re.split(r"[-_]+", word)])
 
 
+def markup(html: str):
+    """(start, end, whether it closes, tag, attributes) of each piece of markup, in one pass.
+
+    Comments and declarations have no tag; a CDATA section's text stands for the attributes. A tag
+    without an end is text; one whose quotes have none ends at its first ``>``, and from there on
+    quotes are not minded, so that broken pages are read in linear time too.
+    """
+    size, last, cdata, quotes = len(html), html.rfind(">"), True, True
+    at = html.find("<")
+    while at >= 0:
+        end = -1
+        if html.startswith("<!--", at):
+            end = html.find("-->", at + 4)
+            end = size if end < 0 else end + 3
+            yield at, end, False, None, ""
+        elif at <= last:
+            if cdata and html.startswith("<![CDATA[", at):
+                end = html.find("]]>", at + 9)
+                cdata = end >= 0
+                if cdata:
+                    yield at, end + 3, False, None, html[at + 9:end]
+                    end += 3
+            if end < 0 and html[at + 1:at + 2] in ("!", "?"):
+                end = html.find(">", at) + 1
+                yield at, end, False, None, ""
+            elif end < 0 and (m := _TAG.match(html, at)):
+                end = _tag_end(html, m.end()) if quotes else html.find(">", m.end())
+                if end < 0:
+                    quotes, end = False, html.find(">", m.end())
+                if end >= 0:
+                    end += 1
+                    yield at, end, bool(m[1]), m[2].lower(), html[m.end():end - 1]
+        at = html.find("<", end if end > at else at + 1)
+
+
+def _tag_end(html: str, at: int) -> int:
+    """Place of the ``>`` that ends a tag, outside quotes; -1: none."""
+    while m := _STOP.search(html, at):
+        if m[0] == ">":
+            return m.start()
+        close = html.find(m[0], m.end())
+        at = m.end() if close < 0 else close + 1
+    return -1
+
+
+_ENDS: dict[str, re.Pattern] = {}
+
+
+def _raw_end(html: str, tag: str, at: int) -> int:
+    """Place after the end tag of a raw element; -1: none."""
+    if tag not in _ENDS:
+        _ENDS[tag] = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE)
+    m = _ENDS[tag].search(html, at)
+    return m.end() if m else -1
+
+
 def parse(html: str) -> Node:
     """The tree of a page."""
     root = here = Node("html", None, False)
     marked: list[Node] = []
-    links = 0
+    endless: set[str] = set()                  # raw elements without a further end tag
+    flat: dict[str, int] = {}                  # open elements too deep to hold others, by tag
+    links = depth = 0
     pos, end = 0, len(html)
 
     def text(piece: str):
         if piece:
             here.children.append((html_lib.unescape(piece) if "&" in piece else piece, links > 0))
 
-    while pos < end:
-        m = _MARKUP.search(html, pos)
-        if m is None:
-            text(html[pos:])
-            break
-        text(html[pos:m.start()])
-        pos = m.end()
-        tag = m["tag"]
+    def leave():
+        nonlocal here, links, depth
+        links -= here.tag == "a"
+        here, depth = here.parent, depth - 1
+
+    for start, stop, closes_it, tag, attrs in markup(html):
+        if start < pos:
+            continue                           # inside a raw element
+        text(html[pos:start])
+        pos = stop
         if tag is None:
-            if m["cdata"]:
-                here.children.append((m["cdata"], links > 0))
+            if attrs:
+                here.children.append((attrs, links > 0))
             continue
-        tag = tag.lower()
-        if m["close"]:
+        if closes_it:
+            if flat.get(tag):
+                flat[tag] -= 1
+                continue
             if tag == "p" and not _open(here, tag):
                 here.children.append(Node("p", here, here.out))
                 continue
@@ -223,22 +289,19 @@ def parse(html: str) -> Node:
                 node = node.parent
             if node is not root:
                 while here is not node:
-                    links -= here.tag == "a"
-                    here = here.parent
-                links -= here.tag == "a"
-                here = here.parent
+                    leave()
+                leave()
             continue
         if tag in ("html", "body"):
             if tag == "body" and _open(here, "head"):
-                here = root
+                here, depth = root, 0
             continue
         if tag in BLOCKS:
             # A block ends an open paragraph; an item ends the one before it.
             if _open(here, "p", until=("td", "th", "button", "table", "a") if tag != "p" else ("td", "th", "table")):
                 while here.tag != "p":
-                    links -= here.tag == "a"
-                    here = here.parent
-                here = here.parent
+                    leave()
+                leave()
             closes = _CLOSES.get(tag)
             if closes and tag != "p":
                 node = here
@@ -246,23 +309,28 @@ def parse(html: str) -> Node:
                     node = node.parent
                 if node.tag in closes:
                     while here is not node:
-                        links -= here.tag == "a"
-                        here = here.parent
-                    here = here.parent
-        node = Node(tag, here, here.out or _left_out(tag, m["attrs"]))
+                        leave()
+                    leave()
+        node = Node(tag, here, here.out or _left_out(tag, attrs))
         here.children.append(node)
         if not node.out:
-            node.names = _marking(tag, m["attrs"])
+            node.names = _marking(tag, attrs)
             if node.names:
                 marked.append(node)
-        if tag in VOID or m["attrs"].endswith("/") and tag not in BLOCKS | RAW - FOREIGN | {"a", "span", "b", "i", "em"}:
+        if tag in VOID or attrs.endswith("/") and tag not in BLOCKS | RAW - FOREIGN | {"a", "span", "b", "i", "em"}:
             continue
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(html, pos)
-            pos = close.end() if close else (end if tag in ("script", "style", "textarea", "xmp") else pos)
+            close = -1 if tag in endless else _raw_end(html, tag, pos)
+            if close < 0:
+                endless.add(tag)
+            pos = close if close >= 0 else end if tag in ("script", "style", "textarea", "xmp") else pos
+            continue
+        if depth >= DEEPEST:
+            flat[tag] = flat.get(tag, 0) + 1
             continue
         links += tag == "a"
-        here = node
+        here, depth = node, depth + 1
+    text(html[pos:])
     if marked:
         _settle(root, marked)
     return root

@@ -19,7 +19,9 @@ blocks. Draws use hashes of ``seed`` and names, so reruns agree.
 
 Null text: size 0, never taken. A null source is a source of its own, last in order. A null
 id hashes as empty text. Repeated rows are documents of their own. Sources without words
-have target 0. Empty input gives an empty mix.
+have target 0. Documents of equal hash are in order of id and size. Very long texts are one
+document of a block; a text is cut only where its source's target ends. Only doc_id, source and text
+are read, so other columns can't clash. Empty input gives an empty mix.
 """
 
 from __future__ import annotations

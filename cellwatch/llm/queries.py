@@ -23,5 +23,8 @@ REGISTRY = {
 
 SQL: dict[str, str] = {
     "op1_mixing": mixing.OP1_SQL,
+    "op2_decontamination": decontaminate.OP2_SQL,
+    "op7_chat_format": chat_format.OP7_SQL,
+    "op8_near_dups": near_dups.OP8_SQL,
     "op13_lexical_search": lexical_search.OP13_SQL,
 }

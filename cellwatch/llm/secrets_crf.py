@@ -13,7 +13,8 @@ Decoding is exact Viterbi. A word whose best non-O score lies further below O th
 transitions can make up is O on every best path, so the chain falls apart there and only
 the words between are decoded one by one.
 
-Null text: empty, no spans. Very long texts are scanned whole. Repeated rows are scanned each.
+Null text: empty, no spans. An empty table gives an empty result. Spans that start together are in
+the order of their kinds. Very long texts are scanned whole. Repeated rows are scanned each.
 Columns of the input that bear a result's name are replaced. Without any base span in the
 sample nothing is learnt and only base spans are given.
 """

@@ -101,9 +101,18 @@ def extended(schema: T.StructType, **kinds: T.DataType) -> T.StructType:
     return T.StructType([*schema.fields, *(T.StructField(k, v) for k, v in kinds.items())])
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this subpackage's code to the executors, once a session, so that tasks can import it."""
+    """Send this subpackage's code to the executors, once a session, so that tasks can import it.
+
+    Rows reach Python in batches of 8 MB (or one row, where that is longer) instead of Spark's 64,
+    unless the session's settings name a size: texts are long, and a batch is in memory several times.
+    """
     sc = spark.sparkContext
+    if not sc.getConf().contains(BATCH_BYTES):
+        spark.conf.set(BATCH_BYTES, "8m")
     if not getattr(sc, "_llm_shipped", False):
         import os
         import tempfile
@@ -121,7 +130,24 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def release_memory() -> None:
+    """Give what Arrow and the C library keep for later use back to the system: workers stay
+    between tasks, and an idle one should be small."""
+    import ctypes
+
+    import pyarrow
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):                      # another C library
+        pass
+
+
 def map_arrow(df: DataFrame, function, schema) -> DataFrame:
     """``df.mapInArrow`` of a function of this subpackage."""
+    def run(batches):
+        yield from function(batches)
+        release_memory()
+
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(run, schema)

@@ -12,7 +12,8 @@ are winnowed by their own length, so they are found by the same joins: one set o
 each length that occurs (``window`` at most).
 
 Null or empty text: no words, never contaminated, and an item without words has no window. A
-null item id counts as an empty one. Documents that share id and text share their hits. A
+null item id counts as an empty one. Documents that share id and text share their hits. Very long texts are winnowed whole; of equal hashes the last is kept.
+Empty tables give empty or clean results, and other columns stay, whatever their names. A
 gram that very many documents share only adds rows that hash to its place: the items' side
 has each gram once, so no key multiplies rows.
 """
@@ -26,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_arrow, row_key, table, written
+from .common import extended, map_arrow, private, row_key, table, written
 from .textvec import ALNUM, Words, column_bytes, grams, row_slices
 
 WINDOW = 10               # words of a window
@@ -136,22 +137,56 @@ def hit_windows(docs: DataFrame, found: DataFrame, lengths: list[int]) -> DataFr
     return seen.join(found.select("length", "window").distinct(), ["length", "window"], "left_semi")
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+def word_counts(col) -> np.ndarray:
+    """Number of words of each row of a string column; null has none."""
+    raw, off = column_bytes(col)
+    out = np.zeros(len(off) - 1, np.int64)
+    for i, j in row_slices(off, 4 << 20):
+        inside = ALNUM[raw[off[i]:off[j]]] != 0
+        starts = inside.copy()
+        starts[1:] &= ~inside[:-1]
+        first = off[i:j] - off[i]
+        first = first[first < len(inside)]
+        starts[first] = inside[first]                      # a word doesn't run over from the row before
+        sums = np.zeros(len(inside) + 1, np.int64)
+        np.cumsum(starts, out=sums[1:])
+        out[i:j] = np.diff(sums[off[i:j + 1] - off[i]])
+    return out
+
+
+def counted(docs: DataFrame, key: str, drop: tuple[str, ...]) -> DataFrame:
+    """``docs`` without the columns ``drop``, with ``key`` (see ``row_key``) and n_words."""
+    source = docs.withColumn(key, row_key(F.col("doc_id"), F.col("text")))
+    kept = [c for c in source.columns if c not in drop]
+    schema = extended(source.select(*kept).schema, n_words=T.LongType())
+
+    def run(batches):
+        for batch in batches:
+            n = word_counts(batch.column(batch.schema.get_field_index("text")))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(batch.schema.get_field_index(c)) for c in kept), pa.array(n)], [*kept, "n_words"])
+
+    return map_arrow(source, run, schema)
+
+
+def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, drop: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` with n_words, n_hit, n_items, items_sha256 and contaminated instead of same-named columns.
 
-    ``docs`` has doc_id and text.
+    ``docs`` has doc_id and text. ``drop``: columns that the result does without, such as the
+    texts, which are not moved then.
     """
     results = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-    keep = [c for c in docs.columns if c not in results]
-    # Words are counted here, so that a caller without use for the texts does not move them.
-    d = docs.select(*keep, row_key(F.col("doc_id"), F.col("text")).alias("_k"),
-                    F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
+    docs = docs.select(*[c for c in docs.columns if c not in results])
+    keep = [c for c in docs.columns if c not in drop]
+    k, doc, k2, listed = private(docs.columns, "_k", "_d", "_k2", "_items")
+    d = counted(docs, k, tuple(c for c in drop if c != "doc_id"))
+    texts = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("_k"), "text")
     found, lengths = item_windows(items, window)
     if not lengths:
-        hits = written(d.select("doc_id", "_k", F.lit(0).alias("length"), F.lit(0).cast("long").alias("window"),
-                                F.lit(0).cast("long").alias("at")).limit(0), "hit-windows")
+        hits = written(texts.select("doc_id", "_k", F.lit(0).alias("length"), F.lit(0).cast("long").alias("window"),
+                                    F.lit(0).cast("long").alias("at")).limit(0), "hit-windows")
     else:
-        hits = written(hit_windows(d.select("doc_id", "_k", "text"), found, lengths).distinct(), "hit-windows")
+        hits = written(hit_windows(texts, found, lengths).distinct(), "hit-windows")
     # Words inside any hit window: each window adds what reaches past the ones before it.
     spans = hits.select("doc_id", "_k", "at", (F.col("at") + F.col("length")).alias("end")).groupBy(
         "doc_id", "_k", "at").agg(F.max("end").alias("end"))
@@ -163,10 +198,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         found.select("length", "window", "item").distinct(), ["length", "window"])
     named = named.groupBy("doc_id", "_k").agg(F.array_sort(F.collect_set("item")).alias("_items"))
     hit = words.join(named, (words["doc_id"].eqNullSafe(named["doc_id"])) & (words["_k"] == named["_k"])).select(
-        words["doc_id"].alias("_d"), words["_k"].alias("_k2"), "n_hit", "_items")
+        words["doc_id"].alias(doc), words["_k"].alias(k2), "n_hit", F.col("_items").alias(listed))
     none = F.expr("cast(array() as array<string>)")
-    out = d.join(hit, d["doc_id"].eqNullSafe(hit["_d"]) & (d["_k"] == hit["_k2"]), "left")
-    items_ = F.coalesce("_items", none)
+    out = d.join(hit, d["doc_id"].eqNullSafe(hit[doc]) & (d[k] == hit[k2]), "left")
+    items_ = F.coalesce(listed, none)
     return out.select(
         *keep, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.size(items_).cast("long").alias("n_items"), F.sha2(F.array_join(items_, ","), 256).alias("items_sha256"),
@@ -176,4 +211,38 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of each document stands in the benchmark."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return contamination(docs, table(spark, sf_dir, "benchmark")).drop("text")
+    return contamination(docs, table(spark, sf_dir, "benchmark"), drop=("text",))
+
+
+OP2_SQL = r"""
+WITH lowered AS (
+  SELECT row_number() OVER () AS k, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+item_words AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL
+),
+sized AS (SELECT item_id, w, least(10, len(w)) AS n FROM item_words WHERE len(w) > 0),
+item_windows AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, n, array_to_string(w[i:i + n - 1], ' ') AS words
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM sized)
+),
+doc_windows AS (
+  SELECT k, n, i, array_to_string(w[i:i + n - 1], ' ') AS words
+  FROM (SELECT k, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM lowered, (SELECT DISTINCT n FROM sized) WHERE w IS NOT NULL AND len(w) >= n)
+),
+hits AS (SELECT k, n, i, item FROM doc_windows JOIN item_windows USING (n, words)),
+covered AS (SELECT k, count(DISTINCT place) AS n_hit FROM (SELECT k, unnest(range(i, i + n)) AS place FROM hits) GROUP BY k),
+named AS (
+  SELECT k, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT k, coalesce(item, '') AS item FROM hits) GROUP BY k
+)
+SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       n_hit IS NOT NULL AS contaminated
+FROM lowered LEFT JOIN covered USING (k) LEFT JOIN named USING (k)"""

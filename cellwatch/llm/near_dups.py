@@ -32,7 +32,7 @@ or ``LEAST_TINY`` of ``TINY``, with a probability under 1e-6 (4.9 and over 5 sta
 deviations), less above it. Whole sets have
 no such error.
 
-Null text or no words: empty set, no links, component its own id. Rows with one id are one
+Very long texts are read whole, in slices. An empty table gives an empty result. Null text or no words: empty set, no links, component its own id. Rows with one id are one
 document; rows without id have no component and are kept. Repeated rows keep their number.
 Columns of the input that bear a result's name are replaced.
 """
@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop_written, map_arrow, ship, shuffles_dropped, table, written
+from .common import drop_written, map_arrow, release_memory, ship, shuffles_dropped, table, written
 from .textvec import SPACED, Words, column_bytes, grams, mix, row_slices
 
 SHINGLE = 5               # words
@@ -63,7 +63,7 @@ SENT = 1_000_000          # values (8 bytes each) of ids sent to all executors a
 def shingle_sets(col):
     """The sorted distinct shingle hashes (63 bits) of each row."""
     _, off = column_bytes(col)
-    for i, j in row_slices(off, 4 << 20):
+    for i, j in row_slices(off, 1 << 20):
         w = Words(col.slice(i, j - i), SPACED)
         g = grams(w.hash, SHINGLE) >> np.uint64(1)          # sorts alike as a signed number
         for a, z in zip(w.row[:-1].tolist(), w.row[1:].tolist()):
@@ -305,8 +305,13 @@ def remaining_pairs(lists: DataFrame, active: DataFrame, counts) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), block.alias("block"))
     d = asked.unionByName(loose).join(active.select("id", "sketch"), "id")
     ship(lists.sparkSession)
-    return pairs.union(d.groupBy("value", "block", "chunk").applyInArrow(
-        lambda group: _compare(group, counts.value), "a bigint, b bigint")).distinct()
+
+    def compare(group: pa.Table) -> pa.Table:
+        found = _compare(group, counts.value)
+        release_memory()
+        return found
+
+    return pairs.union(d.groupBy("value", "block", "chunk").applyInArrow(compare, "a bigint, b bigint")).distinct()
 
 
 def _shared_of_union(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
@@ -436,3 +441,32 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
 def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP8_SQL = r"""
+WITH RECURSIVE lowered AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+),
+sets AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM lowered WHERE len(w) > 0)
+),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS s
+  FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * s >= 75 * (x.n + y.n - s)
+),
+reach AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+),
+low AS (SELECT a AS doc_id, least(a, min(b)) AS component FROM reach GROUP BY a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(component, doc_id) AS component_id,
+       doc_id = coalesce(component, doc_id) AS kept
+FROM lowered LEFT JOIN sizes USING (doc_id) LEFT JOIN low USING (doc_id)"""

@@ -11,29 +11,39 @@ own and its parent's count: it stores the quantised logarithm of count(c w) / (c
 rounded down, and as a context its quantised backoff weight m_k / (count + m_k), rounded down,
 so no distribution sums to more than 1.
 
-Trie: level 1 is the vocabulary, sorted by 64-bit word hash; a node's number is its place. A
-node of level k is its parent's number (the context, a node of level k - 1) and its last word's
-number; the key ``parent * V + word`` is increasing in trie order. A level is cut into shards
-by a hash of the key, so a context with very many successors is spread over all of them. In a
-shard the keys form a monotone sequence in Elias-Fano code: upper halves in unary, lower halves
-packed. A lookup is of the whole key, not of the context's range, which lies in all shards: the
-key's bucket is found by a select in the unary part, then halved.
+Trie: level 1 is the vocabulary in order of 64-bit word hashes; a node's number is its place. A
+node of level k is a context (a node of level k - 1) and its last word's number, and its own
+number is its place in order of context and word. So the successors of a context stand side by
+side, and level k keeps, in Elias-Fano code (upper halves in unary, lower halves packed):
+
+- for each context the place where its successors begin: a monotone sequence of pointers;
+- the successors' words, each with the number of its context in the shard before it, which
+  makes them one monotone sequence. Numbers are relative to the shard's first context, so their
+  size doesn't depend on the corpus.
+
+A query is a successor search: two pointers give the context's range, the unary part narrows
+it, and halving finds the first word that is not smaller. A level is cut into shards by ranges
+of contexts with about ``SHARD_TOKENS`` occurrences each, known from the level before; a context
+with more is split by ranges of words, so a very frequent one is spread over several shards.
+Level 1 is cut by ranges of hashes, which are spread too evenly for Elias-Fano code and are
+kept as a plain sorted array.
 
 Counting: a task sorts and counts the n-grams of its texts with numpy, deals them to shards and
 emits one compressed row a shard; Spark shuffles the rows by shard, and the shard's task merges
-them and writes the shard as one file of the shared folder. Scoring tasks map those files into
-memory (on a file system that is not mounted they read them) and search whole arrays of sorted
-queries. Nothing of the model passes through the driver but the shards' names and sizes, a histogram
-of counts, and totals. Every training n-gram is in the model: no pruning, no vocabulary limit.
-
-Null or empty text: one token, the end mark. Texts without training rows have base and score
+them and writes the shard as one file of the shared folder. Scoring tasks map into memory the
+files that their texts need (on a file system that is not mounted they read them); moving the
+lookups to the shards instead would shuffle all n-grams of all texts twice a level. Nothing of
+the model passes through the driver but the shards' names, sizes and bounds, a histogram of counts,
+and totals. Every training n-gram is in the model: no pruning, no vocabulary limit.
+
+Null or empty text: one token, the end mark. Very long texts are scored whole, in slices of rows.
+An empty table gives an empty result. Texts without training rows have base and score
 from an empty model (V = 0). Repeated rows are counted and scored each; a null id's bucket is
 that of empty text. Columns of the input that bear a result's name are replaced.
 """
 
 from __future__ import annotations
 
-import contextlib
 import os
 import uuid
 
@@ -44,12 +54,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import extended, id_bucket, map_arrow, scratch, table
-from .textvec import SPACED, Words, column_bytes, mix, row_slices
+from .common import extended, id_bucket, map_arrow, scratch, shuffles_dropped, table
+from .textvec import SPACED, Words, column_bytes, row_slices
 
 END = np.uint64(0x656E64206D61726B)          # hash of the end mark
 ORDER = 3
-SHARD_TOKENS = 4_000_000                     # training tokens for each shard of a level
+SHARD_TOKENS = 4_000_000                     # occurrences of contexts for each shard of a level
+SLICE = 8 << 20                              # bytes of texts handled at a time
 HELD = 3_000_000                             # n-grams a task holds before it emits them
 UNIT = 1 / 4096                              # step of quantised base-10 logarithms
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)         # number of a missing node
@@ -57,8 +68,15 @@ NONE = np.uint64(0xFFFFFFFFFFFFFFFF)         # number of a missing node
 
 # --- monotone sequences -----------------------------------------------------------------
 
+def _steps(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a new value begins in sorted ``x``, and for each place the number of its value."""
+    first = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=first[1:])
+    return np.flatnonzero(first), np.cumsum(first) - 1
+
+
 class EliasFano:
-    """A sorted sequence of distinct 64-bit integers.
+    """A sorted sequence of distinct 64-bit integers, as arrays that can be mapped from a file.
 
     ``low``: the lower bits of each value, in whole bytes. ``high``: for each value of the upper
     bits in turn, a one for each element and then a zero. ``zeros``: zeros before each word of 64.
@@ -66,6 +84,7 @@ class EliasFano:
 
     def __init__(self, n: int, bits: int, low: np.ndarray, high: np.ndarray, zeros: np.ndarray):
         self.n, self.bits, self.low, self.high, self.zeros = n, bits, low, high, zeros
+        self.ones: np.ndarray | None = None                # ones before each word, once asked for
 
     @classmethod
     def build(cls, values: np.ndarray) -> EliasFano:
@@ -89,40 +108,59 @@ class EliasFano:
         ones = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little"))[:self.n]
         return ((ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.bits)) | self.low.astype(np.uint64)
 
-    def select_zero(self, k: np.ndarray) -> np.ndarray:
-        """Place of zero number k (from 0) in ``high``."""
-        word = np.searchsorted(self.zeros, k.astype(np.uint32), "right") - 1
-        rest = (k - self.zeros[word].astype(np.int64)).astype(np.uint64)
-        bits = ~self.high[word]
-        place = np.zeros(len(k), np.uint64)
+    @staticmethod
+    def _select(bits: np.ndarray, rest: np.ndarray) -> np.ndarray:
+        """Place of set bit number ``rest`` (from 0) of each word."""
+        place = np.zeros(len(bits), np.uint64)
         for width in (32, 16, 8, 4, 2, 1):
             w = np.uint64(width)
             below = np.bitwise_count(bits & np.uint64((1 << width) - 1)).astype(np.uint64)
             skip = rest >= below
-            rest -= np.where(skip, below, np.uint64(0))
+            rest = rest - np.where(skip, below, np.uint64(0))
             place += np.where(skip, w, np.uint64(0))
             bits = np.where(skip, bits >> w, bits)
-        return word * 64 + place.astype(np.int64)
+        return place.astype(np.int64)
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Place of each of the sorted ``keys``, -1 where it is missing."""
+    def select_zero(self, k: np.ndarray) -> np.ndarray:
+        """Place of zero number k (from 0) in ``high``."""
+        word = np.searchsorted(self.zeros, k.astype(np.uint32), "right") - 1
+        return word * 64 + self._select(~self.high[word], (k - self.zeros[word].astype(np.int64)).astype(np.uint64))
+
+    def at(self, k: np.ndarray) -> np.ndarray:
+        """Values number k (from 0)."""
+        if self.bits == 64:
+            return np.asarray(self.low, np.uint64)[k]
+        if self.ones is None:
+            self.ones = 64 * np.arange(len(self.zeros)) - self.zeros.astype(np.int64)
+        word = np.searchsorted(self.ones, k, "right") - 1
+        place = word * 64 + self._select(self.high[word], (k - self.ones[word]).astype(np.uint64))
+        return ((place - k).astype(np.uint64) << np.uint64(self.bits)) | self.low[k].astype(np.uint64)
+
+    def find(self, keys: np.ndarray, begin: np.ndarray | None = None, end: np.ndarray | None = None) -> np.ndarray:
+        """Place of each of the sorted ``keys``, -1 where it is missing; ``begin`` and ``end``: where to look."""
         out = np.full(len(keys), -1, np.int64)
         if not self.n or not len(keys):
             return out
         up = (keys >> np.uint64(self.bits)).astype(np.int64) if self.bits < 64 else np.zeros(len(keys), np.int64)
         total = int(self.zeros[-1]) + 64 - int(np.bitwise_count(self.high[-1]))
-        at = np.flatnonzero(up < total)
+        at = np.flatnonzero(up < total if begin is None else (up < total) & (begin < end))
         if not len(at):
             return out
         up, low = up[at], keys[at].astype(self.low.dtype)
         # Elements with these upper bits lie between zero up - 1 and zero up.
-        z, inverse = np.unique(np.r_[up - 1, up], return_inverse=True)
-        ends = np.zeros(len(z), np.int64)
-        real = z >= 0
-        ends[real] = self.select_zero(z[real]) - z[real]
-        lo, hi = ends[inverse[:len(up)]], ends[inverse[len(up):]]
+        new, of = _steps(up)
+        z = up[new]
+        hi = (self.select_zero(z) - z)[of]
+        before = np.zeros(len(z), np.int64)
+        follows = np.r_[False, z[1:] == z[:-1] + 1]          # begins where the one before it ends
+        before[follows] = hi[new[1:] - 1][follows[1:]]
+        ask = np.flatnonzero(~follows & (z > 0))
+        before[ask] = self.select_zero(z[ask] - 1) - (z[ask] - 1)
+        lo = before[of]
+        if begin is not None:
+            lo, hi = np.maximum(lo, begin[at]), np.minimum(hi, end[at])
         stop = hi.copy()
-        while True:
+        while True:                                          # the first that is not smaller
             open_ = np.flatnonzero(lo < hi)
             if not len(open_):
                 break
@@ -186,20 +224,81 @@ def decoded_counts(x: np.ndarray) -> np.ndarray:
     return np.where(x < 32768, x, 2.0 ** ((x - 32768) / 512))
 
 
+def sequence_arrays(name: str, seq: EliasFano) -> dict[str, np.ndarray]:
+    return {f"{name}_head": np.array([seq.n, seq.bits], np.int64), f"{name}_low": seq.low, f"{name}_high": seq.high,
+            f"{name}_zeros": seq.zeros}
+
+
+def sequence_of(name: str, arrays: dict[str, np.ndarray]) -> EliasFano:
+    n, bits = (int(x) for x in arrays[f"{name}_head"])
+    return EliasFano(n, bits, *(arrays[f"{name}_{part}"] for part in ("low", "high", "zeros")))
+
+
+def pointers(keys: np.ndarray, v: np.uint64) -> EliasFano:
+    """Where the successors of each context begin in sorted ``keys`` (context * v + word). The
+    context's number is added, so that equal pointers stay apart."""
+    of = keys // v
+    contexts = int(of[-1]) + 1 if len(keys) else 0
+    begin = np.searchsorted(of, np.arange(contexts + 1, dtype=np.uint64))
+    return EliasFano.build((begin + np.arange(contexts + 1)).astype(np.uint64))
+
+
 class Shard:
-    """A part of a level: keys, counts, and once smoothed the quantised logarithms."""
+    """A part of a level: successors, pointers, counts, and once smoothed the quantised logarithms."""
 
-    def __init__(self, keys_path: str, first: int, logs_path: str | None):
-        a = read_arrays(keys_path)
-        n, bits = (int(x) for x in a["head"])
+    def __init__(self, path: str, first: int, logs_path: str | None):
+        a = read_arrays(path)
         self.first, self.count = first, a["count"]
-        self.keys = EliasFano(n, bits, a["low"], a["high"], a["zeros"])
+        self.keys = sequence_of("keys", a)
+        self.begin = sequence_of("begin", a) if "begin_head" in a else None
         logs = read_arrays(logs_path) if logs_path else {}
         self.own, self.back = logs.get("own"), logs.get("back")
 
-
-def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
-    return (mix(keys) % np.uint64(shards)).astype(np.int64)
+    def range_of(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places where the successors of sorted contexts (numbers in the shard) begin and end."""
+        new, of = _steps(context)
+        last = self.begin.n - 1
+        one = np.minimum(context[new], last)
+        after = np.minimum(one + 1, last)
+        at = self.begin.at(np.r_[one, after]).astype(np.int64) - np.r_[one, after]
+        return at[:len(new)][of], at[len(new):][of]
+
+    def find(self, keys: np.ndarray, v: np.uint64) -> np.ndarray:
+        """Places of sorted keys, -1 where they are missing."""
+        if self.begin is None:
+            return self.keys.find(keys)
+        return self.keys.find(keys, *self.range_of((keys // v).astype(np.int64)))
+
+    def contexts(self) -> np.ndarray:
+        """The context (number in the shard) of each place."""
+        begin = self.begin.values().astype(np.int64) - np.arange(self.begin.n)
+        return np.repeat(np.arange(self.begin.n - 1), np.diff(begin))
+
+
+def dealt(model: dict, level: int, context: np.ndarray | None, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shard of each n-gram and its key there."""
+    if level == 1:
+        shards = np.uint64(model["shards"])
+        return ((word >> np.uint64(32)) * shards >> np.uint64(32)).astype(np.int64), word
+    cut_context, cut_word = model["cuts"][level]           # where each shard but the first begins
+    shard = np.searchsorted(cut_context, context, "right")
+    split = np.flatnonzero(np.r_[NONE, cut_context][shard] == context)
+    split = split[np.argsort(context[split], kind="stable")]
+    at, begin = np.unique(context[split], return_index=True)         # a shard begins at, or inside, each of these
+    for c, mine in zip(at, np.split(split, begin[1:])):
+        a, z = np.searchsorted(cut_context, c, "left"), np.searchsorted(cut_context, c, "right")
+        shard[mine] = a + np.searchsorted(cut_word[a:z], word[mine], "right")
+    first = np.r_[np.uint64(0), cut_context][shard]
+    return shard, (context - first) * np.uint64(model["v"]) + word
+
+
+def by_shard(shard: np.ndarray):
+    """(shard, its places) of each shard that occurs."""
+    order = np.argsort(shard.astype(np.uint16) if len(shard) and shard.max() < 1 << 16 else shard, kind="stable")
+    there = shard[order]
+    cut = np.flatnonzero(np.r_[True, there[1:] != there[:-1]]) if len(there) else np.empty(0, np.int64)
+    for a, z in zip(cut.tolist(), [*cut[1:].tolist(), len(there)]):
+        yield int(there[a]), order[a:z]
 
 
 class Trie:
@@ -215,20 +314,22 @@ class Trie:
             self.open[level, s] = Shard(*file) if file else None
         return self.open[level, s]
 
-    def look_up(self, level: int, keys: np.ndarray):
-        """Node number, own and back logarithms and (level 1) count of sorted distinct ``keys``."""
-        node = np.full(len(keys), NONE)
-        own, back = (np.zeros(len(keys), np.uint16) for _ in range(2))
-        count = np.zeros(len(keys), np.int64)
-        shards = len(self.model["levels"][level]["files"])
-        of = shard_of(keys, shards)
-        for s in range(shards):
-            part, mine = self.shard(level, s), np.flatnonzero(of == s)
-            if part is None or not len(mine):
+    def nodes(self, level: int, context: np.ndarray | None, word: np.ndarray):
+        """Node number, own and back logarithms and (level 1) count of n-grams; a context that is
+        NONE has no successor."""
+        node = np.full(len(word), NONE)
+        own, back = (np.zeros(len(word), np.uint16) for _ in range(2))
+        count = np.zeros(len(word), np.int64)
+        asked = np.arange(len(word)) if context is None else np.flatnonzero(context != NONE)
+        shard, key = dealt(self.model, level, None if context is None else context[asked], word[asked])
+        for s, mine in by_shard(shard):
+            part = self.shard(level, s)
+            if part is None:
                 continue
-            at = part.keys.find(keys[mine])
+            distinct, inverse = np.unique(key[mine], return_inverse=True)
+            at = part.find(distinct, np.uint64(self.model["v"]))[inverse]
             hit = at >= 0
-            mine, at = mine[hit], at[hit]
+            mine, at = asked[mine[hit]], at[hit]
             node[mine] = (at + part.first).astype(np.uint64)
             if part.own is not None:
                 own[mine] = part.own[at]
@@ -238,23 +339,16 @@ class Trie:
                 count[mine] = part.count[at]
         return node, own, back, count
 
-    def nodes(self, level: int, keys: np.ndarray):
-        """As :meth:`look_up`, for keys in any order; NONE is never found."""
-        distinct, inverse = np.unique(keys, return_inverse=True)
-        known = len(distinct) - bool(len(distinct) and distinct[-1] == NONE)
-        found = self.look_up(level, distinct[:known])
-        pad = len(distinct) - known
-        return [np.r_[f, np.full(pad, v, f.dtype)][inverse] for f, v in zip(found, (NONE, 0, 0, 0))]
-
     def counts(self, level: int, nodes: np.ndarray) -> np.ndarray:
         """Counts of nodes by their sorted numbers."""
         out = np.zeros(len(nodes))
-        for s in range(len(self.model["levels"][level]["files"])):
-            part = self.shard(level, s)
-            if part is not None:
-                a, z = np.searchsorted(nodes, np.array([part.first, part.first + part.keys.n], np.uint64))
-                c = part.count[(nodes[a:z] - np.uint64(part.first)).astype(np.int64)]
-                out[a:z] = c if level == 1 else decoded_counts(c)
+        files = self.model["levels"][level]["files"]
+        there = [s for s, f in enumerate(files) if f]
+        first = np.array([files[s][1] for s in there], np.uint64)
+        for i, mine in by_shard(np.searchsorted(first, nodes, "right") - 1):
+            part = self.shard(level, there[i])
+            c = part.count[(nodes[mine] - first[i]).astype(np.int64)]
+            out[mine] = c if level == 1 else decoded_counts(c)
         return out
 
 
@@ -282,24 +376,20 @@ def token_hashes(col) -> tuple[np.ndarray, np.ndarray]:
 
 
 def walk(trie: Trie, hashes: np.ndarray, row: np.ndarray, level: int):
-    """Yields (k, keys, values) of every token's n-gram for k = 1 .. ``level``.
+    """Yields (k, contexts, words, values) of every token's n-gram for k = 1 .. ``level``.
 
-    ``keys`` are NONE where the text is too short before the token or a part is not in the trie;
+    A context is NONE where the text is too short before the token or a part is not in the trie;
     ``values``: as :meth:`Trie.nodes`, None for a level that the trie does not have yet.
     """
     first = np.zeros(len(hashes), bool)
     first[row[:-1][row[:-1] < len(hashes)]] = True
-    levels = trie.model["levels"]
-    values = trie.nodes(1, hashes)
-    yield 1, hashes, values
+    values = trie.nodes(1, None, hashes)
+    yield 1, None, hashes, values
     word = node = values[0]
-    v = np.uint64(max(1, levels[1]["nodes"]))
     for k in range(2, level + 1):
-        context = np.r_[NONE, node[:-1]]
-        bad = first | (context == NONE) | (word == NONE)
-        keys = np.where(bad, NONE, context * v + word)
-        values = trie.nodes(k, keys) if k in levels else None
-        yield k, keys, values
+        context = np.where(first | (word == NONE), NONE, np.r_[NONE, node[:-1]])
+        values = trie.nodes(k, context, word) if k in trie.model["levels"] else None
+        yield k, context, word, values
         if values is None:
             return
         node = values[0]
@@ -327,31 +417,31 @@ def _merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[new], np.add.reduceat(counts.astype(np.int64), new) if len(new) else np.empty(0, np.int64)
 
 
-def counted(texts: DataFrame, level: int, shards: int, model: dict) -> DataFrame:
+def counted(texts: DataFrame, level: int, model: dict) -> DataFrame:
     """shard, n, blob: the n-grams of order ``level`` of each task, dealt to shards."""
     def run(batches):
         held, size = [], 0
 
         def emit():
-            keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            of = shard_of(keys, shards)
-            for s in range(shards):
-                mine = of == s
-                if mine.any():
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([s], pa.int32()), pa.array([int(mine.sum())], pa.int64()),
-                        pa.array([_pack(keys[mine], counts[mine])], pa.binary())], ["shard", "n", "blob"])
+            shard, key = (np.concatenate(x) for x in zip(*held))
+            for s, mine in by_shard(shard):
+                keys, counts = np.unique(key[mine], return_counts=True)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([s], pa.int32()), pa.array([len(keys)], pa.int64()),
+                    pa.array([_pack(keys, counts)], pa.binary())], ["shard", "n", "blob"])
 
         for batch in batches:
             col = batch.column(0)
             _, off = column_bytes(col)
-            for i, j in row_slices(off, 4 << 20):
-                keys, row = token_hashes(col.slice(i, j - i))
+            for i, j in row_slices(off, SLICE):
+                word, row = token_hashes(col.slice(i, j - i))
+                context = None
                 if level > 1:
-                    *_, (_, keys, _) = walk(trie_for(model), keys, row, level)
-                    keys = keys[keys != NONE]
-                held.append(keys)
-                size += len(keys)
+                    *_, (_, context, word, _) = walk(trie_for(model), word, row, level)
+                    there = context != NONE
+                    context, word = context[there], word[there]
+                held.append(dealt(model, level, context, word))
+                size += len(word)
                 if size >= HELD:
                     yield from emit()
                     held, size = [], 0
@@ -361,54 +451,61 @@ def counted(texts: DataFrame, level: int, shards: int, model: dict) -> DataFrame
     return map_arrow(texts, run, "shard int, n bigint, blob binary")
 
 
-BINS = 160                                    # of counts, four to a doubling
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-@contextlib.contextmanager
-def _shuffles_dropped(spark: SparkSession):
-    """Frames made meanwhile drop their shuffle files as soon as they have run."""
-    old = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, old)
+def cuts_of(counts: np.ndarray, tokens: int) -> tuple[list[int], list[int], list[int]]:
+    """Where shards of the next level begin among a shard's nodes as contexts, each with about
+    ``tokens`` occurrences: (node, j, pieces), j and pieces naming a part of a frequent node."""
+    before = np.cumsum(counts) - counts
+    node = np.flatnonzero(np.r_[True, np.diff(before // tokens) > 0]) if len(counts) else np.empty(0, np.int64)
+    many = np.flatnonzero(counts >= 2 * tokens)
+    pieces = -(-counts[many] // tokens)
+    out = [(int(i), 0, 1) for i in node]
+    out += [(int(i), j, int(k)) for i, k in zip(many, pieces) for j in range(1, int(k))]
+    out = sorted(out, key=lambda c: (c[0], c[1] / c[2]))
+    return tuple(map(list, zip(*out))) if out else ([], [], [])
 
 
-def _add_level(texts: DataFrame, level: int, shards: int, model: dict) -> dict:
+BINS = 160                                    # of counts, four to a doubling
+def _add_level(texts: DataFrame, level: int, model: dict) -> dict:
     """Count the n-grams of one order into the shared folder; describes the level."""
-    folder = model["folder"]
+    folder, tokens, v = model["folder"], model["shard_tokens"], np.uint64(model["v"])
 
     def merge(group: pa.Table) -> pa.Table:
         s = group["shard"][0].as_py()
         keys, counts = _merged(*(np.concatenate(x) for x in zip(*(
             _unpack(b.as_py(), n.as_py()) for b, n in zip(group["blob"], group["n"])))))
-        seq = EliasFano.build(keys)
-        path = write_arrays(folder, f"level-{level}-{s}", {
-            "head": np.array([seq.n, seq.bits], np.int64), "low": seq.low, "high": seq.high, "zeros": seq.zeros,
-            "count": counts if level == 1 else coded_counts(counts)})
+        arrays = sequence_arrays("keys", EliasFano.build(keys))
+        if level > 1:
+            arrays |= sequence_arrays("begin", pointers(keys, v))
+        path = write_arrays(folder, f"level-{level}-{s}", arrays | {"count": counts if level == 1 else coded_counts(counts)})
         b = np.minimum((np.log2(counts) * 4).astype(np.int64), BINS - 1)
+        cut_node, cut_part, cut_pieces = cuts_of(counts, tokens)
         return pa.table({"shard": pa.array([s], pa.int32()), "path": [path], "n": [len(keys)],
                          "total": [int(counts.sum())], "once": [int((counts == 1).sum())],
                          "bins": [np.bincount(b, minlength=BINS).tolist()],
-                         "sums": [np.bincount(b, counts.astype(np.float64), BINS).tolist()]})
-
-    with _shuffles_dropped(texts.sparkSession):                      # a level's, before the next is counted
-        done = counted(texts, level, shards, model).groupBy("shard").applyInArrow(
-            merge, "shard int, path string, n bigint, total bigint, once bigint, bins array<bigint>, sums array<double>")
-        rows = sorted(done.collect())                                # a row for each shard
+                         "sums": [np.bincount(b, counts.astype(np.float64), BINS).tolist()],
+                         "cut_node": pa.array([cut_node], pa.list_(pa.int64())),
+                         "cut_part": pa.array([cut_part], pa.list_(pa.int64())),
+                         "cut_pieces": pa.array([cut_pieces], pa.list_(pa.int64()))})
+
+    with shuffles_dropped(texts.sparkSession):                       # a level's, before the next is counted
+        done = counted(texts, level, model).groupBy("shard").applyInArrow(
+            merge, "shard int, path string, n bigint, total bigint, once bigint, bins array<bigint>, sums array<double>, "
+                   "cut_node array<bigint>, cut_part array<bigint>, cut_pieces array<bigint>")
+        rows = sorted(done.collect(), key=lambda r: r["shard"])      # a row for each shard
+    shards = model["shards"] if level == 1 else len(model["cuts"][level][0]) + 1
     out = {"nodes": sum(r["n"] for r in rows), "tokens": sum(r["total"] for r in rows),
            "once": sum(r["once"] for r in rows), "files": [None] * shards, "strength": None,
            "bins": np.sum([r["bins"] for r in rows] or [[0] * BINS], axis=0),
            "sums": np.sum([r["sums"] for r in rows] or [[0.0] * BINS], axis=0)}
-    first = 0
+    if level == 1:
+        model["v"] = max(1, out["nodes"])
+    first, cuts = 0, []
     for r in rows:
         out["files"][r["shard"]] = (r["path"], first, None)
+        cuts += [(first + c, model["v"] * j // k) for c, j, k in zip(r["cut_node"], r["cut_part"], r["cut_pieces"])]
         first += r["n"]
+    cuts = cuts[1:]                                                  # the first shard begins at the first context
+    model["cuts"][level + 1] = (np.array([c for c, _ in cuts], np.uint64), np.array([w for _, w in cuts], np.uint64))
     return out
 
 
@@ -428,7 +525,6 @@ def _smooth(spark: SparkSession, model: dict, level: int) -> None:
     """Write the quantised logarithms of a level's shards beside their keys."""
     here, above = model["levels"][level], model["levels"].get(level + 1)
     strength, next_strength = here["strength"], above["strength"] if above else None
-    v = np.uint64(max(1, model["levels"][1]["nodes"]))
     total, unknown, folder = here["tokens"], model["unknown"], model["folder"]
 
     def run(batches):
@@ -441,7 +537,8 @@ def _smooth(spark: SparkSession, model: dict, level: int) -> None:
                 if level == 1:
                     own = np.log10(c / total * (1 - unknown))
                 else:
-                    at, inverse = np.unique(part.keys.values() // v, return_inverse=True)
+                    start = model["cuts"][level][0][s - 1] if s else np.uint64(0)
+                    at, inverse = np.unique(part.contexts().astype(np.uint64) + start, return_inverse=True)
                     own = np.log10(c / (trie.counts(level - 1, at)[inverse] + strength))
                 back = quantised(np.log10(next_strength / (c + next_strength))) if above else np.empty(0, np.uint16)
                 done.append((s, write_arrays(folder, f"logs-{level}-{s}", {"own": quantised(own), "back": back})))
@@ -463,15 +560,13 @@ def learn_model(texts: DataFrame, order: int = ORDER, shard_tokens: int = SHARD_
     """The model of a one-column frame of texts: a description of its files."""
     spark = texts.sparkSession
     folder = scratch(spark, "lm")
-    model = {"name": "", "folder": folder, "order": order, "levels": {}, "unknown": 1.0}
     words = texts.select(F.coalesce(F.sum(F.length(texts.columns[0])), F.lit(0))).first()[0] // 6
-    shards = max(1, -(-words // shard_tokens))
+    model = {"name": "", "folder": folder, "order": order, "levels": {}, "unknown": 1.0, "v": 1, "cuts": {},
+             "shards": max(1, -(-words // shard_tokens)), "shard_tokens": shard_tokens}
     for level in range(1, order + 1):
-        model["levels"][level] = _add_level(texts, level, shards, model)
+        model["levels"][level] = _add_level(texts, level, model)
         model["name"] = f"{folder}/{level}"
         here = model["levels"][level]
-        if level < order and here["nodes"] * model["levels"][1]["nodes"] >= 1 << 63:
-            raise ValueError("keys of the next order would not fit 64 bits")
         if level == 1:
             model["unknown"] = (here["once"] + 1) / (here["tokens"] + 2) if here["tokens"] else 1.0
         else:
@@ -493,7 +588,7 @@ def score_rows(trie: Trie, col):
     n, v = one["tokens"], one["nodes"]
     hashes, row = token_hashes(col)
     before = None
-    for k, _, (node, own, back, count) in walk(trie, hashes, row, top):
+    for k, _, _, (node, own, back, count) in walk(trie, hashes, row, top):
         found = node != NONE
         ten = 10.0 ** (-UNIT * own.astype(np.float64))
         if k == 1:
@@ -523,7 +618,7 @@ def score_texts(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
         for batch in batches:
             col = batch.column(batch.schema.get_field_index(text))
             _, off = column_bytes(col)
-            parts = [score_rows(trie_for(model), col.slice(i, j - i)) for i, j in row_slices(off, 4 << 20)]
+            parts = [score_rows(trie_for(model), col.slice(i, j - i)) for i, j in row_slices(off, SLICE)]
             tokens, known, base, score = (np.concatenate(x) for x in zip(*parts)) if parts else [np.empty(0)] * 4
             whole = np.full(len(tokens), model["levels"][1]["tokens"])
             yield pa.RecordBatch.from_arrays(

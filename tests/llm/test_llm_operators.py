@@ -15,7 +15,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cellwatch.llm import (chat_format, decontaminate, html_extract, lm_score, mixing, near_dups, quality_rules,
+from cellwatch.llm import (chat_format, common, decontaminate, html_extract, lm_score, mixing, near_dups, quality_rules,
                            secrets_crf, token_counts, toxicity_cnn)
 
 WORDS = "the of and river stone cloud quick brown fox jumps over lazy dog while autumn winds carry red leaves".split()
@@ -218,6 +218,65 @@ def test_language_model_is_a_distribution_and_its_base_is_exact(spark, order):
     assert lm_score.score_texts(d, empty).agg(F.min("score")).first()[0] == 0.0
 
 
+@pytest.mark.parametrize("shard_tokens", [7, 60, 100_000])
+def test_scores_of_order_three_match_a_plain_model(spark, shard_tokens):
+    """However the trie is cut: shards of a few contexts, frequent contexts over several shards."""
+    rng = random.Random(44)
+    texts = [sentence(rng, rng.randrange(0, 40)) for _ in range(80)] + ["the the the " * 30, "the of " * 20, None, ""]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    model = lm_score.learn_model(d.where("doc_id % 4 != 0").select("text"), order=3, shard_tokens=shard_tokens)
+    split = lambda t: [*(t or "").lower().split(), None]
+    train = [split(t) for i, t in enumerate(texts) if i % 4]
+    grams = {k: Counter(tuple(w[i:i + k]) for w in train for i in range(len(w) - k + 1)) for k in (1, 2, 3)}
+    n = sum(grams[1].values())
+    for level in (1, 2, 3):
+        assert model["levels"][level]["nodes"] == len(grams[level])
+    if shard_tokens == 7:
+        hot = [c for c, _ in zip(*(x.tolist() for x in model["cuts"][2]))]
+        assert len(set(hot)) < len(hot) and len(model["levels"][3]["files"]) > 4
+    unknown = model["unknown"]
+
+    def p(context, w):
+        if not context:
+            return grams[1][w,] / n * (1 - unknown) if (w,) in grams[1] else unknown
+        k, shorter = len(context) + 1, p(context[1:], w)
+        c = grams[k - 1][context]
+        if not c:
+            return shorter
+        m = model["levels"][k]["strength"]
+        return (grams[k][(*context, w)] + m * shorter) / (c + m)
+
+    for r in lm_score.score_texts(d, model).collect():
+        w = split(texts[r["doc_id"]])
+        want = sum(math.log10(p(tuple(w[max(0, i - 2):i]), w[i])) for i in range(len(w)))
+        assert abs(r["score"] - want) <= 0.001 * len(w) + 1e-9
+
+
+def test_elias_fano_sequences():
+    rng = np.random.default_rng(9)
+    for top, n in ((10, 6), (1000, 900), (10 ** 6, 700), (2 ** 40, 3000), (2 ** 63, 500)):
+        v = np.unique(rng.integers(0, top, n, dtype=np.uint64))
+        e = lm_score.EliasFano.build(v)
+        assert (e.values() == v).all() and (e.at(np.arange(len(v))) == v).all()
+        asked = np.unique(np.r_[v[::2], rng.integers(0, top, 200, dtype=np.uint64)])
+        want = np.where(np.isin(asked, v), np.searchsorted(v, asked), -1)
+        assert (e.find(asked) == want).all()
+        lo, hi = np.sort(rng.integers(0, len(v) + 1, (2, len(asked))), axis=0)
+        assert (e.find(asked, lo, hi) == np.where((want >= lo) & (want < hi), want, -1)).all()
+
+
+def test_keys_do_not_depend_on_the_size_of_the_corpus():
+    """Contexts and words whose product passes 64 bits get small keys in their shard."""
+    v = 10 ** 12
+    model = {"v": v, "shards": 4, "cuts": {3: (np.array([5, 2 ** 62, 2 ** 62, 2 ** 62 + 9], np.uint64),
+                                               np.array([0, 0, v // 2, 0], np.uint64))}}
+    context = np.array([0, 5, 2 ** 62, 2 ** 62, 2 ** 62 + 8, 2 ** 62 + 9, 2 ** 62 + 10], np.uint64)
+    word = np.array([3, 0, 1, v - 1, 2, 0, 7], np.uint64)
+    shard, key = lm_score.dealt(model, 3, context, word)
+    assert shard.tolist() == [0, 1, 2, 3, 3, 4, 4]
+    assert key.tolist() == [3, 0, 1, v - 1, 8 * v + 2, 0, v + 7]
+
+
 def test_registered_scores_depend_on_two_words_before(spark, tmp_path):
     ids = {held: [i for i in range(900) if (zlib.crc32(str(i).encode()) % 10 == 0) == held] for held in (True, False)}
     texts = {i: ("a b c", "x b d")[n % 2] for n, i in enumerate(ids[False][:400])}
@@ -236,13 +295,13 @@ def test_a_level_drops_its_shuffle_before_the_next(spark):
     def shuffles():
         return {b.split("_")[1] for b in disk.getAllBlocks().mkString("\n").split() if b.startswith("shuffle_")}
 
-    old, before = spark.conf.get(lm_score.CLEANUP), shuffles()
+    old, before = spark.conf.get(common.CLEANUP), shuffles()
     d = spark.createDataFrame([(i, f"a{i % 7} b{i % 5} c") for i in range(50)], "doc_id bigint, text string")
     lm_score.learn_model(d.select("text"), order=3, shard_tokens=20)
     deadline = time.time() + 20
     while len(shuffles() - before) > 1 and time.time() < deadline:   # files go soon after; the length's sum has its own
         time.sleep(0.2)
-    assert len(shuffles() - before) <= 1 and spark.conf.get(lm_score.CLEANUP) == old
+    assert len(shuffles() - before) <= 1 and spark.conf.get(common.CLEANUP) == old
 
 
 # --- 5 toxicity ------------------------------------------------------------------------------
@@ -440,7 +499,7 @@ def test_open_lists_of_different_members_are_all_compared(spark):
     lists = spark.createDataFrame([(7, 3180, 9, 3180), (7, 4213, 9, 4213), (8, 3773, 9, 3773), (8, 4154, 9, 4154),
                                    (9, 3773, 9, 3773), (9, 4154, 9, 4154)], "value bigint, id bigint, n bigint, label bigint")
     active = lists.select("id", "n").distinct().withColumn("sketch", F.array(F.lit(1).cast("bigint")))
-    found = {(r["a"], r["b"]) for r in near_dups.remaining_pairs(lists, active).collect()}
+    found = {(r["a"], r["b"]) for r in near_dups.remaining_pairs(lists, active, None).collect()}
     assert found == {(3180, 4213), (3773, 4154)}
 
 

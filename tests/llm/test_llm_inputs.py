@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import time
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -102,6 +103,46 @@ def test_a_corpus_of_long_texts_is_learnt(spark):
     assert sum(said[i] == y for i, y in labels) >= 0.95 * len(labels)
 
 
+def test_every_labelled_row_teaches_by_its_whole_text(spark, monkeypatch):
+    """Counts, share and thresholds come from all words of all labelled rows, however they are dealt."""
+    monkeypatch.setattr(toxicity_cnn, "PART_BYTES", 1 << 16)
+    rng = random.Random(11)
+    rows = [(i, f"{t} {sentence(rng, 1500)}" if i % 20 == 1 else t, lang, y)
+            for i, (t, y, _) in enumerate(toxic_sample(700, 12)) for lang in ["en" if i % 3 else "de"]]
+    rows += [(1, "a second row of one id " * 3, "de", rows[1][3]), (2, None, "en", 1)]
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, r[3]) for i, r in enumerate(rows[:700])], "doc_id bigint, toxic int")
+    model = toxicity_cnn.fit(docs, labels)
+    taught = [r for r in rows if r[1] is not None and zlib.crc32(str(r[0]).encode()) % 5]
+    assert model.rate == sum(r[3] for r in taught) / len(taught)
+    counts = np.full((toxicity_cnn.LANGUAGE_BUCKETS, 2), 0.1)
+    for _, text, lang, _ in taught:
+        ids, _ = toxicity_cnn.word_buckets(pa.array([text]))
+        np.add.at(counts, (ids[:, 0] % toxicity_cnn.LANGUAGE_BUCKETS, int(lang == "en")), 1)
+    assert model.languages == ["de", "en"]
+    assert np.allclose(model.language_logs, np.log(counts / counts.sum(axis=0)), atol=1e-5)
+    said = {r["doc_id"]: r["predicted"] for r in toxicity_cnn.score_texts(docs.where("doc_id > 2"), model).collect()}
+    assert sum(said[r[0]] == r[3] for r in rows[3:700]) >= 0.95 * 697
+    again = toxicity_cnn.fit(docs, labels)
+    assert np.array_equal(model.embed, again.embed) and np.array_equal(model.shifts, again.shifts)
+
+
+def test_thresholds_count_every_held_back_row():
+    """A language's threshold is the cut that is best over all held-back rows, given one by one or counted."""
+    rng = np.random.default_rng(4)
+    y = rng.integers(0, 2, 5000)
+    z = np.rint(rng.normal(2 * y, 1) * toxicity_cnn.GRID).astype(np.int64)
+    one, counted = (toxicity_cnn.Classifier(*[None] * 4, 0.0, languages=["en"], shifts=np.zeros(1)) for _ in range(2))
+    toxicity_cnn.shift_by(one, np.zeros(5000), y, z, np.ones(5000))
+    cells, n = np.unique(np.stack([y, z]), axis=1, return_counts=True)
+    toxicity_cnn.shift_by(counted, np.zeros(len(n)), *cells, n)
+    cuts = np.unique(z)
+    wrong = [np.mean(z[y == 1] < c) + toxicity_cnn.CLEAN_WEIGHT * np.mean(z[y == 0] >= c)
+             for c in (cuts[1:] + cuts[:-1]) / 2]
+    best = (cuts[np.argmin(wrong)] + cuts[np.argmin(wrong) + 1]) / (2 * toxicity_cnn.GRID)
+    assert one.shifts[0] == counted.shifts[0] == pytest.approx(best * y.sum() / (y.sum() + toxicity_cnn.FEW))
+
+
 def test_scores_equal_a_plain_forward_pass():
     model = toxicity_cnn.learn(toxic_sample(200, 4))
     texts = [t for t, _, _ in toxic_sample(15, 5)] + ["one", "one two", "idiot"]

@@ -185,7 +185,10 @@ def shared_of_union(x, y, k: int):
 
 def links(pairs: DataFrame, active: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar; written to the shared folder."""
-    def beside(p: DataFrame, k: int) -> DataFrame:
+    def ends(p: DataFrame) -> DataFrame:
+        return p.select(F.col("a").alias("id")).union(p.select("b")).distinct()
+
+    def beside(p: DataFrame, k: int, active: DataFrame = active) -> DataFrame:
         """Pairs with sizes and sketches of ``k`` values of both."""
         few = active.select("id", "n", F.slice("sketch", 1, k).alias("s"))
         return p.select("a", "b").join(few.toDF("a", "na", "sa"), "a").join(few.toDF("b", "nb", "sb"), "b")
@@ -193,6 +196,7 @@ def links(pairs: DataFrame, active: DataFrame, sets: DataFrame) -> DataFrame:
     def similar(shared):
         return 100 * shared >= SIMILAR * (F.col("na") + F.col("nb") - shared)
 
+    pairs = written(pairs.select("a", "b"), "candidates")      # what found them goes before sketches move again
     tiny = beside(pairs, TINY)
     whole = (F.col("na") <= SKETCH) & (F.col("nb") <= SKETCH)
     # Of whole sets nothing linked goes: all that they do not share may be in the TINY smallest.
@@ -201,8 +205,9 @@ def links(pairs: DataFrame, active: DataFrame, sets: DataFrame) -> DataFrame:
     passed = F.when((F.col("na") <= TINY) & (F.col("nb") <= TINY), similar(F.size(F.array_intersect("sa", "sb")))
                     ).otherwise(shared_of_union("sa", "sb", TINY) >= F.when(whole, TINY - unshared).otherwise(LEAST_TINY))
     p = written(tiny.where(passed).select("a", "b"), "tiny-pairs")
+    drop_written(pairs)
     few = p
-    p = beside(p, SKETCH).withColumn("whole", whole)
+    p = beside(p, SKETCH, only(active, ends(p), "id")).withColumn("whole", whole)     # few of the sketches move
     passed = F.when(whole, similar(F.size(F.array_intersect("sa", "sb")))).otherwise(
         shared_of_union("sa", "sb", SKETCH) >= LEAST)
     p = written(p.where(passed).select("a", "b", "whole"), "pairs")
@@ -212,7 +217,7 @@ def links(pairs: DataFrame, active: DataFrame, sets: DataFrame) -> DataFrame:
         return known
     # A document with a whole sketch beside a longer one: its sketch is its full set.
     every = sets.unionByName(active.where(F.col("n") <= SKETCH).select("id", F.col("sketch").alias("set")))
-    every = only(every, rest.select(F.col("a").alias("id")).union(rest.select("b")).distinct(), "id")
+    every = only(every, ends(rest), "id")
     both = rest.join(every.toDF("a", "x"), "a").join(every.toDF("b", "y"), "b")
     both = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("s"),
                        F.size("x").alias("na"), F.size("y").alias("nb"))

@@ -235,3 +235,25 @@ def test_a_conversation_over_many_ranges_is_numbered_in_order(spark):
     for r in got:
         assert r["id"] == ids.get(r["conv_id"], 0) and r["parent"] == (r["id"] - 1 if r["id"] else None)
         ids[r["conv_id"]] = r["id"] + 1
+
+
+# --- 8 near duplicates -----------------------------------------------------------------------
+
+def test_only_the_sketches_of_pairs_are_moved(spark, monkeypatch):
+    """Of many documents in lists, whole sketches are joined for those that a pair still holds."""
+    base = list(range(1000, 1300))
+    sketch = [[*base[:150], *range(i * 10_000, i * 10_000 + 10)] for i in range(40)]
+    active = spark.createDataFrame([(i, 160, v if i < 2 else [x + i * 7_000 for x in v]) for i, v in enumerate(sketch)],
+                                   "id bigint, n bigint, sketch array<bigint>")
+    moved, only = [], near_dups.only
+
+    def seen(df, ids, on):
+        if "sketch" in df.columns:
+            moved.append({r[0] for r in ids.collect()})
+        return only(df, ids, on)
+
+    monkeypatch.setattr(near_dups, "only", seen)
+    pairs = spark.createDataFrame([(0, 1), (2, 3), (4, 5)], "a bigint, b bigint")
+    found = near_dups.links(pairs, active, spark.createDataFrame([], "id bigint, set array<bigint>"))
+    assert [tuple(r) for r in found.collect()] == [(0, 1)]
+    assert moved == [{0, 1, 2, 3, 4, 5}]

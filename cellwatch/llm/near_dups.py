@@ -9,8 +9,8 @@ sketch is its ``SKETCH`` smallest shingle hashes, or its whole set where that is
    sketches have make that a pigeonhole argument. The order comes from a fixed-size table of
    counts; any order gives the same result.) Values that very many documents share come last
    and are posted only by documents made of little else.
-   Lists of one member are dropped at once; sketches and full sets are kept on only for
-   documents in the lists that remain.
+   Lists of one member are dropped at once; sketches are kept on only for documents in the
+   lists that remain.
 3. Two rounds compare every member of a list with one member of it (the smallest id, then the
    smallest hash), which joins most groups without forming their pairs. What is left are
    lists with members in several components (of equal lists one): there, members outside the
@@ -21,7 +21,9 @@ sketch is its ``SKETCH`` smallest shingle hashes, or its whole set where that is
    overlap: first by ``TINY`` values, so that little is moved for the many pairs that share
    a passage, then by ``SKETCH`` (or, where both sketches are whole sets, by the similarity
    itself). It is a link if the exact Jaccard similarity of the full sets is ``SIMILAR`` percent
-   or more.
+   or more. Full sets are made anew from the texts that a round still asks for. Pairs with a
+   common neighbour are compared in one task, so that a sketch or set moves once for many
+   pairs: of the pairs inside a large family there may be as many as its square.
 5. Components by hooking to the smallest neighbour and jumping pointers. Labels are carried from
    round to round: a round's links join the components before it. Tables and shuffle files go
    as soon as what follows is written.
@@ -41,7 +43,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,6 +59,9 @@ LEAST_TINY = 10           # of them that linked documents share, at least
 ORDER_BITS = 17           # of the table of counts that orders values
 CHUNK = 2048              # members of a list compared at a time
 FEW = 12                  # members of a list that is joined with itself
+BLOCK = 1 << 20           # values of the sets, and
+MEMBERS = 1024            # documents, of one side that are compared at a time
+TASK = 1 << 18            # values that a task compares, where pairs are few
 SENT = 1_000_000          # values (8 bytes each) of ids sent to all executors at most; more rows are shuffled
 
 
@@ -174,7 +179,7 @@ def full_sets(docs: DataFrame, active: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(list(shingle_sets(batch.column(1))))],
                                              ["id", "set"])
 
-    return written(map_arrow(texts, run, schema), "full-sets")
+    return map_arrow(texts, run, schema)
 
 
 def shared_of_union(x, y, k: int):
@@ -183,21 +188,93 @@ def shared_of_union(x, y, k: int):
     return F.size(F.array_intersect(F.array_intersect(x, y), union)).cast("long")
 
 
-def links(pairs: DataFrame, active: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar; written to the shared folder."""
+def in_groups(pairs: DataFrame, members: DataFrame, sizes: DataFrame, compare, schema: str) -> DataFrame:
+    """``compare`` of pairs (a, b) and the rows of ``members`` (by id) that they name, group by group.
+
+    ``sizes``: id, k (values). Pairs go where the smallest neighbour of their ``a`` says, so the
+    members of a family meet in one group, or in blocks of at most ``BLOCK`` values and ``MEMBERS``
+    documents against each other; a member moves once to each group that holds a pair of it.
+    """
+    ends = pairs.select(F.col("a").alias("id"), F.col("b").alias("o")).union(pairs.select("b", "a"))
+    near = ends.groupBy(F.col("id").alias("a")).agg(F.min("o").alias("o")).select("a", F.least("a", "o").alias("key"))
+    keyed = written(pairs.select("a", "b").join(near, "a"), "keyed")
+    of_key = keyed.select("key", F.col("a").alias("id")).union(keyed.select("key", "b")).distinct().join(sizes, "id").groupBy(
+        "key").agg(F.greatest(F.ceil(F.count("*") / MEMBERS), F.ceil(F.sum("k") / BLOCK)).alias("parts"),
+                   F.sum("k").alias("k"), F.count("*").alias("m"))
+    of_key = written(of_key, "keys")
+    total = of_key.agg(F.sum("k"), F.sum("m")).first()
+    tasks = max(1, -(-int(total[0] or 0) // TASK), -(-int(total[1] or 0) // (8 * MEMBERS)))
+    large = F.col("parts") > 1
+    place = ["large", "place", "i", "j"]
+    at = written(keyed.join(of_key, "key").select(
+        large.alias("large"), F.when(large, F.col("key")).otherwise(F.pmod(F.xxhash64("key"), F.lit(tasks))).alias("place"),
+        F.pmod(F.xxhash64("a"), F.col("parts")).alias("i"), F.pmod(F.xxhash64("b"), F.col("parts")).alias("j"), "a", "b"),
+        "grouped-pairs")
+    drop_written(keyed)
+    drop_written(of_key)
+    to = [F.col(c).alias(f"to_{c}") for c in place]
+    moved = at.select(*to, F.col("a").alias("id")).union(at.select(*to, "b")).distinct().join(members, "id")
+    ship(pairs.sparkSession)
+
+    def run(p: pa.Table, m: pa.Table) -> pa.Table:
+        found = compare(p, m)
+        release_memory()
+        return found
+
+    out = written(at.groupBy(*place).cogroup(moved.groupBy(*[f"to_{c}" for c in place])).applyInArrow(run, schema), "compared")
+    drop_written(at)
+    return out
+
+
+def _similar_pairs(pairs: pa.Table, members: pa.Table, exact: bool) -> pa.Table:
+    """The pairs whose ``members`` (id, n, v) pass: sketches, or full sets (``exact``)."""
+    ids = members["id"].to_numpy()
+    order = np.argsort(ids, kind="stable")
+    lists = members["v"].combine_chunks()
+    v = lists.flatten().to_numpy()
+    starts = np.asarray(lists.offsets) - lists.offsets[0].as_py()
+    n = np.diff(starts) if exact else members["n"].to_numpy()
+    a, b = pairs["a"].to_numpy(), pairs["b"].to_numpy()
+    by_a = np.argsort(a, kind="stable")
+    a, b, ids = a[by_a], b[by_a], ids[order]
+    found, is_whole = np.zeros(len(a), bool), np.zeros(len(a), bool)
+    cuts = np.r_[0, np.flatnonzero(np.diff(a)) + 1, len(a)].tolist()
+    for lo, hi in zip(cuts[:-1], cuts[1:]):
+        # An id of several texts has several sets.
+        first, last = np.searchsorted(ids, b[lo:hi], "left"), np.searchsorted(ids, b[lo:hi], "right")
+        of = np.repeat(np.arange(hi - lo), last - first)
+        at = order[np.arange(len(of)) + np.repeat(first - np.r_[0, np.cumsum(last - first)[:-1]], last - first)]
+        if not len(at):
+            continue
+        others = [v[starts[j]:starts[j + 1]] for j in at.tolist()]
+        for i in order[np.searchsorted(ids, a[lo], "left"):np.searchsorted(ids, a[lo], "right")].tolist():
+            one = v[starts[i]:starts[i + 1]]
+            s = _shared_of_union(one, others, np.inf)
+            whole = exact | ((n[at] <= SKETCH) & (n[i] <= SKETCH))
+            ok = 100 * s >= SIMILAR * (n[at] + n[i] - s)
+            part = np.flatnonzero(~whole)
+            if len(part):
+                ok[part] = _shared_of_union(one, [others[j] for j in part.tolist()]) >= LEAST
+            found[lo + of[ok]] = True
+            is_whole[lo + of[ok & whole]] = True
+    out = {"a": a[found], "b": b[found]}
+    return pa.table(out if exact else out | {"whole": is_whole[found]})
+
+
+def links(pairs: DataFrame, active: DataFrame, sets) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar; written to the shared folder.
+
+    ``sets``: id, set of documents whose sketch is not the whole set, or what gives them for some of ``active``.
+    """
     def ends(p: DataFrame) -> DataFrame:
         return p.select(F.col("a").alias("id")).union(p.select("b")).distinct()
 
-    def beside(p: DataFrame, k: int, active: DataFrame = active) -> DataFrame:
-        """Pairs with sizes and sketches of ``k`` values of both."""
-        few = active.select("id", "n", F.slice("sketch", 1, k).alias("s"))
-        return p.select("a", "b").join(few.toDF("a", "na", "sa"), "a").join(few.toDF("b", "nb", "sb"), "b")
-
     def similar(shared):
         return 100 * shared >= SIMILAR * (F.col("na") + F.col("nb") - shared)
 
     pairs = written(pairs.select("a", "b"), "candidates")      # what found them goes before sketches move again
-    tiny = beside(pairs, TINY)
+    few = active.select("id", "n", F.slice("sketch", 1, TINY).alias("s"))
+    tiny = pairs.join(few.toDF("a", "na", "sa"), "a").join(few.toDF("b", "nb", "sb"), "b")
     whole = (F.col("na") <= SKETCH) & (F.col("nb") <= SKETCH)
     # Of whole sets nothing linked goes: all that they do not share may be in the TINY smallest.
     both = F.col("na") + F.col("nb")
@@ -207,22 +284,23 @@ def links(pairs: DataFrame, active: DataFrame, sets: DataFrame) -> DataFrame:
     p = written(tiny.where(passed).select("a", "b"), "tiny-pairs")
     drop_written(pairs)
     few = p
-    p = beside(p, SKETCH, only(active, ends(p), "id")).withColumn("whole", whole)     # few of the sketches move
-    passed = F.when(whole, similar(F.size(F.array_intersect("sa", "sb")))).otherwise(
-        shared_of_union("sa", "sb", SKETCH) >= LEAST)
-    p = written(p.where(passed).select("a", "b", "whole"), "pairs")
+    some = only(active, ends(p), "id").select("id", "n", F.col("sketch").alias("v"))            # few of the sketches move
+    p = in_groups(p, some, active.select("id", F.least("n", F.lit(SKETCH)).alias("k")),
+                  lambda x, m: _similar_pairs(x, m, False), "a bigint, b bigint, whole boolean")
     drop_written(few)
     known, rest = p.where("whole").select("a", "b"), p.where("NOT whole").select("a", "b")
     if rest.isEmpty():
         return known
     # A document with a whole sketch beside a longer one: its sketch is its full set.
-    every = sets.unionByName(active.where(F.col("n") <= SKETCH).select("id", F.col("sketch").alias("set")))
-    every = only(every, ends(rest), "id")
-    both = rest.join(every.toDF("a", "x"), "a").join(every.toDF("b", "y"), "b")
-    both = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("s"),
-                       F.size("x").alias("na"), F.size("y").alias("nb"))
-    found = written(known.union(both.where(similar(F.col("s").cast("long"))).select("a", "b")), "links")
+    asked = only(active.select("id", "n"), ends(rest), "id")
+    short = only(active.where(F.col("n") <= SKETCH), ends(rest), "id")
+    every = (sets(asked) if callable(sets) else sets).select("id", F.col("set").alias("v")).union(
+        short.select("id", F.col("sketch").alias("v")))
+    exact = in_groups(rest, every, active.select("id", F.col("n").alias("k")),
+                      lambda x, m: _similar_pairs(x, m, True), "a bigint, b bigint")
+    found = written(known.union(exact), "links")
     drop_written(p)
+    drop_written(exact)
     return found
 
 
@@ -291,7 +369,7 @@ def remaining_pairs(lists: DataFrame, active: DataFrame, counts) -> DataFrame:
         F.min(F.struct("value", "top.label", "top.k")).alias("v")).select(
         F.col("v.value").alias("value"), "m", F.col("v.label").alias("most"),
         (F.col("m") - F.col("v.k")).alias("others")), "open-lists")
-    d = lists.join(stats, "value")
+    d = written(lists.join(stats, "value"), "open-members")
     few = d.where(F.col("m") <= FEW).select("value", "id", "n", "label")
     other = few.select("value", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
     pairs = few.join(other, "value").where((F.col("id") < F.col("id2")) & (F.col("label") != F.col("label2"))
@@ -308,7 +386,8 @@ def remaining_pairs(lists: DataFrame, active: DataFrame, counts) -> DataFrame:
     loose = d.where(F.col("label") != F.col("most")).select(
         "value", "id", "n", "label", F.lit(True).alias("loose"),
         F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), block.alias("block"))
-    d = asked.unionByName(loose).join(active.select("id", "sketch"), "id")
+    some = only(active.select("id", "sketch"), d.select("id").distinct(), "id")
+    d = asked.unionByName(loose).join(some, "id")
     ship(lists.sparkSession)
 
     def compare(group: pa.Table) -> pa.Table:
@@ -319,7 +398,7 @@ def remaining_pairs(lists: DataFrame, active: DataFrame, counts) -> DataFrame:
     return pairs.union(d.groupBy("value", "block", "chunk").applyInArrow(compare, "a bigint, b bigint")).distinct()
 
 
-def _shared_of_union(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+def _shared_of_union(one: np.ndarray, others: list[np.ndarray], k: float = SKETCH) -> np.ndarray:
     """As :func:`shared_of_union`, of a sketch with each of some others."""
     sizes = np.fromiter(map(len, others), np.int64, len(others))
     flat = np.concatenate(others)
@@ -329,7 +408,7 @@ def _shared_of_union(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
     both = one[at] == flat
     before = np.cumsum(both) - both                          # shared values before each one, over all
     rank = at + (np.arange(len(flat)) - begin[of]) - (before - before[begin][of])
-    return np.bincount(of[both & (rank < SKETCH)], minlength=len(others))
+    return np.bincount(of[both & (rank < k)], minlength=len(others))
 
 
 def _compare(group: pa.Table, counts: np.ndarray) -> pa.Table:
@@ -402,22 +481,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def _near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    wide = written(sketches(docs), "sketches")
-    own = written(wide.drop("sketch"), "sets")
-    classes = written(own.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("n_shingles", "c1", "c2").agg(
-        F.min("doc_id").alias("id")), "classes")
-    same = ["doc_id", "n_shingles", "c1", "c2"]
-    first = only(wide, classes.withColumnRenamed("id", "doc_id"), same).select(
-        F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch")
+    wide = written(sketches(docs).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    own = written(wide.drop("sketch", "row"), "sets")
+    known = wide.where("n_shingles > 0 AND doc_id IS NOT NULL").drop("sketch")
+    classes = written(known.groupBy("n_shingles", "c1", "c2").agg(
+        F.min("doc_id").alias("id"), F.min_by("row", "doc_id").alias("row")), "classes")
+    first = only(wide, classes.select("row"), "row").select(
+        "row", F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch")
     counts = docs.sparkSession.sparkContext.broadcast(value_counts(first))
-    posted_ = postings(first, counts)
-    common = written(posted_.groupBy("value").agg(F.count("*").alias("m")).where("m > 1").select("value"),
-                     "shared-values")
-    lists = written(posted_.join(common, "value", "left_semi").distinct(), "lists")
-    drop_written(common)
-    active = written(only(first, lists.select("id").distinct(), "id").dropDuplicates(["id"]), "active")
+    of_value = Window.partitionBy("value")                 # one shuffle tells and keeps the lists of several
+    lists = written(postings(first, counts).withColumns(
+        {"lo": F.min("id").over(of_value), "hi": F.max("id").over(of_value)}).where("lo < hi").select(
+        "value", "id", "n").distinct(), "lists")
+    # One text for each id, by its row: no sketch has to move for that.
+    one = classes.groupBy("id").agg(F.min("row").alias("row"))
+    active = written(only(first, lists.select("id").distinct().join(one, "id").select("row"), "row").drop("row"), "active")
     drop_written(wide)
-    sets = full_sets(docs, active)
+
+    def sets(some: DataFrame) -> DataFrame:
+        return full_sets(docs, some)
+
     label = None
     for round_ in ("id", "hash", "rest"):
         labelled = lists.withColumn("label", F.col("id")) if label is None else _labelled(lists, label)
@@ -430,7 +513,7 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
         drop_written(found)
         if before is not None:
             drop_written(labelled)
-    for done in (lists, active, sets):
+    for done in (lists, active):
         drop_written(done)
     component = label
     member = classes.join(component, "id", "left").select(

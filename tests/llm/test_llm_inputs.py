@@ -257,3 +257,50 @@ def test_only_the_sketches_of_pairs_are_moved(spark, monkeypatch):
     found = near_dups.links(pairs, active, spark.createDataFrame([], "id bigint, set array<bigint>"))
     assert [tuple(r) for r in found.collect()] == [(0, 1)]
     assert moved == [{0, 1, 2, 3, 4, 5}]
+
+
+def test_a_family_of_pairs_moves_each_member_once(spark, monkeypatch):
+    import pyarrow as pa
+    ids = list(range(30))
+    pairs = spark.createDataFrame([(a, b) for a in ids for b in ids if a < b], "a bigint, b bigint")
+    members = spark.createDataFrame([(i, 5) for i in ids], "id bigint, n bigint")
+
+    def sizes(p, m):
+        return pa.table({"pairs": [p.num_rows], "members": [m.num_rows]})
+
+    def groups():
+        return [tuple(r) for r in near_dups.in_groups(pairs, members, members.toDF("id", "k"), sizes,
+                                                      "pairs bigint, members bigint").collect()]
+
+    assert groups() == [(435, 30)]
+    monkeypatch.setattr(near_dups, "MEMBERS", 10)          # three blocks of the family against each other
+    found = groups()
+    assert sum(p for p, _ in found) == 435 and 1 < len(found) <= 9 and sum(m for _, m in found) <= 30 * 6
+
+
+def test_full_sets_are_made_for_open_pairs_only(spark, monkeypatch):
+    """Texts that only share a passage are in lists, but no pair of them asks for a full set; a family is
+    linked alike in blocks."""
+    rng = random.Random(12)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    base, passage = words(400), words(80)
+    family = []
+    for _ in range(8):
+        w = list(base)
+        for _ in range(5):
+            w[rng.randrange(len(w))] = f"e{rng.randrange(10**6)}"
+        family.append(w)
+    others = [words(250) + passage for _ in range(8)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(family + others)], "doc_id bigint, text string")
+    asked, full_sets = set(), near_dups.full_sets
+
+    def seen(docs, active):
+        asked.update(r["id"] for r in active.select("id").collect())
+        return full_sets(docs, active)
+
+    monkeypatch.setattr(near_dups, "full_sets", seen)
+    for members in (near_dups.MEMBERS, 3):
+        monkeypatch.setattr(near_dups, "MEMBERS", members)
+        found = {r["doc_id"]: r["component_id"] for r in near_dups.near_duplicates(docs).collect()}
+        assert found == {i: 0 if i < 8 else i for i in range(16)}
+    assert asked == set(range(8))

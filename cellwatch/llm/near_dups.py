@@ -63,6 +63,7 @@ BLOCK = 1 << 20           # values of the sets, and
 MEMBERS = 1024            # documents, of one side that are compared at a time
 TASK = 1 << 18            # values that a task compares, where pairs are few
 SENT = 1_000_000          # values (8 bytes each) of ids sent to all executors at most; more rows are shuffled
+ROWS = 1 << 17            # rows of a few numbers that one partition holds; more rows are dealt out
 
 
 def shingle_sets(col):
@@ -168,6 +169,23 @@ def only(df: DataFrame, ids: DataFrame, on) -> DataFrame:
     return df.join(F.broadcast(ids) if ids.count() * len(ids.columns) <= SENT else ids, on, "left_semi")
 
 
+def together(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of at most ``rows`` rows of a few numbers: up to ``ROWS`` in one partition, and so without further
+    shuffles, since dealing them out takes longer than the work on them. More rows stay as they are."""
+    return df.repartition(1) if rows <= ROWS else df
+
+
+def sent(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of at most ``rows`` rows, for a join: what is joined with it has to be shuffled only for many."""
+    return F.broadcast(df) if rows * len(df.columns) <= SENT else df
+
+
+def both_ways(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """Each pair (a, b) and its reverse, with columns of the names ``a`` and ``b``."""
+    return pairs.select(F.inline(F.array(F.struct(F.col("a").alias(a), F.col("b").alias(b)),
+                                         F.struct(F.col("b").alias(a), F.col("a").alias(b)))))
+
+
 def full_sets(docs: DataFrame, active: DataFrame) -> DataFrame:
     """id, set of the active documents whose sketch is not the whole set."""
     need = active.where(F.col("n") > SKETCH).select(F.col("id").alias("doc_id"))
@@ -195,25 +213,29 @@ def in_groups(pairs: DataFrame, members: DataFrame, sizes: DataFrame, compare, s
     members of a family meet in one group, or in blocks of at most ``BLOCK`` values and ``MEMBERS``
     documents against each other; a member moves once to each group that holds a pair of it.
     """
-    ends = pairs.select(F.col("a").alias("id"), F.col("b").alias("o")).union(pairs.select("b", "a"))
-    near = ends.groupBy(F.col("id").alias("a")).agg(F.min("o").alias("o")).select("a", F.least("a", "o").alias("key"))
-    keyed = written(pairs.select("a", "b").join(near, "a"), "keyed")
-    of_key = keyed.select("key", F.col("a").alias("id")).union(keyed.select("key", "b")).distinct().join(sizes, "id").groupBy(
-        "key").agg(F.greatest(F.ceil(F.count("*") / MEMBERS), F.ceil(F.sum("k") / BLOCK)).alias("parts"),
-                   F.sum("k").alias("k"), F.count("*").alias("m"))
+    rows = pairs.count()
+    pairs = together(pairs.select("a", "b"), rows)
+    near = together(both_ways(pairs, "id", "o"), 2 * rows).groupBy(F.col("id").alias("a")).agg(F.min("o").alias("o")).select(
+        "a", F.least("a", "o").alias("key"))
+    keyed = written(pairs.join(near, "a"), "keyed")
+    ids = together(keyed.select("key", F.explode(F.array("a", "b")).alias("id")), 2 * rows).distinct()
+    of_key = together(sent(ids, 2 * rows).join(sizes, "id"), 2 * rows).groupBy("key").agg(
+        F.greatest(F.ceil(F.count("*") / MEMBERS), F.ceil(F.sum("k") / BLOCK)).alias("parts"),
+        F.sum("k").alias("k"), F.count("*").alias("m"))
     of_key = written(of_key, "keys")
-    total = of_key.agg(F.sum("k"), F.sum("m")).first()
+    total = of_key.agg(F.sum("k"), F.sum("m"), F.max("parts")).first()
     tasks = max(1, -(-int(total[0] or 0) // TASK), -(-int(total[1] or 0) // (8 * MEMBERS)))
     large = F.col("parts") > 1
     place = ["large", "place", "i", "j"]
-    at = written(keyed.join(of_key, "key").select(
+    at = written(together(keyed, rows).join(together(of_key, rows), "key").select(
         large.alias("large"), F.when(large, F.col("key")).otherwise(F.pmod(F.xxhash64("key"), F.lit(tasks))).alias("place"),
         F.pmod(F.xxhash64("a"), F.col("parts")).alias("i"), F.pmod(F.xxhash64("b"), F.col("parts")).alias("j"), "a", "b"),
         "grouped-pairs")
     drop_written(keyed)
     drop_written(of_key)
     to = [F.col(c).alias(f"to_{c}") for c in place]
-    moved = at.select(*to, F.col("a").alias("id")).union(at.select(*to, "b")).distinct().join(members, "id")
+    moved = together(at.select(*to, F.explode(F.array("a", "b")).alias("id")), 2 * rows).distinct()
+    moved = sent(moved, 2 * rows).join(members, "id")
     ship(pairs.sparkSession)
 
     def run(p: pa.Table, m: pa.Table) -> pa.Table:
@@ -221,7 +243,10 @@ def in_groups(pairs: DataFrame, members: DataFrame, sizes: DataFrame, compare, s
         release_memory()
         return found
 
-    out = written(at.groupBy(*place).cogroup(moved.groupBy(*[f"to_{c}" for c in place])).applyInArrow(run, schema), "compared")
+    out = at.groupBy(*place).cogroup(moved.groupBy(*[f"to_{c}" for c in place])).applyInArrow(run, schema)
+    if (total[2] or 0) <= 1:                               # as many groups as ``tasks``: no more partitions than that need
+        out = out.coalesce(2 * tasks)
+    out = written(out, "compared")
     drop_written(at)
     return out
 
@@ -266,8 +291,8 @@ def links(pairs: DataFrame, active: DataFrame, sets) -> DataFrame:
 
     ``sets``: id, set of documents whose sketch is not the whole set, or what gives them for some of ``active``.
     """
-    def ends(p: DataFrame) -> DataFrame:
-        return p.select(F.col("a").alias("id")).union(p.select("b")).distinct()
+    def ends(p: DataFrame, rows: int) -> DataFrame:
+        return written(together(p.select(F.explode(F.array("a", "b")).alias("id")), 2 * rows).distinct(), "ends")
 
     def similar(shared):
         return 100 * shared >= SIMILAR * (F.col("na") + F.col("nb") - shared)
@@ -283,38 +308,46 @@ def links(pairs: DataFrame, active: DataFrame, sets) -> DataFrame:
                     ).otherwise(shared_of_union("sa", "sb", TINY) >= F.when(whole, TINY - unshared).otherwise(LEAST_TINY))
     p = written(tiny.where(passed).select("a", "b"), "tiny-pairs")
     drop_written(pairs)
-    few = p
-    some = only(active, ends(p), "id").select("id", "n", F.col("sketch").alias("v"))            # few of the sketches move
+    few, rows = p, p.count()
+    ids = ends(p, rows)
+    some = only(active, ids, "id").select("id", "n", F.col("sketch").alias("v"))            # few of the sketches move
     p = in_groups(p, some, active.select("id", F.least("n", F.lit(SKETCH)).alias("k")),
                   lambda x, m: _similar_pairs(x, m, False), "a bigint, b bigint, whole boolean")
     drop_written(few)
+    drop_written(ids)
     known, rest = p.where("whole").select("a", "b"), p.where("NOT whole").select("a", "b")
-    if rest.isEmpty():
+    n_rest = rest.count()
+    if not n_rest:
         return known
     # A document with a whole sketch beside a longer one: its sketch is its full set.
-    asked = only(active.select("id", "n"), ends(rest), "id")
-    short = only(active.where(F.col("n") <= SKETCH), ends(rest), "id")
+    ids = ends(rest, n_rest)
+    asked = written(together(only(active.select("id", "n"), ids, "id"), 2 * n_rest), "asked")
+    short = only(active.where(F.col("n") <= SKETCH), ids, "id")
     every = (sets(asked) if callable(sets) else sets).select("id", F.col("set").alias("v")).union(
         short.select("id", F.col("sketch").alias("v")))
     exact = in_groups(rest, every, active.select("id", F.col("n").alias("k")),
                       lambda x, m: _similar_pairs(x, m, True), "a bigint, b bigint")
-    found = written(known.union(exact), "links")
-    drop_written(p)
-    drop_written(exact)
+    found = written(together(known.union(exact), rows), "links")
+    for done in (p, exact, ids, asked):
+        drop_written(done)
     return found
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """id, component (smallest id) of every id in ``edges`` (a, b)."""
-    both = written(edges.union(edges.select("b", "a")).distinct(), "edges")
-    label = written(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component"),
-                                                             F.lit(True).alias("changed")), "components")
+def components(edges: DataFrame, rows: int) -> DataFrame:
+    """id, component (smallest id) of every id in ``edges`` (a, b), at most ``rows`` of them."""
+    def one(df: DataFrame) -> DataFrame:
+        return together(df, 2 * rows)
+
+    both = written(one(both_ways(edges, "a", "b")).distinct(), "edges")
+    label = written(one(both).groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component"),
+                                                                  F.lit(True).alias("changed")), "components")
     while True:
         # The smallest label next to each id, then the label of that label.
-        near = both.join(label.select(F.col("id").alias("b"), F.col("component").alias("c")), "b").groupBy(
+        old = one(label)
+        near = one(both).join(old.select(F.col("id").alias("b"), F.col("component").alias("c")), "b").groupBy(
             F.col("a").alias("id")).agg(F.min("c").alias("c"))
-        new = label.join(near, "id").select("id", F.least("component", "c").alias("up"), "component")
-        far = label.select(F.col("id").alias("up"), F.col("component").alias("c"))
+        new = old.join(near, "id").select("id", F.least("component", "c").alias("up"), "component")
+        far = old.select(F.col("id").alias("up"), F.col("component").alias("c"))
         up = F.least("up", F.coalesce("c", "up"))
         new = written(new.join(far, "up", "left").select(
             "id", up.alias("component"), (F.col("component") != up).alias("changed")), "components")
@@ -327,22 +360,25 @@ def components(edges: DataFrame) -> DataFrame:
 
 def joined(label: DataFrame | None, edges: DataFrame) -> DataFrame:
     """``label`` (id, component) after the links ``edges`` (a, b) join components of it."""
+    rows = edges.count()
     if label is None:
-        return components(edges)
-    of = lambda x: label.select(F.col("id").alias(x), F.col("component").alias(f"c{x}"))
-    ends = edges.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        return components(edges, rows)
+    old = together(label, label.count())
+    of = lambda x: old.select(F.col("id").alias(x), F.col("component").alias(f"c{x}"))
+    ends = together(edges, rows).join(of("a"), "a", "left").join(of("b"), "b", "left").select(
         F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b").distinct()
-    merged = components(ends)
-    up = merged.select(F.col("id").alias("component"), F.col("component").alias("up"))
-    known = label.join(up, "component", "left").select("id", F.coalesce("up", "component").alias("component"))
-    out = written(known.unionByName(merged.join(label.select("id"), "id", "left_anti")), "labels")
+    merged = components(ends, rows)
+    new = together(merged, 2 * rows)
+    up = new.select(F.col("id").alias("component"), F.col("component").alias("up"))
+    known = old.join(up, "component", "left").select("id", F.coalesce("up", "component").alias("component"))
+    out = written(known.unionByName(new.join(old.select("id"), "id", "left_anti")), "labels")
     drop_written(merged)
     drop_written(label)
     return out
 
 
 def _labelled(lists: DataFrame, label: DataFrame) -> DataFrame:
-    return written(lists.join(label, "id", "left").withColumn(
+    return written(lists.join(sent(label, label.count()), "id", "left").withColumn(
         "label", F.coalesce("component", "id")).drop("component"), "labelled")
 
 
@@ -369,7 +405,7 @@ def remaining_pairs(lists: DataFrame, active: DataFrame, counts) -> DataFrame:
         F.min(F.struct("value", "top.label", "top.k")).alias("v")).select(
         F.col("v.value").alias("value"), "m", F.col("v.label").alias("most"),
         (F.col("m") - F.col("v.k")).alias("others")), "open-lists")
-    d = written(lists.join(stats, "value"), "open-members")
+    d = written(lists.join(sent(stats, stats.count()), "value"), "open-members")
     few = d.where(F.col("m") <= FEW).select("value", "id", "n", "label")
     other = few.select("value", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
     pairs = few.join(other, "value").where((F.col("id") < F.col("id2")) & (F.col("label") != F.col("label2"))
@@ -386,7 +422,8 @@ def remaining_pairs(lists: DataFrame, active: DataFrame, counts) -> DataFrame:
     loose = d.where(F.col("label") != F.col("most")).select(
         "value", "id", "n", "label", F.lit(True).alias("loose"),
         F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), block.alias("block"))
-    some = only(active.select("id", "sketch"), d.select("id").distinct(), "id")
+    ids = written(together(d.select("id"), d.count()).distinct(), "open-ids")
+    some = only(active.select("id", "sketch"), ids, "id")
     d = asked.unionByName(loose).join(some, "id")
     ship(lists.sparkSession)
 

@@ -278,6 +278,49 @@ def test_a_family_of_pairs_moves_each_member_once(spark, monkeypatch):
     assert sum(p for p, _ in found) == 435 and 1 < len(found) <= 9 and sum(m for _, m in found) <= 30 * 6
 
 
+def test_few_links_are_not_dealt_to_every_partition(spark):
+    """The steps on a few pairs and links take a few tasks, however many partitions a shuffle has."""
+    sketch = [*range(1000, 1160)]
+    active = spark.createDataFrame([(i, 160, sketch) for i in range(6)], "id bigint, n bigint, sketch array<bigint>")
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(5)], "a bigint, b bigint")
+    settings = {"spark.sql.shuffle.partitions": "101", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    sc = spark.sparkContext
+    sc.setJobGroup("few-links", "")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = near_dups.links(pairs, active, spark.createDataFrame([], "id bigint, set array<bigint>"))
+        label = near_dups.joined(None, found)
+        label = near_dups.joined(label, spark.createDataFrame([(5, 9)], "a bigint, b bigint"))
+        assert {tuple(r) for r in label.collect()} == {*((i, 0) for i in range(6)), (9, 0)}
+        status = sc.statusTracker()
+        stages = {s for j in status.getJobIdsForGroup("few-links") for s in status.getJobInfo(j).stageIds}
+        infos = [i for i in map(status.getStageInfo, stages) if i]
+        assert sum(i.numTasks >= 101 and i.numCompletedTasks > 0 for i in infos) <= 4      # one number of tasks per shuffle of sketches
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_many_links_give_the_components_of_few(spark, monkeypatch):
+    """Pairs beyond the sizes that one partition holds or all executors get are dealt out, with the same result."""
+    rng = random.Random(5)
+    family = [[f"w{rng.randrange(10**6)}" for _ in range(300)] for _ in range(3)]
+    docs = []
+    for i in range(24):
+        w = list(family[i % 3])
+        w[rng.randrange(300)] = f"e{i}"
+        docs.append((i, " ".join(w)))
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string")
+    expected = {i: i % 3 for i in range(24)}
+    for rows, sent in ((near_dups.ROWS, near_dups.SENT), (0, 0)):
+        monkeypatch.setattr(near_dups, "ROWS", rows)
+        monkeypatch.setattr(near_dups, "SENT", sent)
+        assert {r["doc_id"]: r["component_id"] for r in near_dups.near_duplicates(docs).collect()} == expected
+
+
 def test_full_sets_are_made_for_open_pairs_only(spark, monkeypatch):
     """Texts that only share a passage are in lists, but no pair of them asks for a full set; a family is
     linked alike in blocks."""

@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import extended, map_arrow, private, row_key, table, written
+from .common import extended, map_arrow, private, release_driver_memory, row_key, table, written
 from .textvec import ALNUM, Words, column_bytes, grams, row_slices
 
 WINDOW = 10               # words of a window
@@ -187,6 +187,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, drop:
                                     F.lit(0).cast("long").alias("at")).limit(0), "hit-windows")
     else:
         hits = written(hit_windows(texts, found, lengths).distinct(), "hit-windows")
+    release_driver_memory(docs.sparkSession)
     # Words inside any hit window: each window adds what reaches past the ones before it.
     spans = hits.select("doc_id", "_k", "at", (F.col("at") + F.col("length")).alias("end")).groupBy(
         "doc_id", "_k", "at").agg(F.max("end").alias("end"))

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import SPACE_WORD, drop_written, table, written
+from .common import SPACE_WORD, drop_written, release_driver_memory, table, written
 
 WEIGHTS = (1, 2, 3)        # of the sources in order, repeating
 MAX_EPOCHS = 3
@@ -184,6 +184,7 @@ def plan_mix(docs: DataFrame, seed: int = 0, block_words: int = BLOCK_WORDS,
               .withColumn("last", F.greatest(F.lit(0), F.least("words", F.col("rest") - F.col("before"))))
               .drop("gb", "group", "before"))
     blocks = written(blocks, "mix-read-blocks")
+    release_driver_memory(docs.sparkSession)
     # Draws of a source: epoch after epoch, its blocks in order of their number.
     drawn = blocks.select(
         "src", "block", F.explode(F.sequence(F.lit(0), F.col("whole").cast("int"))).alias("epoch"),

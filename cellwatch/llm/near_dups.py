@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop_written, map_arrow, release_memory, ship, shuffles_dropped, table, written
+from .common import drop_written, map_arrow, release_driver_memory, release_memory, ship, shuffles_dropped, table, written
 from .textvec import SPACED, Words, column_bytes, grams, mix, row_slices
 
 SHINGLE = 5               # words
@@ -248,6 +248,7 @@ def in_groups(pairs: DataFrame, members: DataFrame, sizes: DataFrame, compare, s
         out = out.coalesce(2 * tasks)
     out = written(out, "compared")
     drop_written(at)
+    release_driver_memory(pairs.sparkSession)
     return out
 
 
@@ -534,6 +535,7 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     one = classes.groupBy("id").agg(F.min("row").alias("row"))
     active = written(only(first, lists.select("id").distinct().join(one, "id").select("row"), "row").drop("row"), "active")
     drop_written(wide)
+    release_driver_memory(docs.sparkSession)
 
     def sets(some: DataFrame) -> DataFrame:
         return full_sets(docs, some)
@@ -550,6 +552,7 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
         drop_written(found)
         if before is not None:
             drop_written(labelled)
+        release_driver_memory(docs.sparkSession)           # after dozens of short jobs
     for done in (lists, active):
         drop_written(done)
     component = label

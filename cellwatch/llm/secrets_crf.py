@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop_written, extended, map_arrow, release_memory, table, written
+from .common import drop_written, extended, map_arrow, release_driver_memory, release_memory, table, written
 from .textvec import SPACED_CASED, Words, column_bytes, row_slices
 
 KINDS = ("assign", "access", "hex")
@@ -327,6 +327,7 @@ def learn_field(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) ->
     drop_written(hashes)
     few = docs.sparkSession.createDataFrame([(h,) for h in chosen], "h bigint")          # ``rows`` at most
     numbers, tags = training_windows(d.join(F.broadcast(few), "h").groupBy("h").agg(F.min("t").alias("t")))
+    release_driver_memory(docs.sparkSession)               # the fit's own arrays come on top
     field = fit_field(numbers, tags) if (tags == B).any() else None
     del numbers, tags
     release_memory()

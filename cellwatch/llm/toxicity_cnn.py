@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop_written, extended, id_bucket, map_arrow, release_memory, shuffles_dropped, table, written
+from .common import drop_written, extended, id_bucket, map_arrow, release_driver_memory, shuffles_dropped, table, written
 from .textvec import ALNUM, Words, column_bytes, row_slices
 
 BUCKETS = 1 << 15         # rows of the embedding table; numbers fit 16 bits
@@ -521,7 +521,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
         guess_by(model, *summed_languages(words))
         shift_by(model, *counted_odds(words, model))
         drop_written(words)
-    release_memory()
+    release_driver_memory(docs.sparkSession)
     return model
 
 

@@ -12,8 +12,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cellwatch.llm import (chat_format, decontaminate, html_extract, lm_score, near_dups, quality_rules, secrets_crf,
-                           token_counts, toxicity_cnn)
+from cellwatch.llm import (chat_format, common, decontaminate, html_extract, lm_score, mixing, near_dups, quality_rules,
+                           secrets_crf, token_counts, toxicity_cnn)
 from test_llm_operators import HEXES, KEY, sentence, toxic_sample
 
 ODD = ["_k", "_d", "_k2", "_items", "_text", "_q", "_id", "_words", "_row", "_at", "h", "n", "label", "value", "sketch"]
@@ -347,3 +347,24 @@ def test_full_sets_are_made_for_open_pairs_only(spark, monkeypatch):
         found = {r["doc_id"]: r["component_id"] for r in near_dups.near_duplicates(docs).collect()}
         assert found == {i: 0 if i < 8 else i for i in range(16)}
     assert asked == set(range(8))
+
+
+def test_driver_lets_go_of_finished_steps(spark):
+    """What nothing refers to any more leaves the driver's JVM between steps, whatever room its heap has left."""
+    left = spark._jvm.java.lang.ref.WeakReference(spark.sparkContext._gateway.new_array(spark._jvm.byte, 1 << 20))
+    common.release_driver_memory(spark)
+    assert left.get() is None
+
+
+@pytest.mark.parametrize("step, module, least", [
+    ("toxicity", toxicity_cnn, 1), ("near_dups", near_dups, 4), ("decontaminate", decontaminate, 1),
+    ("secrets", secrets_crf, 1), ("mixing", mixing, 1)])
+def test_steps_release_the_driver(spark, monkeypatch, step, module, least):
+    calls = []
+    release = module.release_driver_memory
+    monkeypatch.setattr(module, "release_driver_memory", lambda s: (calls.append(step), release(s)))
+    rng = random.Random(8)
+    texts = [sentence(rng, 30) for _ in range(20)]
+    docs = odd_docs(spark, [*texts, *(t + " end" for t in texts), f"{texts[0]} token={HEXES}"]).withColumn("source", F.lit("a"))
+    found = (operators(spark) | {"mixing": mixing.mix})[step](docs)
+    assert found.count() and len(calls) >= least

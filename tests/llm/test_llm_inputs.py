@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cellwatch.llm import (chat_format, common, decontaminate, html_extract, lm_score, mixing, near_dups, quality_rules,
                            secrets_crf, token_counts, toxicity_cnn)
-from test_llm_operators import HEXES, KEY, sentence, toxic_sample
+from test_llm_operators import HEXES, KEY, brute_components, sentence, toxic_sample
 
 ODD = ["_k", "_d", "_k2", "_items", "_text", "_q", "_id", "_words", "_row", "_at", "h", "n", "label", "value", "sketch"]
 DOCS = "doc_id bigint, text string, " + ", ".join(f"{c} string" for c in ODD)
@@ -349,6 +349,48 @@ def test_full_sets_are_made_for_open_pairs_only(spark, monkeypatch):
     assert asked == set(range(8))
 
 
+def test_pairs_of_a_large_family_stay_where_they_are_found(spark, monkeypatch):
+    """Copies that are nearly similar enough, each with each: the pairs that move on are the links, not all of them."""
+    rng = random.Random(21)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    texts = []
+    for i in range(70):
+        w = list(base)
+        for at in rng.sample(range(400), 9):
+            w[at] = f"e{rng.randrange(10**6)}"
+        texts.append(w)
+    for i in range(6):                                     # links beside them, in chains
+        w = list(texts[-1] if i % 3 else texts[i])
+        for at in rng.sample(range(400), 3):
+            w[at] = f"e{rng.randrange(10**6)}"
+        texts.append(w)
+    docs = list(enumerate(" ".join(w) for w in texts))
+    want = {i: c for i, (_, c) in brute_components(docs).items()}
+    assert 60 <= len(set(want.values())) < len(docs)
+    moved, links = [], near_dups.links
+
+    def seen(pairs, active, sets):
+        moved.append(pairs.count())
+        return links(pairs, active, sets)
+
+    monkeypatch.setattr(near_dups, "links", seen)
+    monkeypatch.setattr(near_dups, "ROWS", 200)
+    monkeypatch.setattr(near_dups, "CHUNK", 20)
+    found = near_dups.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == want
+    assert moved[-1] < len(docs) ** 2 / 20
+
+
+@pytest.mark.parametrize("values", [40, 300, 50_000])
+def test_shared_counts(values):
+    rng = np.random.default_rng(3)
+    lists = [np.unique(rng.integers(0, values, rng.integers(0, 40))) for _ in range(50)]
+    starts = np.r_[0, np.cumsum([len(x) for x in lists])]
+    rows, others = np.arange(0, 12)[::-1], np.arange(10, 50)
+    got = near_dups.shared_counts(np.concatenate(lists), starts, rows, others)
+    assert got.tolist() == [[len(np.intersect1d(lists[i], lists[j])) for j in others] for i in rows]
+
+
 def test_driver_lets_go_of_finished_steps(spark):
     """What nothing refers to any more leaves the driver's JVM between steps, whatever room its heap has left."""
     left = spark._jvm.java.lang.ref.WeakReference(spark.sparkContext._gateway.new_array(spark._jvm.byte, 1 << 20))
